@@ -6,7 +6,7 @@ from importlib import import_module
 
 from opinion_spark.catalog import registry
 
-SECTIONS = ["features"]
+SECTIONS = ["features", "cleaning", "aggregates"]
 
 
 def load():

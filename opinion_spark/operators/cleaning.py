@@ -10,6 +10,7 @@ from opinion_spark.functions import lexicons as L
 from opinion_spark.functions import text as X
 from opinion_spark.operators import dedup
 from opinion_spark.schemas import REQUIRED_REVIEW_COLUMNS
+from opinion_spark.session import materialize
 
 
 def standardize_columns(df: DataFrame, as_of: str) -> DataFrame:
@@ -118,32 +119,40 @@ def coerce_date(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumn("date", parse_date(df.drop("timestamp"), as_of))
 
 
+def normalize_texts(df: DataFrame) -> DataFrame:
+    """Normalise text and title."""
+    texts = [c for c in ("review_text", "review_title") if c in df.columns]
+    return df.withColumns({c: X.clean_text(F.col(c)) for c in texts})
+
+
 def clean_texts(df: DataFrame, min_length: int = 10) -> DataFrame:
-    """Normalise text and title; drop reviews shorter than ``min_length`` afterwards."""
-    df = df.withColumn("review_text", X.clean_text(F.col("review_text")))
-    if "review_title" in df.columns:
-        df = df.withColumn("review_title", X.clean_text(F.col("review_title")))
-    return df.where(F.length("review_text") >= min_length)
+    """Normalise texts; drop reviews shorter than ``min_length`` afterwards."""
+    return normalize_texts(df).where(F.length("review_text") >= min_length)
+
+
+def text_length(df: DataFrame) -> Column:
+    """The stored length if the table has it: narrower to read than the text."""
+    return F.col("review_length") if "review_length" in df.columns else F.length("review_text")
 
 
 def length_bounds(df: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
     """Exact percentiles of the text length, from the counts per length."""
-    lengths = df.groupBy(F.length("review_text").alias("n")).agg(F.count(F.lit(1)).alias("c"))
-    return lengths.agg(F.percentile("n", [low, high], "c").alias("bounds"))
+    lengths = df.groupBy(text_length(df).alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    return lengths.agg(F.percentile("n", [low, high], F.col("c")).alias("bounds"))
 
 
 def drop_length_outliers(df: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
     bounds = length_bounds(df, low, high)
     return (
         df.withColumn("__b", bounds.scalar())
-        .where(F.length("review_text").between(F.col("__b")[0], F.col("__b")[1])).drop("__b"))
+        .where(text_length(df).between(F.col("__b")[0], F.col("__b")[1])).drop("__b"))
 
 
 def drop_heavy_users(df: DataFrame, quantile: float = 0.95) -> DataFrame:
     """Drop users with more reviews than the quantile of reviews per user."""
     per_user = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     spread = per_user.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
-    limit = spread.agg(F.percentile("n", F.lit(quantile), "c").alias("limit"))
+    limit = spread.agg(F.percentile("n", F.lit(quantile), F.col("c")).alias("limit"))
     kept = per_user.where(F.col("n") <= limit.scalar()).select("user_id")
     return df.join(kept, "user_id", "left_semi")
 
@@ -190,17 +199,24 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return dedup.drop_near(dedup.drop_exact(df))
 
 
-def clean_reviews(df: DataFrame, as_of: str, target: int | None = 20_000) -> DataFrame:
-    """All cleaning steps in order. ``target`` None keeps every row (no sample step)."""
-    df = (
+def clean_reviews(df: DataFrame, as_of: str, target: int | None = 20_000, min_length: int = 10) -> DataFrame:
+    """All cleaning steps in order. ``target`` None keeps every row (no sample step).
+
+    The normalised texts are written once; the percentile, the user counts, the
+    sample and the product means then read only the narrow columns they need.
+    """
+    typed = (
         drop_duplicates(df)
         .transform(drop_null_required).transform(fill_optional, as_of).transform(drop_blank_text)
         .transform(coerce_rating).transform(coerce_votes).transform(repair_votes)
-        .transform(coerce_date, as_of)
-        .transform(clean_texts).transform(drop_length_outliers).transform(drop_heavy_users))
+        .transform(coerce_date, as_of).transform(normalize_texts))
+    staged = materialize(typed.withColumn("review_length", F.length("review_text")))
+    kept = (
+        staged.where(F.col("review_length") >= min_length)
+        .transform(drop_length_outliers).transform(drop_heavy_users))
     if target is not None:
-        df = dedup.proportional_sample(df, target)
-    return df.transform(derived_features).transform(final_types)
+        kept = dedup.proportional_sample(kept, target)
+    return kept.transform(derived_features).transform(final_types)
 
 
 def cleaning_summary(original: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -32,7 +32,11 @@ def proportional_sample(
     """Stratified sample: max(1, int(target * n / N)) rows per stratum, then at most ``target``."""
     quota = F.greatest(F.lit(1), F.floor(F.lit(target) * F.col("n") / F.col("total")))
     picked = sample_exact(df, [stratum], quota, id_col)
-    return sample_exact(picked, [], F.lit(target), id_col, "trim")
+    # only strata too small for a whole row can push the sum over the target
+    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n").alias("total"))
+    planned = sizes.withColumn("total", total.scalar()).agg(F.sum(F.least("n", quota))).first()[0] or 0
+    return picked if planned <= target else sample_exact(picked, [], F.lit(target), id_col, "trim")
 
 
 def uniform_sample(df: DataFrame, n: int, id_col: str = "review_id", seed: str = "") -> DataFrame:

@@ -48,6 +48,7 @@ def running_totals(
     buckets are cut at approximate quantiles, so they are even; any cut gives
     the same, exact totals.
     """
+    added = [] if keys else [_ONE]
     df, keys = _with_keys(df, keys)
     cuts = df.groupBy(*keys).agg(
         F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 1000).alias("__cuts"))
@@ -64,7 +65,7 @@ def running_totals(
         split.withColumns({f"{m}_upto": F.sum(m).over(inside) for m in measures})
         .join(offsets, keys + ["__bucket"])
         .withColumns({f"{m}_upto": F.col(f"{m}_upto") + F.col(f"__{m}") for m in measures})
-        .drop("__bucket", _ONE, *[f"__{m}" for m in measures])
+        .drop("__bucket", *added, *[f"__{m}" for m in measures])
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +49,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, for results read many times.
+    """Write ``df`` once as a table in the checkpoint folder and read it back.
 
-    The files survive the loss of an executor, unlike cached blocks.
+    For results that several later steps read: the lineage ends here, the files
+    survive the loss of an executor, and later reads fetch only their columns.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
