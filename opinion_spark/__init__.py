@@ -1,3 +1,11 @@
 """Review analytics as PySpark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run inside tasks travel with the job, so executors do not need
+# the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
