@@ -63,7 +63,11 @@ REVIEWS_CORE_SQL = """reviews_core AS (
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their whole text."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    return text_rows(read(spark, sf_dir, "documents"))
+
+
+def text_rows(docs: DataFrame) -> DataFrame:
+    """The text view of a table or stream of documents."""
     pick = digits(F.col("text"), 19) % len(PHRASES)
     phrase = F.element_at(F.array(*[F.lit(p) for p in PHRASES]), (pick + 1).cast("int"))
     helpful = (F.col("n_chars") % 7).cast("int")
@@ -114,7 +118,11 @@ FAKE_LABELS_SQL = """fake_labels AS (
 
 
 def metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read(spark, sf_dir, "events")
+    return metric_rows(read(spark, sf_dir, "events"))
+
+
+def metric_rows(events: DataFrame) -> DataFrame:
+    """Monitoring rows from a table or stream of events."""
     name = F.col("event_type")
     slot = F.col("event_id") % 10
     return events.select(

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from opinion_spark.catalog import registry
 
-SECTIONS = ["features", "cleaning", "aggregates", "assess", "serve"]
+SECTIONS = ["features", "cleaning", "aggregates", "assess", "serve", "jobs"]
 
 
 def load():

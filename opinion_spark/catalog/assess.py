@@ -15,6 +15,7 @@ from opinion_spark.operators import drift as T
 from opinion_spark.operators import evaluate as E
 from opinion_spark.operators import quality as Q
 from opinion_spark.operators import sentiment as N
+from opinion_spark.plans.jobs import run_drift
 from opinion_spark.sources import tables as S
 
 CORE, TEXT = A.reviews_core, A.reviews_text
@@ -517,26 +518,11 @@ def q_temporal(spark, sf):
     return rounded(out, "baseline_trend", "comparison_trend", "trend_change", digits=9)
 
 
-def drift_results(spark, sf):
-    features = _features(spark, sf)
-    dist = T.distribution_drift(features)
-    concept = T.concept_drift(_scored_sides(spark, sf)).select(*T.RESULT)
-    temporal = T.temporal_drift(A.text_sides(spark, sf), "date").select(*T.RESULT)
-    return dist.select(*T.RESULT).unionByName(T.rating_shift(dist)).unionByName(concept).unionByName(temporal)
-
-
 @query("drift_results")
 def q_results(spark, sf):
-    return drift_results(spark, sf)
+    return run_drift(A.text_sides(spark, sf))[0]
 
 
 @query("drift_report")
 def q_report(spark, sf):
-    return T.drift_report(drift_results(spark, sf))
-
-
-@query("drift_advice")
-def q_advice(spark, sf):
-    results = drift_results(spark, sf)
-    severity = T.drift_report(results).select("severity").scalar()
-    return T.drift_advice(results, severity)
+    return run_drift(A.text_sides(spark, sf))[1]

@@ -1,0 +1 @@
+"""Compositions of operators that make up a whole job."""
