@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinion_spark.session import spread
+
 # Phrase added to a text, picked by the md5 of the text, so that lexicon,
 # aspect, URL, mail, punctuation and contraction rules all occur.
 PHRASES = [
@@ -36,6 +38,7 @@ def reviews_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review facts without text; the four key parts together are unique."""
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    lines = spread(lines, "l_orderkey")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     qty = F.col("l_quantity").cast("int")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -63,7 +66,8 @@ REVIEWS_CORE_SQL = """reviews_core AS (
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their whole text."""
-    return text_rows(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    return text_rows(spread(docs, "doc_id"))
 
 
 def text_rows(docs: DataFrame) -> DataFrame:

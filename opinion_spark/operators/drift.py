@@ -13,6 +13,7 @@ from opinion_spark.functions import lexicons as L
 from opinion_spark.functions import text as X
 from opinion_spark.operators.dedup import uniform_sample
 from opinion_spark.operators.ranking import row_index, running_totals
+from opinion_spark.session import materialize
 
 N = F.count(F.lit(1))
 BASE, COMP = "baseline", "comparison"
@@ -78,6 +79,7 @@ def ks_p_value(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
 
 def ks_test(counts: DataFrame) -> DataFrame:
     """D and p per feature, from the counts per distinct value."""
+    counts = materialize(counts)
     totals = counts.groupBy("feature").agg(F.sum("b").alias("n1"), F.sum("c").alias("n2"))
     curves = running_totals(counts, ["feature"], "value", ["b", "c"]).join(F.broadcast(totals), "feature")
     gap = F.abs(F.col("b_upto") / F.col("n1") - F.col("c_upto") / F.col("n2"))

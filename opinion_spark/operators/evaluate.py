@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opinion_spark.functions import text as X
 from opinion_spark.operators.ranking import running_totals
+from opinion_spark.session import materialize
 
 N = F.count(F.lit(1))
 
@@ -56,8 +57,8 @@ def binary_scores(df: DataFrame, label: str, score: str, threshold: float = 0.5)
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by the rank sum with average ranks; 0.5 if one class is empty."""
-    by_score = df.groupBy(F.col(score).alias("score")).agg(
-        N.alias("n"), F.count_if(F.col(label) == 1).alias("pos"))
+    by_score = materialize(df.groupBy(F.col(score).alias("score")).agg(
+        N.alias("n"), F.count_if(F.col(label) == 1).alias("pos")))
     ranked = running_totals(by_score, [], "score", ["n"])
     average_rank = F.col("n_upto") - (F.col("n") - 1) / 2
     sums = ranked.agg(

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinion_spark.session import materialize
+
 _ONE = "__all"
 
 
@@ -44,8 +46,8 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<m>_upto``, the total of each measure up to and including the row.
 
-    ``df`` must hold one row per (keys, order_col), as after a groupBy. The
-    buckets are cut at approximate quantiles, so they are even; any cut gives
+    ``df`` must hold one row per (keys, order_col), as after a groupBy, and is
+    read several times, so give it a stored table. The buckets are cut at approximate quantiles, so they are even; any cut gives
     the same, exact totals.
     """
     added = [] if keys else [_ONE]
@@ -77,67 +79,72 @@ def row_index(df: DataFrame, keys: list[str], order_col: str, id_col: str, name:
     """
     df, keys = _with_keys(df, keys)
     marked = df.withColumn("__hash", hash_order(id_col)).withColumn("__part", F.substring("__hash", 1, 2))
-    parts = marked.groupBy(*keys, order_col, "__part").agg(F.count(F.lit(1)).alias("n"))
-    values = running_totals(
-        parts.groupBy(*keys, order_col).agg(F.sum("n").alias("n")), keys, order_col, ["n"])
-    values = values.select(*keys, order_col, (F.col("n_upto") - F.col("n")).alias("__value_start"))
+    parts = materialize(marked.groupBy(*keys, order_col, "__part").agg(F.count(F.lit(1)).alias("n")))
+    values = materialize(parts.groupBy(*keys, order_col).agg(F.sum("n").alias("n")))
+    starts = running_totals(values, keys, order_col, ["n"]).select(
+        *keys, order_col, (F.col("n_upto") - F.col("n")).alias("__value_start"))
     earlier = (
         Window.partitionBy(*keys, order_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = parts.select(
-        *keys, order_col, "__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__part_start"))
+    offsets = parts.withColumn("__start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
+        starts, keys + [order_col]).select(
+        *keys, order_col, "__part", (F.col("__start") + F.col("__value_start")).alias("__start"))
     inside = Window.partitionBy(*keys, order_col, "__part").orderBy("__hash", id_col)
     return (
         marked.withColumn("__place", F.row_number().over(inside) - 1)
-        .join(starts, keys + [order_col, "__part"])
-        .join(values, keys + [order_col])
-        .withColumn(name, F.col("__value_start") + F.col("__part_start") + F.col("__place"))
-        .drop("__hash", "__part", "__place", "__part_start", "__value_start", _ONE)
+        .join(offsets, keys + [order_col, "__part"])
+        .withColumn(name, F.col("__start") + F.col("__place"))
+        .drop("__hash", "__part", "__place", "__start", _ONE)
     )
 
 
-def hash_cutoffs(
-    df: DataFrame, strata: list[str], quota: Column, id_col: str, seed: str = ""
-) -> DataFrame:
-    """Per stratum, the (hash, id) of the last row of an exact random sample.
+def _hash_parts(df: DataFrame, id_col: str, seed: str) -> DataFrame:
+    return df.withColumn("__hash", hash_order(id_col, seed)).withColumn("__part", F.substring("__hash", 1, 3))
 
-    ``quota`` is a column over ``n`` (rows of the stratum) and ``total`` (rows
-    of all strata). Rows are counted in 4096 hash buckets per stratum; only the
-    rows of the one bucket that holds the cut are ranked.
-    """
-    df, strata = _with_keys(df, strata)
-    h = hash_order(id_col, seed)
-    slim = df.select(*strata, F.col(id_col).alias("__id"), h.alias("__hash")).withColumn(
-        "__part", F.substring("__hash", 1, 3))
-    counts = slim.groupBy(*strata, "__part").agg(F.count(F.lit(1)).alias("c"))
+
+def _cut_parts(parts: DataFrame, strata: list[str], quota: Column) -> DataFrame:
+    """Per stratum the hash bucket in which the sample ends and the rows it still
+    takes from it. ``quota`` is a column over ``n`` (rows of the stratum) and
+    ``total`` (rows of all strata). A stratum has at most 4096 buckets."""
+    counts = materialize(parts.groupBy(*strata, "__part").agg(F.count(F.lit(1)).alias("c")))
     sizes = counts.groupBy(*strata).agg(F.sum("c").alias("n"))
     total = counts.agg(F.sum("c").alias("total"))
-    quotas = sizes.withColumn("total", total.scalar()).select(*strata, quota.cast("long").alias("__quota"))
+    quotas = sizes.withColumn("total", total.scalar()).select(
+        *strata, F.least("n", quota.cast("long")).alias("__quota"))
     upto = Window.partitionBy(*strata).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
-    cut_bucket = (
+    start = F.col("__upto") - F.col("c")
+    return (
         counts.withColumn("__upto", F.sum("c").over(upto)).join(quotas, strata)
-        .where((F.col("__upto") >= F.col("__quota")) & (F.col("__upto") - F.col("c") < F.col("__quota")))
-        .select(*strata, "__part", (F.col("__quota") - F.col("__upto") + F.col("c")).alias("__left")))
-    place = Window.partitionBy(*strata).orderBy("__hash", "__id")
-    cuts = (
-        slim.join(cut_bucket, strata + ["__part"])
-        .withColumn("__place", F.row_number().over(place)).where(F.col("__place") == F.col("__left"))
-        .select(*strata, F.struct("__hash", "__id").alias("__cut")))
-    # a quota at or above the stratum size has no cut: keep every row
-    whole = quotas.join(sizes, strata).where(F.col("__quota") >= F.col("n")).select(
-        *strata, F.lit(True).alias("__whole"))
-    return sizes.select(*strata).join(cuts, strata, "left").join(whole, strata, "left")
+        .where((F.col("__upto") >= F.col("__quota")) & (start < F.col("__quota")))
+        .select(*strata, F.col("__part").alias("__cut"), (F.col("__quota") - start).alias("__left")))
+
+
+def sample_exact(df: DataFrame, strata: list[str], quota: Column, id_col: str, seed: str = "") -> DataFrame:
+    """Exactly the quota of rows of each stratum, the first by hash of id and seed.
+
+    One pass counts hash buckets, one pass keeps the rows up to the last bucket;
+    only these rows, no more than the sample and one bucket, are shuffled.
+    """
+    keyed, keys = _with_keys(df, strata)
+    parts = _hash_parts(keyed, id_col, seed)
+    near = parts.join(_cut_parts(parts, keys, quota), keys).where(F.col("__part") <= F.col("__cut"))
+    place = Window.partitionBy(*keys, "__part").orderBy("__hash", id_col)
+    return (
+        near.withColumn("__place", F.row_number().over(place))
+        .where((F.col("__part") < F.col("__cut")) | (F.col("__place") <= F.col("__left")))
+        .select(*df.columns))
 
 
 def mark_sample(
     df: DataFrame, strata: list[str], quota: Column, id_col: str, seed: str = "", name: str = "sampled"
 ) -> DataFrame:
-    """Add a flag that is true for exactly the quota of rows of each stratum."""
-    cutoffs = hash_cutoffs(df, strata, quota, id_col, seed)
+    """All rows, with a flag that is true for exactly the quota of each stratum."""
     keyed, keys = _with_keys(df, strata)
-    here = F.struct(hash_order(id_col, seed).alias("__hash"), F.col(id_col).alias("__id"))
-    flag = F.coalesce(F.col("__whole"), here <= F.col("__cut"), F.lit(False))
-    return keyed.join(cutoffs, keys).withColumn(name, flag).drop("__cut", "__whole", _ONE)
-
-
-def sample_exact(df: DataFrame, strata: list[str], quota: Column, id_col: str, seed: str = "") -> DataFrame:
-    return mark_sample(df, strata, quota, id_col, seed, "__in").where("__in").drop("__in")
+    parts = _hash_parts(keyed, id_col, seed)
+    cuts = _cut_parts(parts, keys, quota)
+    edge = parts.select(*keys, id_col, "__hash", "__part").join(cuts, keys).where(F.col("__part") == F.col("__cut"))
+    place = Window.partitionBy(*keys).orderBy("__hash", id_col)
+    last = edge.withColumn("__place", F.row_number().over(place)).where(F.col("__place") == F.col("__left")).select(
+        *keys, F.struct(F.col("__hash").alias("h"), F.col(id_col).alias("i")).alias("__last"))
+    here = F.struct(F.col("__hash").alias("h"), F.col(id_col).alias("i"))
+    return parts.join(last, keys, "left").withColumn(
+        name, F.coalesce(here <= F.col("__last"), F.lit(False))).select(*df.columns, name)
