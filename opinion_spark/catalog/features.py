@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from opinion_spark.functions import labels as B
 from opinion_spark.functions import lexicons as L
 from opinion_spark.functions import text as X
 
-T = F.col("review_text")
 BL = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -33,97 +34,103 @@ WORDS = count_sql(f"[^{BL}]+")
 POS, NEG = (hits_sql("lower(review_text)", w) for w in (L.SENTIMENT_POSITIVE, L.SENTIMENT_NEGATIVE))
 
 # name -> (Spark column, the same in SQL)
-TEXT_FEATURES: dict[str, tuple[Column, str]] = {
-    "char_count": (F.length(T), "CAST(length(review_text) AS INT)"),
-    "word_count": (X.word_count(T), WORDS),
-    "sentence_count_runs": (X.sentence_runs(T), f"{count_sql('[.!?]+')} + 1"),
-    "sentence_count_dots": (X.sentence_dots(T), f"{count_sql('[.]')} + 1"),
+TEXT_FEATURES: dict[str, tuple[Callable[..., Column], str]] = {
+    "char_count": (lambda t: F.length(t), "CAST(length(review_text) AS INT)"),
+    "word_count": (lambda t: X.word_count(t), WORDS),
+    "sentence_count_runs": (lambda t: X.sentence_runs(t), f"{count_sql('[.!?]+')} + 1"),
+    "sentence_count_dots": (lambda t: X.sentence_dots(t), f"{count_sql('[.]')} + 1"),
     "sentence_count_pieces": (
-        X.sentence_pieces(T),
+        lambda t: X.sentence_pieces(t),
         f"CAST(len(list_filter(string_split(review_text, '.'), lambda s: regexp_matches(s, '[^{BL}]')))"
         " AS INT)"),
     "avg_word_length": (
-        X.avg_word_length(T),
+        lambda t: X.avg_word_length(t),
         ratio_sql(f"length(regexp_replace(review_text, '[{BL}]', '', 'g'))", WORDS)),
     "punctuation_ratio": (
-        X.punctuation_ratio(T),
+        lambda t: X.punctuation_ratio(t),
         ratio_sql(count_sql("[!-/:-@\\[-`{-~]"), "length(review_text)")),
-    "mark_ratio": (X.mark_ratio(T), ratio_sql(count_sql("[!?.,;:]"), "length(review_text)")),
-    "capital_ratio": (X.capital_ratio(T), ratio_sql(count_sql(r"\p{Lu}"), count_sql(r"\p{L}"))),
-    "caps_ratio": (X.caps_ratio(T), f"{count_sql(chr(92) + 'p{Lu}')} / greatest(length(review_text), 1)"),
-    "exclamation_count": (X.matches(T, "!"), count_sql("!")),
-    "exclamation_ratio": (X.exclamation_ratio(T), ratio_sql(count_sql("!"), "length(review_text)")),
-    "question_count": (X.matches(T, r"\?"), count_sql("[?]")),
+    "mark_ratio": (lambda t: X.mark_ratio(t), ratio_sql(count_sql("[!?.,;:]"), "length(review_text)")),
+    "capital_ratio": (lambda t: X.capital_ratio(t), ratio_sql(count_sql(r"\p{Lu}"), count_sql(r"\p{L}"))),
+    "caps_ratio": (lambda t: X.caps_ratio(t), f"{count_sql(chr(92) + 'p{Lu}')} / greatest(length(review_text), 1)"),
+    "exclamation_count": (lambda t: X.matches(t, "!"), count_sql("!")),
+    "exclamation_ratio": (lambda t: X.exclamation_ratio(t), ratio_sql(count_sql("!"), "length(review_text)")),
+    "question_count": (lambda t: X.matches(t, r"\?"), count_sql("[?]")),
     "repeated_word_count": (
-        X.repeated_words(T),
+        lambda t: X.repeated_words(t),
         "(SELECT CAST(count(*) AS INT) FROM (SELECT w FROM (SELECT unnest(regexp_extract_all("
         f"lower(review_text), '[^{BL}]+')) AS w) GROUP BY w HAVING count(*) > 1))"),
-    "phrase_hits_generic": (X.phrase_hits(F.lower(T), L.GENERIC_PHRASES),
+    "phrase_hits_generic": (lambda t: X.phrase_hits(F.lower(t), L.GENERIC_PHRASES),
                             hits_sql("lower(review_text)", L.GENERIC_PHRASES)),
-    "phrase_hits_spam": (X.phrase_hits(F.lower(T), L.SPAM_PHRASES),
+    "phrase_hits_spam": (lambda t: X.phrase_hits(F.lower(t), L.SPAM_PHRASES),
                          hits_sql("lower(review_text)", L.SPAM_PHRASES)),
-    "phrase_hits_punctuation": (X.phrase_hits(F.lower(T), L.PUNCTUATION_RUNS),
+    "phrase_hits_punctuation": (lambda t: X.phrase_hits(F.lower(t), L.PUNCTUATION_RUNS),
                                 hits_sql("lower(review_text)", L.PUNCTUATION_RUNS)),
-    "phrase_hits_competitor": (X.phrase_hits(F.lower(T), L.COMPETITOR_PHRASES),
+    "phrase_hits_competitor": (lambda t: X.phrase_hits(F.lower(t), L.COMPETITOR_PHRASES),
                                hits_sql("lower(review_text)", L.COMPETITOR_PHRASES)),
-    "phrase_hits_food_spam": (X.phrase_hits(F.lower(T), L.FOOD_SPAM_PHRASES),
+    "phrase_hits_food_spam": (lambda t: X.phrase_hits(F.lower(t), L.FOOD_SPAM_PHRASES),
                               hits_sql("lower(review_text)", L.FOOD_SPAM_PHRASES)),
-    "lexicon_hits_drift_positive": (X.phrase_hits(F.lower(T), L.DRIFT_POSITIVE),
+    "lexicon_hits_drift_positive": (lambda t: X.phrase_hits(F.lower(t), L.DRIFT_POSITIVE),
                                     hits_sql("lower(review_text)", L.DRIFT_POSITIVE)),
-    "lexicon_hits_drift_negative": (X.phrase_hits(F.lower(T), L.DRIFT_NEGATIVE),
+    "lexicon_hits_drift_negative": (lambda t: X.phrase_hits(F.lower(t), L.DRIFT_NEGATIVE),
                                     hits_sql("lower(review_text)", L.DRIFT_NEGATIVE)),
-    "lexicon_hits_positive": (X.phrase_hits(F.lower(T), L.SENTIMENT_POSITIVE), POS),
-    "lexicon_hits_negative": (X.phrase_hits(F.lower(T), L.SENTIMENT_NEGATIVE), NEG),
-    "token_count": (X.token_count(T), count_sql(r"\w+|[^\w\s]", "lower(review_text)")),
+    "lexicon_hits_positive": (lambda t: X.phrase_hits(F.lower(t), L.SENTIMENT_POSITIVE), POS),
+    "lexicon_hits_negative": (lambda t: X.phrase_hits(F.lower(t), L.SENTIMENT_NEGATIVE), NEG),
+    "token_count": (lambda t: X.token_count(t), count_sql(r"\w+|[^\w\s]", "lower(review_text)")),
     "avg_token_length": (
-        X.avg_token_length(T),
+        lambda t: X.avg_token_length(t),
         ratio_sql(r"length(regexp_replace(review_text, '\s', '', 'g'))",
                   count_sql(r"\w+|[^\w\s]", "lower(review_text)"))),
     "polarity_compound": (
-        X.polarity(T), f"({POS} - {NEG})::double / sqrt(({POS} - {NEG})::double * ({POS} - {NEG}) + 15.0)"),
+        lambda t: X.polarity(t), f"({POS} - {NEG})::double / sqrt(({POS} - {NEG})::double * ({POS} - {NEG}) + 15.0)"),
     "length_category": (
-        B.length_category(F.length(T)),
+        lambda t: B.length_category(F.length(t)),
         "CASE WHEN length(review_text) = 0 THEN NULL WHEN length(review_text) <= 50 THEN 'short' "
         "WHEN length(review_text) <= 150 THEN 'medium' WHEN length(review_text) <= 500 THEN 'long' "
         "ELSE 'very_long' END"),
     "numbers_in_text": (
-        F.array_join(F.transform(X.numbers_in(T), lambda x: F.bround(x).cast("long").cast("string")), ","),
+        lambda t: F.array_join(F.transform(X.numbers_in(t), lambda x: F.bround(x).cast("long").cast("string")), ","),
         r"array_to_string(list_transform(regexp_extract_all(review_text, '\d+(?:\.\d+)?'), "
         "lambda x: CAST(CAST(round_even(CAST(x AS DOUBLE), 0) AS BIGINT) AS VARCHAR)), ',')"),
     "normalized_rating_text": (
-        X.normalize_rating(T),
+        lambda t: X.normalize_rating(t),
         r"(SELECT CASE WHEN n <= 1 THEN greatest(1, trunc(n * 5)::int) WHEN n <= 5 THEN trunc(n)::int "
         r"WHEN n <= 10 THEN trunc(n / 2)::int WHEN n <= 100 THEN trunc(n / 20)::int END FROM (SELECT "
         r"nullif(regexp_extract(review_text, '\d+(?:\.\d+)?'), '')::double AS n))"),
-    "text_preview": (X.preview(T, 100),
+    "text_preview": (lambda t: X.preview(t, 100),
                      "CASE WHEN length(review_text) > 100 THEN substr(review_text, 1, 100) || '...' "
                      "ELSE review_text END"),
-    "search_ignore_case": (X.contains_ignore_case(T, "great taste"),
+    "search_ignore_case": (lambda t: X.contains_ignore_case(t, "great taste"),
                            "contains(lower(review_text), 'great taste')"),
     "valid_scraped_review": (
-        X.is_valid_review(T),
+        lambda t: X.is_valid_review(t),
         f"length(regexp_replace(review_text, '^[{BL}]+|[{BL}]+$', '', 'g')) >= 10 AND "
         + hits_sql("lower(review_text)", L.SCRAPE_SPAM) + " = 0"),
     "ascii_text": (
-        F.md5(X.ascii_text(T)),
+        lambda t: F.md5(X.ascii_text(t)),
         f"md5(trim(regexp_replace(regexp_replace(regexp_replace(review_text, '[{BL}]+', ' ', 'g'), "
         "'^ | $', '', 'g'), '[^\\x00-\\x7F]', '', 'g')))"),
     "expanded_contractions": (
-        F.md5(X.expand_contractions(T)),
+        lambda t: F.md5(X.expand_contractions(t)),
         "md5(" + "".join("replace(" for _ in L.CONTRACTIONS) + "review_text" + "".join(
             ", '{}', '{}')".format(a.replace("'", "''"), b) for a, b in L.CONTRACTIONS) + ")"),
-    "safe_user_id": (X.safe_user_id(F.col("review_title")),
+    "safe_user_id": (lambda t: X.safe_user_id(F.col("review_title")),
                      r"substr(regexp_replace(review_title, '[^\p{L}\p{N}_\-]', '_', 'g'), 1, 50)"),
     "repeated_characters": (
-        F.rlike(F.lower(T), F.lit(X.REPEATED)),
+        lambda t: F.rlike(F.lower(t), F.lit(X.REPEATED)),
         # every distinct character of the text, checked for a run of six
         "len(list_filter(list_distinct(regexp_extract_all(lower(review_text), '(?s)[^\\n]')), "
         "lambda c: contains(lower(review_text), repeat(c, 6)))) > 0"),
 }
 
 
-def _text_feature(column: Column):
-    return lambda spark, sf: A.reviews_text(spark, sf).select("review_id", column.alias("value"))
+def _text_feature(column: Callable[..., Column]):
+    return lambda spark, sf: A.reviews_text(spark, sf).select(
+        "review_id", column(F.col("review_text")).alias("value"))
+
+
+def _core_feature(column: Callable[..., Column]):
+    return lambda spark, sf: A.reviews_core(spark, sf).select(
+        "review_id", column(F.col("helpful_votes"), F.col("total_votes"), F.col("rating")).alias("value"))
 
 
 for _name, (_column, _sql) in TEXT_FEATURES.items():
@@ -131,32 +138,29 @@ for _name, (_column, _sql) in TEXT_FEATURES.items():
         A.sql("reviews_text", f"SELECT review_id, {_sql} AS value FROM reviews_text"))
 
 
-h, t, r = F.col("helpful_votes"), F.col("total_votes"), F.col("rating")
-d = F.col("review_date")
-CORE_FEATURES: dict[str, tuple[Column, str]] = {
-    "helpfulness_if_voted": (B.helpful_if_voted(h, t),
+CORE_FEATURES: dict[str, tuple[Callable[..., Column], str]] = {
+    "helpfulness_if_voted": (lambda h, t, r: B.helpful_if_voted(h, t),
                              "CASE WHEN total_votes > 0 THEN helpful_votes / total_votes ELSE 0.0 END"),
-    "helpfulness_floor_one": (B.helpful_floor_one(h, t), "helpful_votes / greatest(total_votes, 1)"),
-    "helpfulness_plus_one": (B.helpful_plus_one(h, t), "helpful_votes / (total_votes + 1)"),
-    "extreme_rating": (B.extreme_rating(r), "CASE WHEN rating IN (1, 5) THEN 1 ELSE 0 END"),
-    "rating_category": (B.rating_category(r),
+    "helpfulness_floor_one": (lambda h, t, r: B.helpful_floor_one(h, t), "helpful_votes / greatest(total_votes, 1)"),
+    "helpfulness_plus_one": (lambda h, t, r: B.helpful_plus_one(h, t), "helpful_votes / (total_votes + 1)"),
+    "extreme_rating": (lambda h, t, r: B.extreme_rating(r), "CASE WHEN rating IN (1, 5) THEN 1 ELSE 0 END"),
+    "rating_category": (lambda h, t, r: B.rating_category(r),
                         "CASE WHEN rating <= 2 THEN 'low' WHEN rating <= 3 THEN 'medium' "
                         "WHEN rating <= 4 THEN 'high' ELSE 'very_high' END"),
-    "rating_sentiment": (B.rating_sentiment(r),
+    "rating_sentiment": (lambda h, t, r: B.rating_sentiment(r),
                          "CASE WHEN rating >= 4 THEN 'POSITIVE' WHEN rating <= 2 THEN 'NEGATIVE' "
                          "ELSE 'NEUTRAL' END"),
-    "sentiment_value": (B.sentiment_value(B.rating_sentiment(r)),
+    "sentiment_value": (lambda h, t, r: B.sentiment_value(B.rating_sentiment(r)),
                         "CASE WHEN rating >= 4 THEN 4.5::double WHEN rating <= 2 THEN 1.5 ELSE 3.0 END"),
-    "rating_badge": (B.rating_badge(r),
+    "rating_badge": (lambda h, t, r: B.rating_badge(r),
                      "CASE WHEN rating >= 4 THEN 'excellent' WHEN rating >= 3 THEN 'good' ELSE 'poor' END"),
-    "votes_log1p": (F.round(F.log1p(t), 6), "round(ln(1 + total_votes), 6)"),
-    "display_names": (F.concat(F.lit("Food Product "), "product_id", F.lit(" / User_"), "user_id"),
+    "votes_log1p": (lambda h, t, r: F.round(F.log1p(t), 6), "round(ln(1 + total_votes), 6)"),
+    "display_names": (lambda h, t, r: F.concat(F.lit("Food Product "), "product_id", F.lit(" / User_"), "user_id"),
                       "'Food Product ' || product_id || ' / User_' || user_id"),
-    "rating_deviation_abs": (F.abs(r - 3), "abs(rating - 3)"),
+    "rating_deviation_abs": (lambda h, t, r: F.abs(r - 3), "abs(rating - 3)"),
 }
 for _name, (_column, _sql) in CORE_FEATURES.items():
-    add(_name,
-        (lambda c: lambda spark, sf: A.reviews_core(spark, sf).select("review_id", c.alias("value")))(_column),
+    add(_name, _core_feature(_column),
         A.sql("reviews_core", f"SELECT review_id, {_sql} AS value FROM reviews_core"))
 
 
@@ -230,6 +234,7 @@ SELECT review_id, CAST(review_date AS DATE) AS parsed_date,
 FROM reviews_core"""))
 def scraped_text_parsing(spark, sf) -> DataFrame:
     """Write the scraped forms of date, votes and title, then parse them back."""
+    h, r = F.col("helpful_votes"), F.col("rating")
     said = A.reviews_core(spark, sf).select(
         "review_id",
         F.concat(F.lit("Reviewed in the United States on "), F.date_format("review_date", "MMMM d, yyyy"))
@@ -267,6 +272,6 @@ FROM quality_issues""", ISSUES_CTE))
 def text_quality(spark, sf) -> DataFrame:
     issues = F.col("found")
     return A.reviews_text(spark, sf).select(
-        "review_id", X.quality_issues(T).alias("found")).select(
+        "review_id", X.quality_issues(F.col("review_text")).alias("found")).select(
         "review_id", F.array_join(issues, "|").alias("issues"), (F.size(issues) == 0).alias("valid"),
         X.quality_score(issues).alias("quality_score"))

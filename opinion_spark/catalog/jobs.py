@@ -221,7 +221,11 @@ def q_stream_cooldown(spark, sf):
     return out.select("event_id", "alert_type", "component")
 
 
-@query("stream_escalations")
+@query("stream_escalations", A.sql("metric_stream", """
+SELECT alert_id, raised FROM (SELECT alert_type || '_' || component || '_' || CAST(floor(epoch(ts)) AS BIGINT) AS alert_id,
+    any_value(alert_type) AS alert_type, epoch_us(min(ts)) AS raised FROM raised GROUP BY 1)
+WHERE raised + CASE alert_type WHEN 'model_performance' THEN 120 WHEN 'health_check' THEN 30 ELSE 60 END * 60000000::bigint
+  < (SELECT (epoch_ms(max(ts)) - 600000) * 1000 FROM raised)""", RAISED))
 def q_stream_escalations(spark, sf):
     raised = X.raised_alerts(_events_stream(spark, sf)).select("alert_id", "alert_type", "ts")
     return _run(spark, W.escalations(raised.withColumn("kind", F.lit("raised"))), "escalation")
@@ -299,3 +303,85 @@ def q_validation_run(spark, sf):
     wanted = A.read(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
     return J.run_validation(
         sentiment_results(spark, sf).select("rating", "overall_sentiment"), _scored_labels(spark, sf), wanted, recs)
+
+
+# ---- sinks, read back ------------------------------------------------------
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_scan", """SELECT doc_id, md5(text) AS text, lang, n_chars FROM documents""")
+def q_csv(spark, sf):
+    """Documents written as CSV, line breaks and quotes included, and scanned."""
+    docs = A.read(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    path = _scratch(spark, "csv")
+    docs.write.option("header", True).option("escape", '"').csv(path)
+    return S.read_csv(spark, path, "doc_id long, text string, lang string, n_chars long").withColumn("text", F.md5("text"))
+
+
+@query("load_reviews", A.sql("reviews_text", """
+SELECT product_id, user_id, rating, md5(review_text) AS review_text, CAST(date AS DATE) AS date FROM reviews_text"""))
+def q_load(spark, sf):
+    """The first existing of several candidate files, standardised."""
+    path = _scratch(spark, "primary")
+    TEXT(spark, sf).select(
+        F.col("review_id").alias("Id"), F.col("product_id").alias("ProductId"), F.col("user_id").alias("UserId"),
+        F.col("rating").alias("Score"), F.unix_timestamp("date").alias("Time"), F.col("review_text").alias("Text")
+    ).write.option("header", True).option("escape", '"').csv(path)
+    schema = "Id long, ProductId string, UserId string, Score int, Time long, Text string"
+    df, _ = S.load_reviews(spark, [(f"{path}-absent", schema), (path, schema)], "2013-01-01")
+    return df.select("product_id", "user_id", "rating", F.md5("review_text").alias("review_text"),
+                     F.col("date").cast("date").alias("date"))
+
+
+@query("table_replace_and_append", """
+SELECT lang, 2 * count(*) AS n FROM documents GROUP BY lang""")
+def q_sink(spark, sf):
+    path = _scratch(spark, "table")
+    docs = A.read(spark, sf, "documents").select("doc_id", "lang")
+    S.write_table(docs.withColumn("lang", F.lit("old")), path)
+    S.write_table(docs, path)
+    S.append_table(docs, path)
+    return spark.read.parquet(path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("json_report", A.sql("reviews_core", """
+SELECT rating, count(*) AS n FROM reviews_core GROUP BY rating"""))
+def q_json_report(spark, sf):
+    path = _scratch(spark, "report")
+    S.write_report(A.reviews_core(spark, sf).groupBy("rating").agg(F.count(F.lit(1)).alias("n")), path)
+    return spark.read.schema("rating int, n long").json(path)
+
+
+@query("training_export", A.sql("reviews_text fake_labels", """
+SELECT is_fake, rating, count(*) AS n FROM fake_labels GROUP BY ALL"""))
+def q_export(spark, sf):
+    path = _scratch(spark, "export")
+    S.write_training_csv(A.fake_labels(spark, sf), path, ["review_id", "rating", "is_fake"])
+    back = spark.read.schema("review_id long, rating int, is_fake int").option("header", True).csv(f"{path}/features")
+    return back.groupBy("is_fake", "rating").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("save_drift_results")
+def q_save_drift(spark, sf):
+    """Two analyses saved; the detail rows of both and one report row each."""
+    path = _scratch(spark, "drift")
+    results, report = J.run_drift(A.text_sides(spark, sf))
+    for analysis in ("first", "second"):
+        J.save_drift(spark, results, report, analysis, path)
+    detail = spark.read.parquet(f"{path}/drift_results").groupBy("analysis_id").agg(F.count(F.lit(1)).alias("rows"))
+    return detail.join(spark.read.parquet(f"{path}/drift_analysis").select("analysis_id", "severity"), "analysis_id")
+
+
+@query("replace_stored_recommendations", A.sql("reviews_core", """
+SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, product_id FROM reviews_core
+  WHERE review_date >= TIMESTAMP '2000-01-01' OR user_id NOT IN (
+    SELECT user_id FROM reviews_core WHERE review_date >= TIMESTAMP '2000-01-01')) GROUP BY user_id"""))
+def q_replace_recs(spark, sf):
+    path = _scratch(spark, "recs")
+    r = A.reviews_core(spark, sf)
+    old, new = (r.where(c).select("user_id", "product_id").distinct() for c in (
+        "review_date < '2000-01-01'", "review_date >= '2000-01-01'"))
+    J.replace_recommendations(old, new, path)
+    return spark.read.parquet(path).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,9 @@ from opinion_spark.functions import labels as B
 from opinion_spark.functions import text as X
 from opinion_spark.operators.ranking import row_index, top_per_key
 
-N = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def products_table(df: DataFrame, date: str = "date") -> DataFrame:
@@ -42,7 +44,7 @@ def product_texts(df: DataFrame, per_part: int = 1000) -> DataFrame:
     so a hot product does not have to fit into one row; the parts in order are
     the whole text.
     """
-    summary = df.groupBy("product_id").agg(F.avg("rating").alias("avg_rating"), N.alias("review_count"))
+    summary = df.groupBy("product_id").agg(F.avg("rating").alias("avg_rating"), n_rows().alias("review_count"))
     placed = row_index(df.select("product_id", "review_id", "review_text"), ["product_id"], "review_id", "review_id")
     parts = (
         placed.withColumn("part", F.floor(F.col("row_index") / per_part))
@@ -57,7 +59,7 @@ def dataset_info(df: DataFrame, date: str, approximate: bool = False) -> DataFra
     """Rows, columns, date range, distinct keys and nulls in one pass."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     return df.agg(
-        N.alias("total_rows"), F.lit(len(df.columns)).alias("n_columns"),
+        n_rows().alias("total_rows"), F.lit(len(df.columns)).alias("n_columns"),
         F.min(date).alias("first_date"), F.max(date).alias("last_date"),
         distinct("product_id").alias("n_products"), distinct("user_id").alias("n_users"),
         null_cells(df).alias("null_cells"))
@@ -75,7 +77,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Count and percent of each value."""
-    counts = df.groupBy(column).agg(N.alias("n"))
+    counts = df.groupBy(column).agg(n_rows().alias("n"))
     return counts.withColumn("percent", F.col("n") / counts.agg(F.sum("n").alias("t")).scalar() * 100)
 
 
@@ -88,14 +90,14 @@ def sample_statistics(df: DataFrame) -> DataFrame:
 
 
 def product_core(df: DataFrame) -> DataFrame:
-    return df.groupBy("product_id").agg(N.alias("review_count"), F.avg("rating").alias("average_rating"))
+    return df.groupBy("product_id").agg(n_rows().alias("review_count"), F.avg("rating").alias("average_rating"))
 
 
 def daily_trend(df: DataFrame, date: str, as_of: str, days: int = 30) -> DataFrame:
     """Per product and day of the last ``days`` days: reviews and mean rating."""
     day = F.to_date(date)
     return df.where(day >= F.date_sub(F.lit(as_of).cast("date"), days)).groupBy(
-        "product_id", day.alias("day")).agg(N.alias("review_count"), F.avg("rating").alias("avg_rating"))
+        "product_id", day.alias("day")).agg(n_rows().alias("review_count"), F.avg("rating").alias("avg_rating"))
 
 
 def trend_direction(daily: DataFrame, points: int = 7) -> DataFrame:
@@ -119,7 +121,7 @@ def popularity(df: DataFrame, min_reviews: int = 5, prior: float = 3.5) -> DataF
     """Mean rating pulled towards the prior for products with few reviews."""
     n, m = F.col("rating_count"), float(min_reviews)
     return (
-        df.groupBy("product_id").agg(F.avg("rating").alias("avg_rating"), N.alias("rating_count"))
+        df.groupBy("product_id").agg(F.avg("rating").alias("avg_rating"), n_rows().alias("rating_count"))
         .where(n >= min_reviews)
         .withColumn("popularity_score", n / (n + m) * F.col("avg_rating") + m / (n + m) * prior)
         .withColumn("confidence", F.least(n / 100, F.lit(1.0))))
@@ -142,14 +144,14 @@ def search_products(df: DataFrame, query: str, n: int = 20) -> DataFrame:
     sample = F.concat(F.substring("review_text", 1, 100), F.lit("..."))
     return (
         df.where(hit).groupBy("product_id")
-        .agg(N.alias("review_count"), F.avg("rating").alias("avg_rating"),
+        .agg(n_rows().alias("review_count"), F.avg("rating").alias("avg_rating"),
              F.min_by(sample, "review_id").alias("sample_review"))
         .orderBy(F.desc("review_count"), F.desc("avg_rating"), "product_id").limit(n))
 
 
 def rating_by_length(df: DataFrame) -> DataFrame:
     return df.groupBy(B.length_category(F.length("review_text")).alias("length_category")).agg(
-        F.avg("rating").alias("avg_rating"), N.alias("n"))
+        F.avg("rating").alias("avg_rating"), n_rows().alias("n"))
 
 
 def business_kpis(df: DataFrame) -> DataFrame:
@@ -170,7 +172,7 @@ def business_kpis(df: DataFrame) -> DataFrame:
 def sentiment_stats(df: DataFrame) -> DataFrame:
     label = F.col("overall_sentiment")
     return df.agg(
-        N.alias("total"), F.avg("confidence").alias("avg_confidence"),
+        n_rows().alias("total"), F.avg("confidence").alias("avg_confidence"),
         F.avg("sentiment_score").alias("avg_score"),
         F.count_if(label == "POSITIVE").alias("positive"), F.count_if(label == "NEGATIVE").alias("negative"),
         F.count_if(label == "NEUTRAL").alias("neutral"))
@@ -187,7 +189,7 @@ def aspect_rows(df: DataFrame, aspects: str = "aspects", keep: tuple[str, ...] =
 
 
 def aspect_stats(rows: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    return rows.groupBy(*keys, "aspect").agg(F.avg("sentiment").alias("avg_sentiment"), N.alias("mentions"))
+    return rows.groupBy(*keys, "aspect").agg(F.avg("sentiment").alias("avg_sentiment"), n_rows().alias("mentions"))
 
 
 def top_aspects(rows: DataFrame, n: int = 5) -> DataFrame:
@@ -198,26 +200,26 @@ def top_aspects(rows: DataFrame, n: int = 5) -> DataFrame:
 
 def sentiment_by_product(df: DataFrame) -> DataFrame:
     """Count and percent of each sentiment per product."""
-    counts = df.groupBy("product_id", "overall_sentiment").agg(N.alias("n"))
+    counts = df.groupBy("product_id", "overall_sentiment").agg(n_rows().alias("n"))
     share = Window.partitionBy("product_id")  # at most three rows per product
     return counts.withColumn("percent", F.col("n") / F.sum("n").over(share) * 100)
 
 
 def fake_by_product(df: DataFrame) -> DataFrame:
-    return df.groupBy("product_id").agg((F.avg("fake_probability") * 100).alias("fake_pct"), N.alias("checked"))
+    return df.groupBy("product_id").agg((F.avg("fake_probability") * 100).alias("fake_pct"), n_rows().alias("checked"))
 
 
 def risk_distribution(df: DataFrame) -> DataFrame:
     return df.groupBy("risk_level").agg(
-        N.alias("n"), F.avg("fake_probability").alias("avg_fake_probability"), F.avg("confidence").alias("avg_confidence"))
+        n_rows().alias("n"), F.avg("fake_probability").alias("avg_fake_probability"), F.avg("confidence").alias("avg_confidence"))
 
 
 def model_rollup(sentiment: DataFrame, fake: DataFrame) -> DataFrame:
     """One row of rounded averages over both result tables."""
-    s = sentiment.agg(F.round(F.avg("confidence"), 3).alias("sentiment_confidence"), N.alias("sentiment_rows"))
+    s = sentiment.agg(F.round(F.avg("confidence"), 3).alias("sentiment_confidence"), n_rows().alias("sentiment_rows"))
     f = fake.agg(
         F.struct(F.round(F.avg("fake_probability"), 3).alias("p"), F.round(F.avg("confidence"), 3).alias("c"),
-                 N.alias("n")).alias("f"))
+                 n_rows().alias("n")).alias("f"))
     return s.withColumn("f", f.scalar()).select(
         "sentiment_confidence", "sentiment_rows", F.col("f.p").alias("avg_fake_probability"),
         F.col("f.c").alias("fake_confidence"), F.col("f.n").alias("fake_rows"))
@@ -225,7 +227,7 @@ def model_rollup(sentiment: DataFrame, fake: DataFrame) -> DataFrame:
 
 def coverage(reviews: DataFrame, analysed: DataFrame, key: str = "review_id") -> DataFrame:
     """Percent of reviews that have a result, and its grade."""
-    row = reviews.agg(N.alias("reviews")).withColumn("analysed", analysed.agg(N.alias("a")).scalar())
+    row = reviews.agg(n_rows().alias("reviews")).withColumn("analysed", analysed.agg(n_rows().alias("a")).scalar())
     pct = X.per(F.col("analysed").cast("double"), F.col("reviews")) * 100
     return row.withColumn("coverage_pct", pct).withColumn("grade", B.coverage_grade(pct))
 
@@ -234,7 +236,7 @@ def coverage(reviews: DataFrame, analysed: DataFrame, key: str = "review_id") ->
 def matrix_stats(ratings: DataFrame) -> DataFrame:
     """Size and sparsity of the user-item ratings, from the long form."""
     row = ratings.agg(
-        F.count_distinct("user_id").alias("users"), F.count_distinct("product_id").alias("items"), N.alias("ratings"))
+        F.count_distinct("user_id").alias("users"), F.count_distinct("product_id").alias("items"), n_rows().alias("ratings"))
     n, u, i = F.col("ratings"), F.col("users"), F.col("items")
     return row.withColumns({
         "sparsity_pct": (1 - n / (u * i)) * 100, "avg_per_user": n / u, "avg_per_item": n / i})
@@ -242,7 +244,7 @@ def matrix_stats(ratings: DataFrame) -> DataFrame:
 
 def recommendation_quality(recs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     out = recs.groupBy(*keys).agg(
-        N.alias("n"), F.avg("predicted_rating").alias("avg_predicted"), F.avg("confidence").alias("avg_confidence"),
+        n_rows().alias("n"), F.avg("predicted_rating").alias("avg_predicted"), F.avg("confidence").alias("avg_confidence"),
         F.avg("recommendation_score").alias("avg_score"))
     return out.withColumn("grade", B.recommendation_grade(F.round("avg_predicted", 9), F.round("avg_confidence", 9)))
 
@@ -251,18 +253,18 @@ def alert_statistics(alerts: DataFrame, as_of: Column) -> DataFrame:
     """(kind, name, n): alerts per severity and type, open, resolved and last day."""
     day = F.count_if(F.col("ts") > as_of - F.expr("INTERVAL 24 HOURS"))
     flat = alerts.agg(
-        N.alias("total"), F.count_if("resolved").alias("resolved"), F.count_if(~F.col("resolved")).alias("active"),
+        n_rows().alias("total"), F.count_if("resolved").alias("resolved"), F.count_if(~F.col("resolved")).alias("active"),
         day.alias("last_24h")).unpivot([], ["total", "resolved", "active", "last_24h"], "name", "n").select(
         F.lit("all").alias("kind"), "name", "n")
     def one(kind: str, column: str) -> DataFrame:
-        return alerts.groupBy(column).agg(N.alias("n")).select(F.lit(kind).alias("kind"), F.col(column).alias("name"), "n")
+        return alerts.groupBy(column).agg(n_rows().alias("n")).select(F.lit(kind).alias("kind"), F.col(column).alias("name"), "n")
     return flat.unionAll(one("severity", "severity")).unionAll(one("type", "alert_type"))
 
 
 def label_summary(df: DataFrame, label: str, kind: str) -> DataFrame:
     """Per kind: rows, share of positives and mean text length."""
     return df.groupBy(kind).agg(
-        N.alias("n"), F.avg(F.col(label).cast("double")).alias("fake_ratio"),
+        n_rows().alias("n"), F.avg(F.col(label).cast("double")).alias("fake_ratio"),
         F.avg(F.length("review_text")).alias("avg_length"))
 
 
@@ -279,15 +281,15 @@ def crawl_sessions(log: DataFrame) -> DataFrame:
     span = F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))
     ok = F.count_if(F.col("status_code") < 400)
     return log.groupBy("session_id").agg(
-        N.alias("attempted"), ok.alias("successful"), F.sum("reviews_found").cast("long").alias("reviews"),
+        n_rows().alias("attempted"), ok.alias("successful"), F.sum("reviews_found").cast("long").alias("reviews"),
         F.count_if(F.col("status_code") >= 400).alias("errors"), F.avg("response_time").alias("avg_response_time"),
-        (ok / N * 100).alias("success_rate"),
-        F.when(span > 0, N / (span / 60e6)).otherwise(F.lit(0.0)).alias("requests_per_minute"))
+        (ok / n_rows() * 100).alias("success_rate"),
+        F.when(span > 0, n_rows() / (span / 60e6)).otherwise(F.lit(0.0)).alias("requests_per_minute"))
 
 
 def product_availability(historical: DataFrame, fresh: DataFrame) -> DataFrame:
     """Historical products with the number of newly seen reviews."""
-    seen = fresh.groupBy("product_id").agg(N.alias("new_reviews"))
+    seen = fresh.groupBy("product_id").agg(n_rows().alias("new_reviews"))
     return historical.select("product_id").distinct().join(seen, "product_id", "left").select(
         "product_id", F.coalesce("new_reviews", F.lit(0)).alias("new_reviews"),
         F.when(F.col("new_reviews").isNull(), "inactive").otherwise("active").alias("availability"))

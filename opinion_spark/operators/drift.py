@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from opinion_spark.functions import labels as B
 from opinion_spark.functions import lexicons as L
@@ -15,7 +16,9 @@ from opinion_spark.operators.dedup import uniform_sample
 from opinion_spark.operators.ranking import row_index, running_totals
 from opinion_spark.session import materialize
 
-N = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 BASE, COMP = "baseline", "comparison"
 NUMERIC = [
     "rating", "text_length", "word_count", "sentence_count", "helpful_votes", "total_votes",
@@ -93,7 +96,7 @@ def ks_test(counts: DataFrame) -> DataFrame:
 
 
 # ---- categorical features: chi-square ------------------------------------
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p_value(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Upper tail of chi-square, by the closed forms for whole degrees of freedom.
 
@@ -123,7 +126,7 @@ def chi2_test(df: DataFrame, features: list[str] = CATEGORICAL) -> DataFrame:
     cells = long.groupBy("feature", "category").agg(
         F.count_if(F.col("side") == BASE).cast("double").alias("b"),
         F.count_if(F.col("side") == COMP).cast("double").alias("c"))
-    totals = cells.groupBy("feature").agg(F.sum("b").alias("n1"), F.sum("c").alias("n2"), N.alias("k"))
+    totals = cells.groupBy("feature").agg(F.sum("b").alias("n1"), F.sum("c").alias("n2"), n_rows().alias("k"))
     joined = cells.join(F.broadcast(totals), "feature")  # one row per feature
     share = (F.col("b") + F.col("c")) / (F.col("n1") + F.col("n2"))
     gap = F.abs(F.col("b") - share * F.col("n1"))
@@ -190,7 +193,7 @@ def temporal_drift(df: DataFrame, date: str, id_col: str = "review_id") -> DataF
         F.avg(F.when(F.col("side") == BASE, F.col("rating"))).alias("b"),
         F.avg(F.when(F.col("side") == COMP, F.col("rating"))).alias("c"))
     both = monthly.where("b IS NOT NULL AND c IS NOT NULL")
-    season = both.agg(F.when(N > 1, F.corr("b", "c")).otherwise(F.lit(0.0)).alias("r"))
+    season = both.agg(F.when(n_rows() > 1, F.corr("b", "c")).otherwise(F.lit(0.0)).alias("r"))
     placed = row_index(df.select("side", id_col, date, "rating"), ["side"], date, id_col)
     def slope(side: str) -> Column:
         one = F.col("side") == side
@@ -215,9 +218,9 @@ RESULT = ["feature", "drift_type", "test", "magnitude", "p_value", "drift_detect
 
 def drift_report(results: DataFrame) -> DataFrame:
     """Counts, share, severity and retraining advice over all result rows."""
-    share = F.count_if("drift_detected") / F.greatest(N, F.lit(1))
+    share = F.count_if("drift_detected") / F.greatest(n_rows(), F.lit(1))
     row = results.agg(
-        N.alias("total_features"), F.count_if("drift_detected").alias("features_with_drift"),
+        n_rows().alias("total_features"), F.count_if("drift_detected").alias("features_with_drift"),
         share.alias("drift_share"), F.count_if(F.col("magnitude") > 0.5).alias("high_magnitude"),
         F.count_if(F.col("p_value") < 0.01).alias("significant"),
         F.count_if(F.col("drift_type") == "concept").alias("concept_signals"),

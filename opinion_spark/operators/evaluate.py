@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinion_spark.functions import text as X
 from opinion_spark.operators.ranking import running_totals
 from opinion_spark.session import materialize
 
-N = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(N.alias("n"))
+    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(n_rows().alias("n"))
 
 
 def class_report(cells: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def binary_scores(df: DataFrame, label: str, score: str, threshold: float = 0.5)
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by the rank sum with average ranks; 0.5 if one class is empty."""
     by_score = materialize(df.groupBy(F.col(score).alias("score")).agg(
-        N.alias("n"), F.count_if(F.col(label) == 1).alias("pos")))
+        n_rows().alias("n"), F.count_if(F.col(label) == 1).alias("pos")))
     ranked = running_totals(by_score, [], "score", ["n"])
     average_rank = F.col("n_upto") - (F.col("n") - 1) / 2
     sums = ranked.agg(
@@ -71,12 +73,12 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 def recommender_scores(requested: DataFrame, recs: DataFrame) -> DataFrame:
     """Success rate, recommendations per user, mean rating and confidence, diversity."""
     per_user = recs.groupBy("user_id").agg(
-        N.alias("n"), (F.count_distinct("product_id") / N).alias("diversity"),
+        n_rows().alias("n"), (F.count_distinct("product_id") / n_rows()).alias("diversity"),
         F.sum("predicted_rating").alias("rating_sum"), F.sum("confidence").alias("confidence_sum"))
     joined = requested.select("user_id").distinct().join(per_user, "user_id", "left")
     served = F.count("n")
     row = joined.agg(
-        N.alias("users"), served.alias("served"), (served / N).alias("success_rate"),
+        n_rows().alias("users"), served.alias("served"), (served / n_rows()).alias("success_rate"),
         X.per(F.sum("n").cast("double"), served).alias("recs_per_user"),
         F.coalesce(F.sum("rating_sum") / F.sum("n"), F.lit(0.0)).alias("avg_predicted"),
         F.coalesce(F.sum("confidence_sum") / F.sum("n"), F.lit(0.0)).alias("avg_confidence"),
@@ -96,7 +98,7 @@ def validation_report(results: DataFrame) -> DataFrame:
         "model_name", F.lit(": F1-score indicates class imbalance, consider balanced sampling")))
     hints = F.flatten(F.array_sort(F.collect_list(F.array_compact(F.array(weak, unbalanced)))))
     return results.agg(
-        N.alias("models"), F.round(F.avg("accuracy"), 4).alias("overall_accuracy"),
+        n_rows().alias("models"), F.round(F.avg("accuracy"), 4).alias("overall_accuracy"),
         F.round(F.avg("f1_score"), 4).alias("overall_f1"), F.sum("sample_size").alias("total_samples"),
         hints.alias("h")).withColumn("recommendations", F.array_join(F.when(F.size("h") > 0, F.col("h")).otherwise(
             F.array(F.lit("All models performing well - consider production deployment"))), "; ")).drop("h")
@@ -106,8 +108,8 @@ def training_report(results: DataFrame) -> DataFrame:
     """Success rate and status over the steps of a training run (step, succeeded)."""
     ok = F.count_if("succeeded")
     return results.agg(
-        N.alias("steps"), ok.alias("successful"), (ok / N).alias("success_rate"),
-        F.when(ok == N, "success").otherwise("partial_success").alias("status"))
+        n_rows().alias("steps"), ok.alias("successful"), (ok / n_rows()).alias("success_rate"),
+        F.when(ok == n_rows(), "success").otherwise("partial_success").alias("status"))
 
 
 def sample_metrics(scored: DataFrame, model: str) -> DataFrame:
@@ -120,7 +122,7 @@ def sample_metrics(scored: DataFrame, model: str) -> DataFrame:
         F.avg(F.col("correct").cast("double")).alias("accuracy"), F.avg("confidence").alias("avg_confidence"),
         F.avg(p).alias("avg_fake_probability"), F.count_if(p > 0.7).cast("double").alias("high_risk"),
         F.count_if(p < 0.3).cast("double").alias("low_risk"), F.min(p).alias("min_probability"),
-        F.max(p).alias("max_probability"), N.alias("sample_size"))
+        F.max(p).alias("max_probability"), n_rows().alias("sample_size"))
     names = ["accuracy", "avg_confidence", "avg_fake_probability", "high_risk", "low_risk",
              "min_probability", "max_probability"]
     return row.unpivot(["sample_size"], names, "metric_name", "metric_value").withColumn("model_name", F.lit(model))

@@ -11,7 +11,9 @@ from opinion_spark.operators.aggregates import null_cells
 from opinion_spark.operators.dedup import duplicate_rows
 from opinion_spark.schemas import REQUIRED_REVIEW_COLUMNS
 
-N = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _blank(c: str) -> Column:
@@ -26,20 +28,20 @@ def review_report(df: DataFrame, date: str | None = "review_date") -> DataFrame:
     """One row: totals, error and warning counts, valid rows, quality figures."""
     missing = [c for c in ("product_id", "rating", "review_text") if c not in df.columns]
     if missing:
-        return df.agg(N.alias("total_rows"), F.lit(f"Missing required columns: {missing}").alias("error"))
+        return df.agg(n_rows().alias("total_rows"), F.lit(f"Missing required columns: {missing}").alias("error"))
     good_rating = F.coalesce(F.col("rating").between(1, 5), F.lit(False))
     bad_date = F.lit(False)
     if date and date in df.columns:
         bad_date = F.try_to_timestamp(F.col(date).cast("string")).isNull()
     row = df.agg(
-        N.alias("total_rows"),
+        n_rows().alias("total_rows"),
         F.count_if(good_rating & ~_missing("product_id") & ~_blank("review_text")).alias("valid_rows"),
         F.count_if(~good_rating).alias("invalid_ratings"),
         F.count_if(_missing("product_id")).alias("missing_product_ids"),
         F.count_if(_blank("review_text")).alias("empty_texts"),
         F.count_if(bad_date).alias("invalid_dates"),
         F.avg(F.length("review_text")).alias("avg_review_length"),
-        (null_cells(df) / (N * len(df.columns)) * 100).alias("missing_pct"))
+        (null_cells(df) / (n_rows() * len(df.columns)) * 100).alias("missing_pct"))
     flag = lambda c: (F.col(c) > 0).cast("int")
     return row.withColumns({
         "errors": flag("invalid_ratings"),
@@ -50,9 +52,9 @@ def review_report(df: DataFrame, date: str | None = "review_date") -> DataFrame:
 def product_report(df: DataFrame) -> DataFrame:
     """One row: totals, duplicate ids, missing names, valid rows."""
     row = df.agg(
-        N.alias("total_rows"), F.count_if(~_missing("product_id") & ~_blank("name")).alias("valid_rows"),
+        n_rows().alias("total_rows"), F.count_if(~_missing("product_id") & ~_blank("name")).alias("valid_rows"),
         F.count_if(_blank("name")).alias("missing_names"))
-    per_id = df.groupBy("product_id").agg(N.alias("n"))
+    per_id = df.groupBy("product_id").agg(n_rows().alias("n"))
     return row.withColumn("duplicate_ids", per_id.agg(F.sum(F.col("n") - 1).alias("d")).scalar())
 
 
@@ -72,7 +74,7 @@ def dataset_checks(df: DataFrame) -> DataFrame:
     rating = F.col("rating") if has("rating") else F.lit(None).cast("int")
     text = F.col("review_text") if has("review_text") else F.lit(None).cast("string")
     facts = df.agg(
-        N.alias("n"), F.bool_and(F.coalesce(rating.between(1, 5), F.lit(False))).alias("in_range"),
+        n_rows().alias("n"), F.bool_and(F.coalesce(rating.between(1, 5), F.lit(False))).alias("in_range"),
         F.coalesce(F.avg(F.length(text)), F.lit(0.0)).alias("length"), F.count_distinct(rating).alias("ratings"))
     def check(name: str, passed: Column, message: Column) -> Column:
         return F.struct(F.lit(name).alias("check_name"), passed.alias("passed"), message.alias("message"))
@@ -95,7 +97,7 @@ def dataset_checks(df: DataFrame) -> DataFrame:
 
 
 def completeness(df: DataFrame) -> DataFrame:
-    return df.agg((1 - null_cells(df) / (N * len(df.columns))).alias("completeness"))
+    return df.agg((1 - null_cells(df) / (n_rows() * len(df.columns))).alias("completeness"))
 
 
 def consistency(df: DataFrame) -> DataFrame:
@@ -116,7 +118,7 @@ def overall_quality(df: DataFrame, date: str, as_of: str, accuracy: float = 0.8)
     length = F.coalesce(F.length("review_text").between(10, 5000), F.lit(False)).cast("int")
     days = F.datediff(F.lit(as_of).cast("date"), F.max(date))
     row = df.agg(
-        (1 - null_cells(df) / (N * len(df.columns))).alias("completeness"),
+        (1 - null_cells(df) / (n_rows() * len(df.columns))).alias("completeness"),
         ((F.avg(rating) + F.avg(length)) / 2).alias("consistency"), F.lit(accuracy).alias("accuracy"),
         F.greatest(F.lit(0.0), 1 - days / 365).alias("timeliness"))
     parts = ["completeness", "consistency", "accuracy", "timeliness"]
@@ -127,21 +129,21 @@ def text_quality_share(df: DataFrame) -> DataFrame:
     """Share of texts without issue and mean score."""
     scored = df.select(X.quality_issues(F.col("review_text")).alias("issues"))
     return scored.agg(
-        N.alias("rows"), F.avg((F.size("issues") == 0).cast("int")).alias("valid_share"),
+        n_rows().alias("rows"), F.avg((F.size("issues") == 0).cast("int")).alias("valid_share"),
         F.avg(X.quality_score(F.col("issues"))).alias("avg_score"))
 
 
 def final_report(original: DataFrame, cleaned: DataFrame, date: str) -> DataFrame:
     """One row of retention and business figures, with the five most reviewed products."""
     row = cleaned.agg(
-        N.alias("final_records"), F.avg("rating").alias("avg_rating"),
+        n_rows().alias("final_records"), F.avg("rating").alias("avg_rating"),
         F.count_distinct("product_id").alias("products"), F.count_distinct("user_id").alias("users"),
         F.min(date).alias("first_date"), F.max(date).alias("last_date"),
         F.avg(F.length("review_text")).alias("avg_review_length"))
-    top = cleaned.groupBy("product_id").agg(N.alias("n")).orderBy(F.desc("n"), "product_id").limit(5)
+    top = cleaned.groupBy("product_id").agg(n_rows().alias("n")).orderBy(F.desc("n"), "product_id").limit(5)
     names = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "product_id"))).alias("t"))
     row = row.withColumns({
-        "original_records": original.agg(N.alias("n")).scalar(), "t": names.scalar()})
+        "original_records": original.agg(n_rows().alias("n")).scalar(), "t": names.scalar()})
     return row.withColumns({
         "retention_rate": F.col("final_records") / F.col("original_records"),
         "most_reviewed": F.array_join(F.transform("t", lambda s: s["product_id"].cast("string")), ",")}).drop("t")
@@ -151,7 +153,7 @@ def pass_summary(checks: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Pass rate of checks and its verdict."""
     rate = F.col("pass_rate")
     return checks.groupBy(*keys).agg(
-        N.alias("total"), F.count_if("passed").alias("passed_checks"),
+        n_rows().alias("total"), F.count_if("passed").alias("passed_checks"),
         F.avg(F.col("passed").cast("int")).alias("pass_rate")).withColumn(
         "verdict", F.when(rate == 1, "ALL_PASS").when(rate >= 0.8, "MOSTLY_PASS").otherwise("FAILED"))
 

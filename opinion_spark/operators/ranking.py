@@ -41,21 +41,36 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
 
 
+def _place_among(cuts: Column, value: Column, steps: int) -> Column:
+    """How many of the sorted cuts are below the value, by halving."""
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        open_, below = acc["lo"] < acc["hi"], F.get(cuts, middle) < value
+        return F.struct(
+            F.when(open_ & below, middle + 1).otherwise(acc["lo"]).alias("lo"),
+            F.when(open_ & ~below, middle).otherwise(acc["hi"]).alias("hi"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"])
+
+
 def running_totals(
-    df: DataFrame, keys: list[str], order_col: str, measures: list[str], buckets: int = 64
+    df: DataFrame, keys: list[str], order_col: str, measures: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Add ``<m>_upto``, the total of each measure up to and including the row.
 
     ``df`` must hold one row per (keys, order_col), as after a groupBy, and is
-    read several times, so give it a stored table. The buckets are cut at approximate quantiles, so they are even; any cut gives
-    the same, exact totals.
+    read several times, so give it a stored table. The buckets are cut at
+    approximate quantiles, about a million rows each if one key holds all rows;
+    any cut gives the same, exact totals.
     """
     added = [] if keys else [_ONE]
     df, keys = _with_keys(df, keys)
+    if buckets is None:
+        buckets = min(4096, max(8, df.count() // 1_000_000))
     cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 1000).alias("__cuts"))
+        F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 4 * buckets).alias("__cuts"))
     split = df.join(cuts, keys).withColumn(
-        "__bucket", F.size(F.filter("__cuts", lambda c: c < F.col(order_col)))).drop("__cuts")
+        "__bucket", _place_among(F.col("__cuts"), F.col(order_col), buckets.bit_length() + 1)).drop("__cuts")
     totals = split.groupBy(*keys, "__bucket").agg(*[F.sum(m).alias(m) for m in measures])
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -50,7 +50,12 @@ def _weighted(candidates: DataFrame, ratings: DataFrame, n: int) -> DataFrame:
 
 
 def user_based(ratings: DataFrame, neighbours: DataFrame, n: int = 10) -> DataFrame:
-    """From the ratings of similar users."""
+    """From the ratings of similar users.
+
+    A neighbour with d ratings has a cosine of at least 0.1 only to users that
+    share about d / 100 of them or more, so the joined rows stay within a fixed
+    multiple of the ratings, however many ratings one user has.
+    """
     theirs = ratings.select(F.col("user_id").alias("other"), "product_id", "rating")
     return _weighted(neighbours.join(theirs, "other"), ratings, n)
 
