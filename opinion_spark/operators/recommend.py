@@ -86,7 +86,8 @@ def content_based(
 ) -> DataFrame:
     """Unseen items similar to the liked ones; users without liked items get the popular list."""
     means = reviews.groupBy("product_id").agg(F.avg("rating").alias("avg_rating"))
-    scored = liked_item_scores(ratings, vectors, n, like, **tuning).join(means, "product_id").select(
+    known = vectors.join(means.select("product_id"), "product_id", "left_semi")  # reviewed products only
+    scored = liked_item_scores(ratings, known, n, like, **tuning).join(means, "product_id").select(
         "user_id", "product_id", F.least("avg_rating", F.lit(5.0)).alias("predicted_rating"),
         F.least("score", F.lit(1.0)).alias("confidence"))
     without = ratings.groupBy("user_id").agg(F.max("rating").alias("m")).where(F.col("m") < like).select("user_id")
