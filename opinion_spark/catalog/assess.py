@@ -16,6 +16,7 @@ from opinion_spark.operators import evaluate as E
 from opinion_spark.operators import quality as Q
 from opinion_spark.operators import sentiment as N
 from opinion_spark.plans.jobs import run_drift
+from opinion_spark.session import spread
 from opinion_spark.sources import tables as S
 
 CORE, TEXT = A.reviews_core, A.reviews_text
@@ -165,7 +166,7 @@ SELECT doc_id, line, pattern_no, secret_type,
 
 @query("secret_scan", _secret_sql())
 def q_secrets(spark, sf):
-    docs = A.read(spark, sf, "documents").select(
+    docs = spread(A.read(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id", F.replace("text", F.lit("token = "), F.lit("access_token = ")).alias("text"))
     return Q.secret_scan(docs, "doc_id", "text")
 

@@ -15,7 +15,7 @@ from opinion_spark.operators import fakes as M
 from opinion_spark.operators import recommend as R
 from opinion_spark.operators import sentiment as N
 from opinion_spark.plans import jobs as J
-from opinion_spark.session import checkpoint_dir, materialize
+from opinion_spark.session import checkpoint_dir, materialize, spread
 from opinion_spark.sources import html as H
 from opinion_spark.sources import tables as S
 from opinion_spark.streaming import metrics as W
@@ -173,7 +173,7 @@ SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS tit
     '^ | $', '', 'g')) AS visible_text,
   CAST(len(regexp_extract_all(html, '(?i)<p[ >]')) AS INT) AS paragraphs FROM pages""")
 def q_page_fields(spark, sf):
-    return H.page_fields(A.read(spark, sf, "pages")).withColumn("visible_text", F.md5("visible_text"))
+    return H.page_fields(spread(A.read(spark, sf, "pages").select("page_id", "html"), "page_id")).withColumn("visible_text", F.md5("visible_text"))
 
 
 @query("review_urls", A.sql("reviews_core", """

@@ -268,8 +268,8 @@ def q_als(spark, sf):
     return R.matrix_factorization(ratings(spark, sf), rank=20, iterations=6)
 
 
-def blended(spark, sf, n=10):
-    """All methods that have an exact SQL twin, blended."""
+def blended(spark, sf, n=10, factorize=False):
+    """All methods that have an exact SQL twin, blended; on request with ALS as well."""
     from opinion_spark.session import materialize
     reviews = CORE(spark, sf)
     r = materialize(R.user_item_ratings(reviews))
@@ -281,9 +281,16 @@ def blended(spark, sf, n=10):
         "content_based": R.content_based(r, vectors, reviews, 2 * n),
         "popular": R.popular_for(r.select("user_id").distinct(), R.popular(reviews, n)),
     }
+    if factorize:
+        methods["matrix_factorization"] = R.matrix_factorization(r, 2 * n, rank=20, iterations=6)
     return R.hybrid(methods, n, neighbours=near)
 
 
+@query("recommend_hybrid_all_methods")
+def q_hybrid_all(spark, sf):
+    return blended(spark, sf, factorize=True)
+
+
 HYBRID = f"""blend AS (SELECT user_id, product_id, sum(predicted_rating * wt) / sum(wt) AS predicted_rating,
     avg(confidence) AS confidence, string_agg(method, ', ' ORDER BY method) AS methods FROM (
   SELECT *, 'user_based' AS method, 0.3 AS wt FROM ({best("urec0", 20)})

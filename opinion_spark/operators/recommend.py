@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from opinion_spark.functions import lexicons as L
 from opinion_spark.operators.aggregates import popular_products
-from opinion_spark.operators.ranking import top_per_key
+from opinion_spark.operators.ranking import row_index, top_per_key
 from opinion_spark.operators.similarity import (
     DIGITS, dense_neighbours, liked_item_scores, sparse_neighbours, unit_weights)
-from opinion_spark.session import checkpoint_dir
+from opinion_spark.session import checkpoint_dir, materialize
 
 REC = ["user_id", "product_id", "predicted_rating", "confidence"]
 
@@ -94,34 +94,49 @@ def content_based(
     return scored.unionByName(popular_for(without, popular(reviews, n)))
 
 
+def _numbered(ratings: DataFrame, key: str) -> DataFrame:
+    """(key, number): a 32-bit number for each id, as ALS needs one.
+
+    Small whole ids stay as they are; others are numbered in hash order, without
+    bringing the ids to the driver.
+    """
+    ids = ratings.select(key).distinct()
+    if dict(ratings.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
+        low, high = ids.agg(F.min(key), F.max(key)).first()
+        if low is None or (low >= -(2**31) and high < 2**31):
+            return ids.select(key, F.col(key).cast("int").alias("number"))
+    return row_index(materialize(ids.withColumn("__x", F.xxhash64(key))), [], "__x", key, "number").select(
+        key, F.col("number").cast("int"))
+
+
 def matrix_factorization(ratings: DataFrame, n: int = 10, rank: int = 50, iterations: int = 10, seed: int = 42) -> DataFrame:
     """Non-negative ALS on the observed ratings; seen items are left out.
 
-    Each user is asked for n more items than it has seen at most, so that n
+    Each user is asked for at least n items more than it has seen, so that n
     unseen items remain; users are grouped by that number in powers of two.
     """
     checkpoint_dir(ratings.sparkSession)
-    users = ratings.select("user_id", F.col("user_id").cast("int").alias("u"))
+    users = materialize(_numbered(ratings, "user_id").withColumnRenamed("number", "u"))
+    items = materialize(_numbered(ratings, "product_id").withColumnRenamed("number", "i"))
+    coded = materialize(ratings.join(users, "user_id").join(items, "product_id").select(
+        "u", "i", F.col("rating").cast("float").alias("rating")))
     model = ALS(
-        rank=rank, maxIter=iterations, nonnegative=True, userCol="user_id", itemCol="product_id", ratingCol="rating",
-        seed=seed, coldStartStrategy="drop", checkpointInterval=5).fit(
-        ratings.select(F.col("user_id").cast("int"), F.col("product_id").cast("int"), F.col("rating").cast("float")))
-    seen = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen")).withColumn(
-        "ask", F.ceil(F.log2(F.col("n_seen") + n)).cast("int"))
-    levels = [r["ask"] for r in seen.select("ask").distinct().collect()]  # a few dozen at most
+        rank=rank, maxIter=iterations, nonnegative=True, userCol="u", itemCol="i", ratingCol="rating",
+        seed=seed, coldStartStrategy="drop", checkpointInterval=5).fit(coded)
+    asked = coded.groupBy("u").agg(F.count(F.lit(1)).alias("n_seen")).withColumn(
+        "level", F.ceil(F.log2(F.col("n_seen") + n)).cast("int"))
+    levels = [r["level"] for r in asked.select("level").distinct().collect()]  # a few dozen at most
     parts = None
     for level in sorted(levels):
-        asked = seen.where(F.col("ask") == level).select(F.col("user_id").cast("int").alias("user_id"))
-        got = model.recommendForUserSubset(asked, 2 ** level).select(
-            "user_id", F.explode("recommendations").alias("r")).select(
-            "user_id", F.col("r.product_id").alias("product_id"), F.col("r.rating").cast("double").alias("predicted_rating"))
+        got = model.recommendForUserSubset(asked.where(F.col("level") == level).select("u"), 2 ** level).select(
+            "u", F.explode("recommendations").alias("r")).select(
+            "u", F.col("r.i").alias("i"), F.col("r.rating").cast("double").alias("predicted_rating"))
         parts = got if parts is None else parts.unionByName(got)
-    kinds = dict(ratings.dtypes)
-    unseen = parts.select(
-        F.col("user_id").cast(kinds["user_id"]), F.col("product_id").cast(kinds["product_id"]), "predicted_rating"
-    ).where("predicted_rating > 0").join(ratings.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
-    best = top_per_key(unseen, ["user_id"], [F.desc("predicted_rating"), F.col("product_id")], n)
-    return best.withColumn("confidence", F.least(F.col("predicted_rating") / 5, F.lit(1.0)))
+    unseen = parts.where("predicted_rating > 0").join(coded.select("u", "i"), ["u", "i"], "left_anti")
+    best = top_per_key(unseen, ["u"], [F.desc("predicted_rating"), F.col("i")], n)
+    return best.join(users, "u").join(items, "i").select(
+        "user_id", "product_id", "predicted_rating",
+        F.least(F.col("predicted_rating") / 5, F.lit(1.0)).alias("confidence"))
 
 
 def item_features(texts: DataFrame, stats: DataFrame, terms: int = 1000) -> DataFrame:
@@ -190,12 +205,13 @@ def hybrid(
     best = top_per_key(
         blended, ["user_id"], [F.desc(F.round("recommendation_score", DIGITS)), F.col("product_id")], n)
     if neighbours is not None:
+        kind = dict(neighbours.dtypes)["other"]
         similar = top_per_key(
             neighbours.where(F.col("other") != F.col("product_id")), ["product_id"],
             [F.desc("sim"), F.col("other")], 3).groupBy("product_id").agg(
             F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("d"), "other"))).alias("s"))
         best = best.join(similar, "product_id", "left").withColumn(
-            "similar_products", F.coalesce(F.col("s.other"), F.array().cast("array<bigint>"))).drop("s")
+            "similar_products", F.coalesce(F.col("s.other"), F.array().cast(f"array<{kind}>"))).drop("s")
     if names is not None:
         from opinion_spark.operators.joins import with_product_name
         best = with_product_name(best, names)

@@ -167,9 +167,12 @@ def test_liked_item_scores(spark, per_part):
     assert got == want
 
 
-def test_factorization_skips_seen_items(spark, small):
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_factorization_skips_seen_items(spark, small, text_ids):
     from opinion_spark import adapters
     r = R.user_item_ratings(adapters.reviews_core(spark, small))
+    if text_ids:
+        r = r.withColumns({c: F.concat(F.lit("x"), c) for c in ("user_id", "product_id")})
     recs = R.matrix_factorization(r, n=5, rank=5, iterations=2)
     assert recs.join(r, ["user_id", "product_id"]).count() == 0
     assert recs.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 5
