@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (
-    IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StandardScaler,
-    StopWordsRemover, VectorAssembler)
+from pyspark.ml.feature import CountVectorizer, NGram, RegexTokenizer, SQLTransformer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
