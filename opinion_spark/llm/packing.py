@@ -152,7 +152,8 @@ def _ranked(rows: DataFrame, key: str) -> DataFrame:
     totals = rows.groupBy("part", key).agg(F.count("*").alias("n"))
     before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = totals.select("part", key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return rows.join(first, ["part", key]).withColumn("rank", F.col("first") + F.col("nth")).drop("first", "part", "nth")
+    kept = [c for c in rows.columns if c not in ("part", "nth")]
+    return rows.join(first, ["part", key]).select(*kept, (F.col("first") + F.col("nth")).alias("rank"))
 
 
 def best_pattern(sizes: list[int], counts: list[int], capacity: int) -> list[int]:

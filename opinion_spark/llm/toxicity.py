@@ -214,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
     ``sample`` bounds the labelled rows: those with the smallest md5 of the id are
     taken, so that reruns agree. A term is a word, or a stem that several words
     share, found in at least ``MIN_DOCS`` toxic documents of the sample with log
-    odds of ``MIN_ODDS`` or more; ``max_terms`` bounds the lexicon. Null labels
+    odds of ``MIN_ODDS`` or more, and more often than chance gives any of the terms
+    tried (log likelihood ratio above the log of their number); ``max_terms`` bounds the lexicon. Null labels
     and ids without a document are left out; without both classes the lexicon is
     empty and every score is near 0.
     """
@@ -233,8 +234,14 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
         F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"), F.lit(1).alias("forms")))
     odds = (F.log((F.col("bad") + 0.5) / (toxic + 1.0)) - F.log((F.col("good") + 0.5) / (clean + 1.0))).alias("odds")
 
+    tried = counted.where(F.col("bad") + F.col("good") >= MIN_DOCS).count()
+    share, seen = toxic / (toxic + clean), F.col("bad") + F.col("good")
+    chance = F.col("bad") * F.log(F.col("bad") / seen / share) + F.when(
+        F.col("good") > 0, F.col("good") * F.log(F.col("good") / seen / (1 - share))).otherwise(0.0)
+
     def telling(df: DataFrame) -> DataFrame:
-        return df.select("term", "forms", "bad", odds).where((F.col("bad") >= MIN_DOCS) & (F.col("odds") >= MIN_ODDS))
+        return df.where(F.col("bad") >= MIN_DOCS).select("term", "forms", "bad", "good", odds).where(
+            (F.col("odds") >= MIN_ODDS) & (chance >= math.log(max(1, tried)) + 1))
 
     found = telling(counted).orderBy(F.desc("odds"), "term").limit(max_terms).collect()
     stems = counted.select(F.explode(F.sequence(F.lit(STEM_FROM), F.lit(8))).alias("n"), "term", "bad", "good").where(
