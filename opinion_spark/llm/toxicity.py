@@ -58,6 +58,7 @@ class Trie:
                 self.longest[node] = max(self.longest[node], len(term))
                 store[node] = weight
         self.edits = edits
+        self.usual: frozenset[str] = frozenset()  # words of clean texts, one edit from a listed one
         self._forget()
 
     def _forget(self) -> None:
@@ -121,15 +122,18 @@ class Trie:
 
 @dataclass
 class Model:
-    """Lexicon with log odds, and the logistic weights of a document's features."""
+    """Lexicon with log odds, words that only look misspelled, and the logistic weights of a document's features."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
+    usual: list[str] = field(default_factory=list)
     weights: list[float] = field(default_factory=lambda: [0.0] * N_FEATURES)
     bias: float = -8.0
 
 
 N_FEATURES = 4
+CAP, UNIT = 60.0, 5.0   # log odds at which a feature stops growing, and its unit
+PRIOR = np.array([2.0, 1.5, 0.2, 0.5])  # weights to which little data leave the fit
 _TRIES: dict[int, tuple[Trie, dict]] = {}
 
 
@@ -152,7 +156,8 @@ def features(text: str, trie: Trie, seen: dict) -> tuple[float, ...]:
         if hit is None:
             if len(seen) > MAX_WORDS_KEPT:
                 seen.clear()
-            hit = seen[token] = trie.find(token)
+            hit = trie.find(token)
+            hit = seen[token] = (hit[0], 0.0) if token in trie.usual else hit
         if hit == (0.0, 0.0):
             continue
         weight = max(hit[0], hit[1] / 2)
@@ -165,14 +170,16 @@ def features(text: str, trie: Trie, seen: dict) -> tuple[float, ...]:
             near += hit[1]
         recent = [(at, w) for at, w in recent if place - at < WINDOW] + [(place, weight)]
         worst = max(worst, sum(w for _, w in recent))
-    return math.log1p(listed), math.log1p(near), math.log1p(quoted), math.log1p(worst)
+    return tuple(min(x, CAP) / UNIT for x in (listed, near, quoted, worst))
 
 
 def _scorer(model: Model):
-    key = hash((tuple(sorted(model.words.items())), tuple(sorted(model.stems.items()))))
+    key = hash((tuple(sorted(model.words.items())), tuple(sorted(model.stems.items())), tuple(model.usual)))
     if key not in _TRIES:
         _TRIES.clear()
-        _TRIES[key] = (Trie(model.words, model.stems), {})
+        trie = Trie(model.words, model.stems)
+        trie.usual = frozenset(model.usual)
+        _TRIES[key] = (trie, {})
     return _TRIES[key]
 
 
@@ -192,18 +199,17 @@ def _rows(model: Model, with_features: bool):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 0.05) -> tuple[list[float], float]:
-    """Weighted ridge logistic regression by Newton steps; both classes weigh alike."""
+def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 2.0) -> tuple[list[float], float]:
+    """Logistic regression by Newton steps, pulled towards ``PRIOR``; no weight is negative."""
     z = np.hstack([x, np.ones((len(x), 1))])
-    w = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    beta = np.zeros(z.shape[1])
-    pull = np.full(z.shape[1], ridge)
-    pull[-1] = 1e-4
+    to = np.append(PRIOR, -4.0)
+    pull = np.append(np.full(x.shape[1], ridge), 0.1)
+    beta = to.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + np.diag(pull + 1e-9),
-                               z.T @ (w * (y - p)) - pull * beta)
-        beta += np.clip(step, -4, 4)
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(pull), z.T @ (y - p) - pull * (beta - to))
+        beta += np.clip(step, -2, 2)
+        beta[:-1] = np.maximum(beta[:-1], 0.0)
     return beta[:-1].tolist(), float(beta[-1])
 
 
@@ -215,7 +221,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
     taken, so that reruns agree. A term is a word, or a stem that several words
     share, found in at least ``MIN_DOCS`` toxic documents of the sample with log
     odds of ``MIN_ODDS`` or more, and more often than chance gives any of the terms
-    tried (log likelihood ratio above the log of their number); ``max_terms`` bounds the lexicon. Null labels
+    tried (log likelihood ratio above the log of their number). Words of two or
+    more clean documents that are one edit from a term are no misspellings of it;
+    ``max_terms`` bounds the lexicon. Null labels
     and ids without a document are left out; without both classes the lexicon is
     empty and every score is near 0.
     """
@@ -240,21 +248,27 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
         F.col("good") > 0, F.col("good") * F.log(F.col("good") / seen / (1 - share))).otherwise(0.0)
 
     def telling(df: DataFrame) -> DataFrame:
-        return df.where(F.col("bad") >= MIN_DOCS).select("term", "forms", "bad", "good", odds).where(
-            (F.col("odds") >= MIN_ODDS) & (chance >= math.log(max(1, tried)) + 1))
+        return df.where(F.col("bad") >= MIN_DOCS).select("term", "forms", "bad", "good", odds, chance.alias("chance")).where(
+            (F.col("odds") >= MIN_ODDS) & (F.col("chance") >= math.log(max(1, tried)) + 1))
 
-    found = telling(counted).orderBy(F.desc("odds"), "term").limit(max_terms).collect()
-    stems = counted.select(F.explode(F.sequence(F.lit(STEM_FROM), F.lit(8))).alias("n"), "term", "bad", "good").where(
+    found = telling(counted).orderBy(F.desc("chance"), "term").limit(max_terms).collect()
+    stems = counted.select(F.explode(F.sequence(F.lit(STEM_FROM), F.lit(10))).alias("n"), "term", "bad", "good").where(
         F.char_length("term") >= F.col("n")).groupBy(F.expr("substring(term, 1, n)").alias("term")).agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("forms"))
-    shared = telling(stems.where("forms >= 4")).orderBy(F.desc("odds"), "term").limit(max_terms).collect()
-    kept = {r["term"]: r["odds"] for r in shared}
-    kept = {t: w for t, w in kept.items() if not any(t[:i] in kept for i in range(STEM_FROM, len(t)))}
-    model = Model({r["term"]: r["odds"] for r in found}, kept)
+    shared = telling(stems.where("forms >= 4")).orderBy(F.desc("chance"), "term").limit(max_terms).collect()
+    kept: dict[str, float] = {}
+    for r in shared:  # of stems within each other the one with most evidence
+        if not any(r["term"].startswith(t) or t.startswith(r["term"]) for t in kept):
+            kept[r["term"]] = r["odds"]
+    told = {r["term"]: r["odds"] for r in found}
+    model = Model({t: w for t, w in told.items() if not any(t.startswith(k) and w <= v for k, v in kept.items())}, kept)
+    trie = Trie(model.words, model.stems)
+    near = F.udf(lambda term: trie.find(term)[1] > 0, "boolean")
+    usual = counted.where("good >= 2").where(near("term")).orderBy(F.desc("good"), "term").limit(25 * max_terms)
+    model.usual = sorted(r["term"] for r in usual.select("term", "good").collect())
     seen = texts.mapInArrow(_rows(model, True), "id long, y int, " + ", ".join(
         f"x{i} double" for i in range(N_FEATURES))).toPandas()  # at most ``sample`` rows
     model.weights, model.bias = _logistic(seen[[f"x{i}" for i in range(N_FEATURES)]].to_numpy(), seen["y"].to_numpy())
-    model.weights = [max(0.0, w) for w in model.weights]
     return model
 
 
