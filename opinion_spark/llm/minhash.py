@@ -16,8 +16,9 @@ from opinion_spark.session import materialize
 
 BANDS, ROWS = 32, 5     # two texts of similarity 0.8 meet in no band with probability 3e-6
 BATCH = 32              # signature values compared before each decision
+BITS = 128              # functions of which a band row carries one bit: the first batch
 MISS = 1e-6             # chosen probability to prune a pair that is similar
-SIDE = 256              # rows on each side of a block that is compared in one task
+SIDE = 512              # rows on each side of a block that is compared in one task
 CHUNK = 2048
 
 _RNG = np.random.default_rng(20240229)
@@ -30,7 +31,7 @@ _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
-SKETCH = "id long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>"
+SKETCH = "id long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>, x long, y long"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -84,7 +85,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 def _sketches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("n_shingles", "h1", "h2", "sig", "bands")}
+            out: dict[str, list] = {k: [] for k in ("n_shingles", "h1", "h2", "sig", "bands", "x", "y")}
             for text in batch.column("text"):
                 words = word_hashes(text.as_py() or "")
                 sets = shingles(words, width)
@@ -97,9 +98,12 @@ def _sketches(width: int):
                 out["h1"].append(h1.astype(np.int64))
                 out["h2"].append(h2.astype(np.int64))
                 out["sig"].append((sig >> np.uint32(16)).astype(np.uint16).tobytes() if len(sets) else None)
+                x, y = np.packbits((sig[:BITS] >> np.uint32(16)).astype(np.uint8) & 1).view(np.int64)
+                out["x"].append(x)
+                out["y"].append(y)
                 out["bands"].append(bands.astype(np.int64) if len(sets) else None)
             kinds = {"bands": pa.list_(pa.int64()), "sig": pa.binary(), "h1": pa.int64(), "h2": pa.int64(),
-                     "n_shingles": pa.int64()}
+                     "n_shingles": pa.int64(), "x": pa.int64(), "y": pa.int64()}
             yield pa.RecordBatch.from_pydict({"id": batch.column("id")} | {
                 k: pa.array(v, kinds[k]) for k, v in out.items()})
     return run
@@ -152,24 +156,51 @@ def _pruned(threshold: float, miss: float):
     return run
 
 
-def _across(threshold: float, miss: float):
-    """Pairs of one block of a band that are in different components and may be similar.
-
-    Rows come sorted by block; a block has at most about twice ``SIDE`` rows.
+@cache
+def most_differing(threshold: float, miss: float) -> int:
+    """Bits that may differ: a similar pair differs in more with probability ``miss`` at most."""
+    chance, p = 1.0, (1 - threshold) / 2
+    for d in range(BITS + 1):
+        chance -= comb(BITS, d) * p**d * (1 - p) ** (BITS - d)
+        if chance <= miss:
+            return d
+    return BITS
+
+
+def _in_blocks(threshold: float, miss: float, labelled: bool):
+    """Pairs within the blocks of each band that their first bits and sizes leave likely.
+
+    Rows come sorted by block; a block has about twice ``SIDE`` rows at most. Without
+    labels, the members of a block are linked to leaders: the one with most
+    likely partners takes these, then the next of those left. With labels, every
+    likely pair across components is returned.
     """
+    most, share = most_differing(threshold, miss), round(100 * threshold)
+
     def pairs(block: pa.Table) -> pa.RecordBatch:
-        ids, comps = block.column("id").to_numpy(), block.column("component").to_numpy()
-        part, sides = block.column("part").to_numpy(), block.column("lo").to_numpy() != block.column("hi").to_numpy()
-        i, j = np.triu_indices(len(ids), 1)
-        ok = (comps[i] != comps[j]) & (ids[i] != ids[j]) & (~sides[i] | (part[i] != part[j]))
-        i, j = i[ok], j[ok]
-        if len(i):
-            sigs = _signatures(block.column("sig").combine_chunks())
-            step = [survivors(sigs[i[k:k + 4096]], sigs[j[k:k + 4096]], threshold, miss) + k
-                    for k in range(0, len(i), 4096)]
-            kept = np.concatenate(step)
-            i, j = i[kept], j[kept]
-        return pa.RecordBatch.from_pydict({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+        col = {c: block.column(c).to_numpy() for c in block.column_names}
+        a, b = [], []
+        if not labelled or (col["component"] != col["component"][0]).any():
+            ids, n = col["id"], col["n_shingles"]
+            bits = np.stack([col["x"], col["y"]], 1).view(np.uint64)
+            likely = np.bitwise_count(bits[:, None] ^ bits[None]).sum(2, dtype=np.int32) <= most
+            likely &= (100 * np.minimum.outer(n, n) >= share * np.maximum.outer(n, n)) & (ids[:, None] != ids[None])
+            if col["lo"][0] != col["hi"][0]:
+                likely &= col["part"][:, None] != col["part"][None]
+            if labelled:
+                likely &= col["component"][:, None] != col["component"][None]
+                i, j = np.nonzero(np.triu(likely))
+                a, b = ids[i], ids[j]
+            else:
+                free = likely.any(1)
+                while free.any():
+                    lead = np.where(free, (likely & free).sum(1), -1).argmax()
+                    to = np.flatnonzero(likely[lead] & free)
+                    a, b = np.concatenate([a, np.full(len(to), ids[lead])]), np.concatenate([b, ids[to]])
+                    free[lead] = False
+                    free[to] = False
+        a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -179,30 +210,44 @@ def _across(threshold: float, miss: float):
             if not rows.num_rows:
                 continue
             keys = np.stack([rows.column(c).to_numpy() for c in ("key", "lo", "hi")], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1)]
-            for start, end in zip(cuts, cuts[1:]):
-                yield pairs(rows.slice(start, end - start))
+            cuts = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1))
+            for at in np.flatnonzero(np.diff(cuts) > 1):
+                yield pairs(rows.slice(cuts[at], cuts[at + 1] - cuts[at]))
             rest = rows.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
+        if rest is not None and rest.num_rows > 1:
             yield pairs(rest)
     return run
 
 
+def _blocks(members: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Members of each band in blocks; a crowded band is cut into parts and all pairs of parts are blocks."""
+    placed = members.join(crowded, "key", "left").withColumn(
+        "parts", F.coalesce(F.ceil(F.col("n") / SIDE), F.lit(1)).cast("int")).withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return placed.select(
+        *members.columns, F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part"
+    ).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, miss: float = MISS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept): one row per row of ``docs``.
 
     1. Texts with the same words are one class, named by its smallest id.
-    2. Classes that share a band are candidates. Each is compared with one leader
-       of every band it is in (another one in each band), not with all others.
-    3. Candidate signatures are compared in batches of ``BATCH`` values; a pair is
+    2. Classes that share a band are candidates. Band rows carry set size and one
+       bit of ``BITS`` signature values, a first batch of the comparison; within
+       a band, members are compared on these in blocks and linked to a few
+       leaders, so at most one pair per member leaves a task. Crowded bands are
+       cut into blocks of bounded size.
+    3. The pairs' signatures are compared in batches of ``BATCH`` values; a pair is
        pruned once the posterior probability that its similarity reaches
        ``threshold`` is below ``miss``.
     4. Survivors are verified on their full shingle sets; verified links give
        components.
-    5. Bands whose members still lie in several components have all those pairs
-       compared, block by block, with the same pruning and exact check, so that
-       no link between components is left out. Only survivors leave a task.
+    5. Bands whose members still lie in several components have all likely pairs
+       across components compared in the same way, so that no link between
+       components is left out.
 
     A text's set is its distinct runs of ``width`` words (A-Z lower-cased), the
     whole sequence if it is shorter. Null texts and texts without words have empty
@@ -218,36 +263,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
     worded = rows.where("n_shingles > 0")
     classes = materialize(worded.groupBy("h1", "h2").agg(F.min("id").alias("rep")))
     reps = worded.join(classes.where("rep is not null"), ["h1", "h2"]).where("id = rep")
-    sigs = materialize(reps.select("id", "n_shingles", "sig", "bands", "h1", "h2").dropDuplicates(["id", "h1"]))
+    sigs = materialize(reps.select("id", "n_shingles", "sig", "bands", "x", "y", "h1", "h2").dropDuplicates(["id", "h1"]))
     one = sigs.select("id", "n_shingles", "sig")
 
-    members = sigs.select("id", F.explode("bands").alias("key"))
-    order = F.col("id").bitwiseXOR(F.col("key"))
-    leaders = members.groupBy("key").agg(F.min(order).alias("code"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(members.join(leaders, "key").select(
-        "key", "id", "n", F.col("code").bitwiseXOR(F.col("key")).alias("leader")))
-    compared = materialize(shared.where("id != leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
-    links = _verified(narrow, classes, _likely(compared, one, threshold, miss), width, threshold)
+    members = sigs.select("id", "n_shingles", "x", "y", F.explode("bands").alias("key"))
+    crowded = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SIDE))
+    compared = materialize(_blocks(members, crowded).mapInArrow(
+        _in_blocks(threshold, miss, False), "a long, b long").distinct())
+    links = _verified(narrow, _likely(compared, one, threshold, miss), width, threshold)
     told = materialize(components(links))
 
-    labelled = shared.where("n > 2").join(told.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component"))
-    labelled = materialize(labelled)
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    open_ = labelled.join(mixed.select("key"), "key").withColumn(
-        "parts", F.ceil(F.col("n") / SIDE).cast("int")).withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = open_.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
-                          "part", "id", "component").join(one.select("id", "sig"), "id")
-    more = blocks.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(
-        _across(threshold, miss), "a long, b long").distinct()
+    labelled = members.join(told.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+    more = _blocks(labelled, crowded).mapInArrow(_in_blocks(threshold, miss, True), "a long, b long").distinct()
     more = materialize(more.join(compared, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        sized = _sized(more, one, threshold)
-        late = _verified(narrow, classes, sized, width, threshold)
-        told = materialize(components(links.unionByName(late)))
+        late = _verified(narrow, _likely(more, one, threshold, miss), width, threshold)
+        if not late.isEmpty():
+            told = materialize(components(links.unionByName(late)))
 
     rep_of = classes.join(told, F.col("rep") == F.col("node"), "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component"))
@@ -257,15 +290,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
                         F.col("id").eqNullSafe(F.col("c")).alias("kept"))
 
 
-def _sized(pairs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    a = one.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"))
-    b = one.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"))
-    share = round(100 * threshold)
-    return pairs.join(a, "a").join(b, "b").where(
-        100 * F.least("na", "nb") >= share * F.greatest("na", "nb")).select("a", "b")
-
-
 def _likely(pairs: DataFrame, one: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Pairs left by sizes and by the sequential comparison of signatures."""
     share = round(100 * threshold)
@@ -275,7 +299,7 @@ def _likely(pairs: DataFrame, one: DataFrame, threshold: float, miss: float) ->
     return materialize(both.select("a", "b", "sig_a", "sig_b").mapInArrow(_pruned(threshold, miss), "a long, b long"))
 
 
-def _verified(narrow: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, threshold: float) -> DataFrame:
+def _verified(narrow: DataFrame, pairs: DataFrame, width: int, threshold: float) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity; only their texts are read again."""
     pairs = materialize(pairs)
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
