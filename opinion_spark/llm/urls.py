@@ -58,12 +58,12 @@ def temporal_filter(captures: DataFrame, entries: DataFrame, id_col: str = "page
     captures there are no rows. Other columns of both tables are not read.
     """
     rows = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("t"))
-    spans = materialize(validity(entries))
-    month = F.trunc("m", "month")
-    last = F.least(F.col("valid_to") - F.expr("interval 1 microsecond"), F.lit("2100-01-01").cast("timestamp"))
-    spread = spans.withColumn("m", F.explode(F.sequence(
-        F.trunc("valid_from", "month"), F.greatest(F.trunc(last, "month"), F.trunc("valid_from", "month")),
-        F.expr("interval 1 month")))).select("key", month.alias("month"), "list_name", "valid_from", "valid_to")
+    times = rows.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()  # months without captures are not needed
+    lo, hi = F.lit(times["lo"]).cast("timestamp"), F.lit(times["hi"]).cast("timestamp")
+    spans = validity(entries).where((F.col("valid_from") <= hi) & (F.col("valid_to") > lo))
+    spread = materialize(spans.withColumn("month", F.explode(F.sequence(
+        F.trunc(F.greatest("valid_from", lo), "month"), F.trunc(F.least("valid_to", hi), "month"),
+        F.expr("interval 1 month")))).select("key", "month", "list_name", "valid_from", "valid_to"))
     asked = rows.where("t is not null").select("url", "t").distinct().select(
         "url", "t", F.explode(keys(F.col("url"))).alias("key"), F.trunc("t", "month").alias("month"))
     hits = asked.join(spread, ["key", "month"]).where("valid_from <= t and t < valid_to")
