@@ -75,11 +75,11 @@ TEXT_FEATURES: dict[str, tuple[Callable[..., Column], str]] = {
                                     hits_sql("lower(review_text)", L.DRIFT_NEGATIVE)),
     "lexicon_hits_positive": (lambda t: X.phrase_hits(F.lower(t), L.SENTIMENT_POSITIVE), POS),
     "lexicon_hits_negative": (lambda t: X.phrase_hits(F.lower(t), L.SENTIMENT_NEGATIVE), NEG),
-    "token_count": (lambda t: X.token_count(t), count_sql(r"\w+|[^\w\s]", "lower(review_text)")),
+    "token_count": (lambda t: X.token_count(t), count_sql(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]", "lower(review_text)")),
     "avg_token_length": (
         lambda t: X.avg_token_length(t),
         ratio_sql(r"length(regexp_replace(review_text, '\s', '', 'g'))",
-                  count_sql(r"\w+|[^\w\s]", "lower(review_text)"))),
+                  count_sql(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]", "lower(review_text)"))),
     "polarity_compound": (
         lambda t: X.polarity(t), f"({POS} - {NEG})::double / sqrt(({POS} - {NEG})::double * ({POS} - {NEG}) + 15.0)"),
     "length_category": (

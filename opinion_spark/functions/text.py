@@ -103,7 +103,7 @@ def repeated_words(t: Column) -> Column:
 
 def token_count(t: Column) -> Column:
     """Words and single punctuation marks."""
-    return matches(F.lower(t), r"\w+|[^\w\s]")
+    return matches(F.lower(t), r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]")
 
 
 def avg_token_length(t: Column) -> Column:

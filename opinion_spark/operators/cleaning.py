@@ -199,7 +199,7 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return dedup.drop_near(dedup.drop_exact(df))
 
 
-def clean_reviews(df: DataFrame, as_of: str, target: int | None = 20_000, min_length: int = 10) -> DataFrame:
+def clean_reviews(df: DataFrame, as_of: str, target: int | None = None, min_length: int = 10) -> DataFrame:
     """All cleaning steps in order. ``target`` None keeps every row (no sample step).
 
     The normalised texts are written once; the percentile, the user counts, the

@@ -22,7 +22,7 @@ from opinion_spark.session import materialize
 from opinion_spark.sources import tables as S
 
 
-def run_etl(raw: DataFrame, out: str, as_of: str, target: int | None = 20_000) -> DataFrame:
+def run_etl(raw: DataFrame, out: str, as_of: str, target: int | None = None) -> DataFrame:
     """Clean, check, write reviews / products / users, return the report row.
 
     Fails before anything is written if a check fails. The written review table

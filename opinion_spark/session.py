@@ -38,11 +38,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch folder only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; without it, a scratch folder on a local master only.
+
+    On a cluster each executor would write to its own disk and rows would be
+    missing later, so an unset folder is an error there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not named and not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder for master {master}")
     target = named or tempfile.mkdtemp(prefix="opinion-checkpoint-")
     spark.sparkContext.setCheckpointDir(target)
     return target
