@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from math import comb
+from math import comb, exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,8 @@ BANDS, ROWS = 32, 5     # two texts of similarity 0.8 meet in no band with proba
 BATCH = 32              # signature values compared before each decision
 BITS = 128              # functions of which a band row carries one bit: the first batch
 MISS = 1e-6             # chosen probability to prune a pair that is similar
+STEP = 2                # words of 64 bits compared before each decision across components
+WIDE = 2048             # functions of which one bit is kept to compare across components
 SIDE = 512              # rows on each side of a block that is compared in one task
 CHUNK = 2048
 
@@ -27,11 +29,14 @@ _BYTES[65:91] = _BYTES[97:123]  # A-Z as a-z
 _STEPS = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _MULT = (_RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
+_WIDE_MULT = (_RNG.integers(0, 2**32, WIDE, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_WIDE_ADD = _RNG.integers(0, 2**32, WIDE, dtype=np.uint64).astype(np.uint32)
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 SKETCH = "id long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>, x long, y long"
+WIDE_SKETCH = "id long, h1 long, n_shingles long, tags binary, wide binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,39 +78,67 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """MinHash values under ``BANDS * ROWS`` multiply-add functions of 32 bits."""
+def signature(hashes: np.ndarray, mult: np.ndarray = _MULT, add: np.ndarray = _ADD) -> np.ndarray:
+    """MinHash values under multiply-add functions of 32 bits."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
-    best = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
-    for at in range(0, len(low), CHUNK):
-        np.minimum(best, (_MULT[:, None] * low[at:at + CHUNK] + _ADD[:, None]).min(1), out=best)
+    best = np.full(len(mult), 2**32 - 1, np.uint32)
+    step = CHUNK * len(_MULT) // len(mult)
+    for at in range(0, len(low), step):
+        np.minimum(best, (mult[:, None] * low[at:at + step] + add[:, None]).min(1), out=best)
     return best
 
 
+def sequence_hashes(words: np.ndarray) -> tuple[np.int64, np.int64]:
+    """Two hashes of the whole sequence of words."""
+    place = _mix(np.arange(1, len(words) + 1, dtype=np.uint64))
+    return ((words * place).sum(dtype=np.uint64).astype(np.int64),
+            _mix(words ^ place).sum(dtype=np.uint64).astype(np.int64))
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    return _mix((sig.reshape(BANDS, ROWS).astype(np.uint64) * _STEPS[:ROWS]).sum(1, dtype=np.uint64)
+                + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEPS[ROWS]).astype(np.int64)
+
+
+def _first_bits(sig: np.ndarray) -> np.ndarray:
+    """One bit of each value, packed."""
+    return np.packbits((sig >> np.uint32(16)).astype(np.uint8) & 1)
+
+
 def _sketches(width: int):
+    kinds = {"n_shingles": pa.int64(), "h1": pa.int64(), "h2": pa.int64(), "sig": pa.binary(),
+             "bands": pa.list_(pa.int64()), "x": pa.int64(), "y": pa.int64()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("n_shingles", "h1", "h2", "sig", "bands", "x", "y")}
+            out = []
             for text in batch.column("text"):
                 words = word_hashes(text.as_py() or "")
                 sets = shingles(words, width)
-                place = _mix(np.arange(1, len(words) + 1, dtype=np.uint64))
-                h1, h2 = (words * place).sum(dtype=np.uint64), (_mix(words ^ place)).sum(dtype=np.uint64)
                 sig = signature(sets)
-                bands = _mix((sig.reshape(BANDS, ROWS).astype(np.uint64) * _STEPS[:ROWS]).sum(1, dtype=np.uint64)
-                             + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEPS[ROWS])
-                out["n_shingles"].append(len(sets))
-                out["h1"].append(h1.astype(np.int64))
-                out["h2"].append(h2.astype(np.int64))
-                out["sig"].append((sig >> np.uint32(16)).astype(np.uint16).tobytes() if len(sets) else None)
-                x, y = np.packbits((sig[:BITS] >> np.uint32(16)).astype(np.uint8) & 1).view(np.int64)
-                out["x"].append(x)
-                out["y"].append(y)
-                out["bands"].append(bands.astype(np.int64) if len(sets) else None)
-            kinds = {"bands": pa.list_(pa.int64()), "sig": pa.binary(), "h1": pa.int64(), "h2": pa.int64(),
-                     "n_shingles": pa.int64(), "x": pa.int64(), "y": pa.int64()}
+                short, bands = (sig >> np.uint32(16)).astype(np.uint16).tobytes(), band_keys(sig)
+                out.append((len(sets), *sequence_hashes(words), short if len(sets) else None,
+                            bands if len(sets) else None, *_first_bits(sig[:BITS]).view(np.int64)))
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id")} | {
+                k: pa.array([row[at] for row in out], kind) for at, (k, kind) in enumerate(kinds.items())})
+    return run
+
+
+def _wide_sketches(width: int):
+    """Set size, the low half of each band key and one bit of ``WIDE`` MinHash values."""
+    kinds = {"h1": pa.int64(), "n_shingles": pa.int64(), "tags": pa.binary(), "wide": pa.binary()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column("text"):
+                words = word_hashes(text.as_py() or "")
+                sets = shingles(words, width)
+                out.append((sequence_hashes(words)[0], len(sets),
+                            band_keys(signature(sets)).astype(np.uint32).tobytes(),
+                            _first_bits(signature(sets, _WIDE_MULT, _WIDE_ADD)).tobytes()))
             yield pa.RecordBatch.from_pydict({"id": batch.column("id")} | {
-                k: pa.array(v, kinds[k]) for k, v in out.items()})
+                k: pa.array([row[at] for row in out], kind) for at, (k, kind) in enumerate(kinds.items())})
     return run
 
 
@@ -125,9 +158,10 @@ def least_matches(compared: int, threshold: float, miss: float) -> int:
     With a uniform prior, P(similarity >= t | m of n match) is the chance that a
     binomial of n + 1 trials with probability t is at most m.
     """
-    chance = 0.0
+    n, chance = compared + 1, 0.0
     for m in range(compared + 1):
-        chance += comb(compared + 1, m) * threshold**m * (1 - threshold) ** (compared + 1 - m)
+        chance += exp(lgamma(n + 1) - lgamma(m + 1) - lgamma(n - m + 1)
+                      + m * log(threshold) + (n - m) * log(1 - threshold))
         if chance >= miss:
             return m
     return compared
@@ -167,39 +201,72 @@ def most_differing(threshold: float, miss: float) -> int:
     return BITS
 
 
-def _in_blocks(threshold: float, miss: float, labelled: bool):
-    """Pairs within the blocks of each band that their first bits and sizes leave likely.
+def _fit(col: dict[str, np.ndarray], share: int) -> np.ndarray:
+    """Pairs of a block whose ids differ, whose sizes allow the similarity, and that no other block has."""
+    ids, n = col["id"], col["n_shingles"]
+    fit = (100 * np.minimum.outer(n, n) >= share * np.maximum.outer(n, n)) & (ids[:, None] != ids[None])
+    if col["lo"][0] != col["hi"][0]:
+        fit &= col["part"][:, None] != col["part"][None]
+    return fit
+
 
-    Rows come sorted by block; a block has about twice ``SIDE`` rows at most. Without
-    labels, the members of a block are linked to leaders: the one with most
-    likely partners takes these, then the next of those left. With labels, every
-    likely pair across components is returned.
+def _leaders(threshold: float, miss: float):
+    """Links of a block's members to leaders, by first bits and sizes.
+
+    The member with most likely partners leads these, then the next of those left.
     """
     most, share = most_differing(threshold, miss), round(100 * threshold)
 
-    def pairs(block: pa.Table) -> pa.RecordBatch:
+    def pairs(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         col = {c: block.column(c).to_numpy() for c in block.column_names}
-        a, b = [], []
-        if not labelled or (col["component"] != col["component"][0]).any():
-            ids, n = col["id"], col["n_shingles"]
-            bits = np.stack([col["x"], col["y"]], 1).view(np.uint64)
-            likely = np.bitwise_count(bits[:, None] ^ bits[None]).sum(2, dtype=np.int32) <= most
-            likely &= (100 * np.minimum.outer(n, n) >= share * np.maximum.outer(n, n)) & (ids[:, None] != ids[None])
-            if col["lo"][0] != col["hi"][0]:
-                likely &= col["part"][:, None] != col["part"][None]
-            if labelled:
-                likely &= col["component"][:, None] != col["component"][None]
-                i, j = np.nonzero(np.triu(likely))
-                a, b = ids[i], ids[j]
-            else:
-                free = likely.any(1)
-                while free.any():
-                    lead = np.where(free, (likely & free).sum(1), -1).argmax()
-                    to = np.flatnonzero(likely[lead] & free)
-                    a, b = np.concatenate([a, np.full(len(to), ids[lead])]), np.concatenate([b, ids[to]])
-                    free[lead] = False
-                    free[to] = False
-        a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        bits = np.stack([col["x"], col["y"]], 1).view(np.uint64)
+        likely = np.bitwise_count(bits[:, None] ^ bits[None]).sum(2, dtype=np.int32) <= most
+        likely &= _fit(col, share)
+        a, b, free = [], [], likely.any(1)
+        while free.any():
+            lead = np.where(free, (likely & free).sum(1), -1).argmax()
+            to = np.flatnonzero(likely[lead] & free)
+            a, b = np.concatenate([a, np.full(len(to), col["id"][lead])]), np.concatenate([b, col["id"][to]])
+            free[lead] = False
+            free[to] = False
+        return np.asarray(a, np.int64), np.asarray(b, np.int64)
+    return pairs
+
+
+def _across(threshold: float, miss: float):
+    """All pairs of a block across components that no batch of bits rules out.
+
+    One bit of a value is compared, so values of unlike shingles match once in two
+    times and the threshold is that of the bits. A pair that shares several bands
+    is compared in the first of them.
+    """
+    share, chance = round(100 * threshold), (1 + threshold) / 2
+
+    def pairs(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        col = {c: block.column(c).to_numpy() for c in block.column_names if c not in ("wide", "tags")}
+        bits = np.frombuffer(b"".join(block.column("wide").to_pylist()), np.uint64).reshape(block.num_rows, -1)
+        tags = np.frombuffer(b"".join(block.column("tags").to_pylist()), np.uint32).reshape(block.num_rows, BANDS)
+        differ = sum(np.bitwise_count(w[:, None] ^ w[None]) for w in bits.T[:STEP])
+        likely = _fit(col, share) & (col["component"][:, None] != col["component"][None])
+        i, j = np.nonzero(np.triu(likely & (64 * STEP - differ.astype(np.int32) >= least_matches(
+            64 * STEP, chance, miss))))
+        here = col["key"][:1].astype(np.uint32)
+        first = tags[i, (tags[i] == tags[j]).argmax(1)] == here
+        i, j = i[first], j[first]
+        differ = differ[i, j].astype(np.int32)
+        for at in range(STEP, bits.shape[1], STEP):
+            differ = differ + np.bitwise_count(bits[i, at:at + STEP] ^ bits[j, at:at + STEP]).sum(1, dtype=np.int32)
+            upto = 64 * (at + STEP)
+            keep = upto - differ >= least_matches(upto, chance, miss)
+            i, j, differ = i[keep], j[keep], differ[keep]
+        return col["id"][i], col["id"][j]
+    return pairs
+
+
+def _in_blocks(pairs):
+    """``pairs`` of each block; rows come sorted by block, and a block has about twice ``SIDE`` rows at most."""
+    def of(block: pa.Table) -> pa.RecordBatch:
+        a, b = pairs(block)
         return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +279,10 @@ def _in_blocks(threshold: float, miss: float, labelled: bool):
             keys = np.stack([rows.column(c).to_numpy() for c in ("key", "lo", "hi")], 1)
             cuts = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1))
             for at in np.flatnonzero(np.diff(cuts) > 1):
-                yield pairs(rows.slice(cuts[at], cuts[at + 1] - cuts[at]))
+                yield of(rows.slice(cuts[at], cuts[at + 1] - cuts[at]))
             rest = rows.slice(cuts[-1])
         if rest is not None and rest.num_rows > 1:
-            yield pairs(rest)
+            yield of(rest)
     return run
 
 
@@ -245,9 +312,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
        ``threshold`` is below ``miss``.
     4. Survivors are verified on their full shingle sets; verified links give
        components.
-    5. Bands whose members still lie in several components have all likely pairs
-       across components compared in the same way, so that no link between
-       components is left out.
+    5. Bands whose members still lie in several components have all their pairs
+       across components compared, so that no link between components is left
+       out. Only the members of these bands are sent on, with one bit of ``WIDE``
+       further signature values; these are compared in batches inside the block
+       by the same bound, and the survivors go through steps 3 and 4.
 
     A text's set is its distinct runs of ``width`` words (A-Z lower-cased), the
     whole sequence if it is shorter. Null texts and texts without words have empty
@@ -269,13 +338,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
     members = sigs.select("id", "n_shingles", "x", "y", F.explode("bands").alias("key"))
     crowded = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SIDE))
     compared = materialize(_blocks(members, crowded).mapInArrow(
-        _in_blocks(threshold, miss, False), "a long, b long").distinct())
+        _in_blocks(_leaders(threshold, miss)), "a long, b long").distinct())
     links = _verified(narrow, _likely(compared, one, threshold, miss), width, threshold)
     told = materialize(components(links))
 
-    labelled = members.join(told.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    more = _blocks(labelled, crowded).mapInArrow(_in_blocks(threshold, miss, True), "a long, b long").distinct()
+    labelled = sigs.join(told.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "h1", F.coalesce("component", "id").alias("component"), F.explode("bands").alias("key"))
+    mixed = materialize(labelled.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high").select("key", "n"))
+    parted = materialize(labelled.join(mixed.select("key"), "key", "left_semi"))
+    wide = materialize(narrow.join(materialize(parted.select("id").distinct()), "id", "left_semi").mapInArrow(
+        _wide_sketches(width), WIDE_SKETCH).dropDuplicates(["id", "h1"]))
+    more = _blocks(parted.join(wide, ["id", "h1"]).drop("h1"), mixed).mapInArrow(
+        _in_blocks(_across(threshold, miss)), "a long, b long").distinct()
     more = materialize(more.join(compared, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         late = _verified(narrow, _likely(more, one, threshold, miss), width, threshold)
