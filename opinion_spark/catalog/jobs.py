@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,19 +95,13 @@ def q_training(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("text_length"), 6).alias("avg_length"))
 
 
-def _small_grid(forest):
-    """One point of the grid, to keep the registered query short."""
-    from pyspark.ml.tuning import ParamGridBuilder
-    return ParamGridBuilder().addGrid(forest.numTrees, [20]).addGrid(forest.maxDepth, [5]).build()
-
-
 def _trained(spark, sf):
     features = materialize(M.all_features(TEXT(spark, sf)))
     labels = A.read(spark, sf, "labels").select(
         F.col("doc_id").alias("review_id"), (1 - F.col("quality")).alias("is_fake"))
     marked = features.join(labels, "review_id")
     data = materialize(M.training_set(marked.where("is_fake = 0"), marked.where("is_fake = 1"), 2000))
-    return features, *M.train(data, folds=2, grid=_small_grid)
+    return features, *M.train(data)
 
 
 @query("fake_model_metrics")
@@ -117,7 +113,7 @@ def q_metrics(spark, sf):
 def q_predictions(spark, sf):
     """Train, save, load again, score every review."""
     features, model, _, _ = _trained(spark, sf)
-    path = f"{checkpoint_dir(spark)}/fake-model"
+    path = f"{checkpoint_dir(spark)}/fake-model-{uuid.uuid4().hex}"
     M.save_model(model, path)
     return M.predict(M.load_model(path), features)
 
@@ -142,7 +138,7 @@ def _escaped(c: str):
 
 
 def review_pages(spark, sf) -> DataFrame:
-    """The review texts put into review-page markup."""
+    """The review texts put into review-page markup; some pages leave a paragraph, a cell or the container open."""
     r = TEXT(spark, sf)
     return r.select(
         F.col("review_id").alias("page_id"), "product_id",
@@ -151,11 +147,12 @@ def review_pages(spark, sf) -> DataFrame:
             F.col("user_id"), F.lit('</span><i class="a-icon a-icon-star a-star-'), F.col("rating").cast("string"),
             F.lit('"></i><a data-hook="review-title"><span>5.0 out of 5 stars</span> Title '), F.col("user_id"),
             F.lit('</a><span data-hook="review-date">Reviewed in the United States on '),
-            F.date_format("date", "MMMM d, yyyy"), F.lit('</span><span data-hook="review-body">'),
+            F.date_format("date", "MMMM d, yyyy"), F.lit("</span>"),
+            F.when(r.review_id % 2 == 0, "<p><li><td>").otherwise(""), F.lit('<span data-hook="review-body">'),
             _escaped("review_text"), F.lit('</span><span data-hook="helpful-vote-statement">'),
             F.when(F.col("helpful_votes") == 1, "One person found this helpful").otherwise(
                 F.concat(F.col("helpful_votes").cast("string"), F.lit(" people found this helpful"))),
-            F.lit("</span></div></body></html>")).alias("html"))
+            F.lit("</span>"), F.when(r.review_id % 5 == 0, "").otherwise("</div></body></html>")).alias("html"))
 
 
 @query("extract_page_reviews", A.sql("reviews_text", r"""
@@ -178,7 +175,7 @@ def q_page_fields(spark, sf):
 
 @query("review_urls", A.sql("reviews_core", """
 SELECT product_id, page::int AS page, 'https://shop.example/product-reviews/' || product_id || '?pageNumber=' || page AS url
-FROM (SELECT product_id, unnest(range(1, 1 + least(5, greatest(1, ceil(count(*) / 10)))::int)) AS page FROM reviews_core
+FROM (SELECT product_id, unnest(range(1, 1 + greatest(1, ceil(count(*) / 10))::int)) AS page FROM reviews_core
       GROUP BY product_id)"""))
 def q_urls(spark, sf):
     products = A.reviews_core(spark, sf).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
@@ -193,7 +190,6 @@ def _events_stream(spark, sf) -> DataFrame:
 
 
 def _run(spark, stream: DataFrame, name: str) -> DataFrame:
-    import uuid
     base = f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
     started = W.write_available(stream, f"{base}/out", f"{base}/state")
     started.awaitTermination()
@@ -234,7 +230,6 @@ def q_stream_escalations(spark, sf):
 @query("stream_score_reviews", A.sql("reviews_text", """
 SELECT review_id, overall_sentiment, confidence FROM sentiment""", SENTIMENT_SQL))
 def q_stream_score(spark, sf):
-    import uuid
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema.simpleString()[7:-1].replace(":", " ")
     raw = W.read_stream(spark, sf, schema, pattern="documents.parquet")
     base = f"{checkpoint_dir(spark)}/stream-score-{uuid.uuid4().hex}"
@@ -246,7 +241,6 @@ def q_stream_score(spark, sf):
 SELECT count(*) FILTER (metric_name <> 'health') AS metrics_collected, count(*) FILTER (metric_name = 'health') AS health_checks,
   (SELECT count(*) FROM raised) AS alerts_raised FROM metric_stream""", RAISED))
 def q_stream_cycle(spark, sf):
-    import uuid
     base = f"{checkpoint_dir(spark)}/stream-cycle-{uuid.uuid4().hex}"
     W.monitoring_cycle(_events_stream(spark, sf), f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out/summary").select("metrics_collected", "health_checks", "alerts_raised")
@@ -281,18 +275,16 @@ def q_analytics(spark, sf):
 
 @query("etl_report")
 def q_etl(spark, sf):
-    import uuid
     from opinion_spark.catalog.cleaning import AS_OF, standard
     return J.run_etl(standard(spark, sf), f"{checkpoint_dir(spark)}/etl-{uuid.uuid4().hex}", AS_OF, target=None)
 
 
 @query("training_run_report")
 def q_training_run(spark, sf):
-    import uuid
     labels = A.read(spark, sf, "labels").select(
         F.col("doc_id").alias("review_id"), (1 - F.col("quality")).alias("is_fake"))
     return J.run_training(
-        TEXT(spark, sf), labels, f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}", folds=2, grid=_small_grid)
+        TEXT(spark, sf), labels, f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}")
 
 
 @query("validation_run_report")
@@ -307,7 +299,6 @@ def q_validation_run(spark, sf):
 
 # ---- sinks, read back ------------------------------------------------------
 def _scratch(spark, name: str) -> str:
-    import uuid
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 

@@ -265,7 +265,7 @@ def q_pop(spark, sf):
 
 @query("recommend_factorization")
 def q_als(spark, sf):
-    return R.matrix_factorization(ratings(spark, sf), rank=20, iterations=6)
+    return R.matrix_factorization(ratings(spark, sf))
 
 
 def blended(spark, sf, n=10, factorize=False):
@@ -282,7 +282,7 @@ def blended(spark, sf, n=10, factorize=False):
         "popular": R.popular_for(r.select("user_id").distinct(), R.popular(reviews, n)),
     }
     if factorize:
-        methods["matrix_factorization"] = R.matrix_factorization(r, 2 * n, rank=20, iterations=6)
+        methods["matrix_factorization"] = R.matrix_factorization(r, 2 * n)
     return R.hybrid(methods, n, neighbours=near)
 
 
@@ -323,6 +323,8 @@ def stored(spark, sf):
         (F.col("rating") * 0.5).alias("recommendation_score"))
 
 
+BEST_RATED = """best AS (SELECT product_id, avg(rating) AS average_rating FROM reviews_core GROUP BY product_id
+  HAVING count(*) >= 5 ORDER BY avg(rating) DESC, count(*) DESC, product_id LIMIT 10)"""
 STORED = """stored AS (SELECT user_id, product_id, rating AS predicted_rating, 0.5 AS confidence, rating * 0.5 AS score FROM ui
   WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))"""
 
@@ -330,11 +332,11 @@ STORED = """stored AS (SELECT user_id, product_id, rating AS predicted_rating, 0
 @query("recommend_stored_or_popular", rsql("reviews_core", """
 SELECT user_id, product_id, round(predicted_rating, 6) AS predicted_rating, confidence::double AS confidence, 'stored' AS kind
 FROM stored QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, product_id) <= 10
-UNION ALL SELECT c_custkey, product_id, round(predicted_rating, 6), confidence, 'popular_fallback' FROM customer, pop
-WHERE c_custkey NOT IN (SELECT user_id FROM stored)""", POP, STORED))
+UNION ALL SELECT c_custkey, product_id, round(average_rating, 6), 0.5::double, 'popular_fallback' FROM customer, best
+WHERE c_custkey NOT IN (SELECT user_id FROM stored)""", BEST_RATED, STORED))
 def q_served(spark, sf):
     wanted = A.read(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
-    return shorten(R.served(wanted, stored(spark, sf), R.popular(CORE(spark, sf))), "predicted_rating")
+    return shorten(R.served(wanted, stored(spark, sf), G.popular_fallback(CORE(spark, sf))), "predicted_rating")
 
 
 @query("recommend_cold_start", rsql("reviews_core", """

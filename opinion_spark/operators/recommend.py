@@ -216,11 +216,24 @@ def hybrid(
     return best
 
 
-def served(requested: DataFrame, stored: DataFrame, fallback: DataFrame, n: int = 10) -> DataFrame:
-    """Stored recommendations per requested user, else the popular list."""
+def served(requested: DataFrame, stored: DataFrame, fallback: DataFrame, n: int = 10,
+           fresh: DataFrame | None = None) -> DataFrame:
+    """Stored recommendations per requested user, else the best rated products.
+
+    ``fallback`` has (product_id, average_rating), as ``aggregates.popular_fallback``
+    gives; its rows are served with confidence 0.5. With ``fresh``, newly computed
+    recommendations are served instead, kind ``fresh_hybrid``; a user without any
+    has one row of kind ``none_available`` without a product.
+    """
+    if fresh is not None:
+        new = served(requested, fresh, fallback, n).where("kind = 'stored'").withColumn("kind", F.lit("fresh_hybrid"))
+        return requested.select("user_id").distinct().join(new, "user_id", "left").withColumn(
+            "kind", F.coalesce("kind", F.lit("none_available")))
+    popular_rows = fallback.select("product_id", F.col("average_rating").alias("predicted_rating"),
+                                   F.lit(0.5).alias("confidence"))
     own = top_per_key(
         stored.join(requested.select("user_id"), "user_id", "left_semi"), ["user_id"],
         [F.desc(F.round("recommendation_score", DIGITS)), F.col("product_id")], n)
     lacking = requested.select("user_id").join(stored.select("user_id").distinct(), "user_id", "left_anti")
     return own.select("user_id", "product_id", "predicted_rating", "confidence", F.lit("stored").alias("kind")).unionByName(
-        popular_for(lacking, fallback).withColumn("kind", F.lit("popular_fallback")))
+        popular_for(lacking, popular_rows).withColumn("kind", F.lit("popular_fallback")))

@@ -13,60 +13,64 @@ from opinion_spark.functions import text as X
 from opinion_spark.schemas import SCRAPED_REVIEWS
 
 FIELDS = ["user_text", "star_class", "title_text", "body_text", "votes_text", "date_text", "verified"]
-VOID = {"br", "img", "hr", "input", "meta", "link", "source", "wbr"}
 
 
 class ReviewMarkup(HTMLParser):
-    """Collects the raw field texts of each review container of one page."""
+    """Collects the raw field texts of each review container of one page.
+
+    Only ``div`` tags are counted, so other tags may stay open. A container inside
+    another one is a row of its own, and its fields count for both where the outer
+    one has none yet. Containers open at the end of the page are rows too.
+    """
 
     def __init__(self, by_class: bool = False):
         super().__init__(convert_charrefs=True)
         self.by_class, self.rows = by_class, []
-        self.depth, self.row, self.capture = 0, None, None
+        self.divs, self.open, self.captures = 0, [], []
 
     def handle_starttag(self, tag: str, attrs) -> None:
         a = {k: v or "" for k, v in attrs}
         hook, classes = a.get("data-hook", ""), a.get("class", "")
-        if self.row is None:
-            found = "review" in classes.lower() if self.by_class else hook == "review"
-            if tag == "div" and found:
-                self.row, self.depth = dict.fromkeys(FIELDS), 1
-            return
-        if tag not in VOID:
-            self.depth += 1
-        row, names = self.row, classes.split()
-        if self.capture is None:
-            field = None
-            if tag == "span" and "a-profile-name" in names or tag == "a" and "a-profile" in names:
-                field = "user_text"
-            elif hook == "review-title" and tag in ("a", "span"):
-                field = "title_text"
-            elif hook == "review-body" and tag == "span":
-                field = "body_text"
-            elif hook == "helpful-vote-statement" and tag == "span":
-                field = "votes_text"
-            elif hook == "review-date" and tag == "span":
-                field = "date_text"
+        if tag == "div":
+            self.divs += 1
+            if "review" in classes.lower() if self.by_class else hook == "review":
+                self.rows.append(dict.fromkeys(FIELDS))
+                self.open.append((self.divs, self.rows[-1]))
+        for c in self.captures:
+            c["level"] += c["tag"] == tag
+        names, field = classes.split(), None
+        if tag == "span" and "a-profile-name" in names or tag == "a" and "a-profile" in names:
+            field = "user_text"
+        elif hook == "review-title" and tag in ("a", "span"):
+            field = "title_text"
+        elif hook == "review-body" and tag == "span":
+            field = "body_text"
+        elif hook == "helpful-vote-statement" and tag == "span":
+            field = "votes_text"
+        elif hook == "review-date" and tag == "span":
+            field = "date_text"
+        for _, row in self.open:
             if field and row[field] is None:
-                row[field], self.capture = "", (field, self.depth)
-        if tag == "i" and "a-icon-star" in classes and row["star_class"] is None:
-            row["star_class"] = classes
-        if tag == "span" and hook == "avp-badge":
-            row["verified"] = "yes"
+                row[field] = ""
+                self.captures.append({"row": row, "field": field, "tag": tag, "level": 1})
+            if tag == "i" and "a-icon-star" in classes and row["star_class"] is None:
+                row["star_class"] = classes
+            if tag == "span" and hook == "avp-badge":
+                row["verified"] = "yes"
 
     def handle_endtag(self, tag: str) -> None:
-        if self.row is None or tag in VOID:
-            return
-        if self.capture and self.capture[1] == self.depth:
-            self.capture = None
-        self.depth -= 1
-        if self.depth == 0:
-            self.rows.append(self.row)
-            self.row = self.capture = None
+        for c in self.captures:
+            c["level"] -= c["tag"] == tag
+        self.captures = [c for c in self.captures if c["level"]]
+        if tag == "div" and self.divs:
+            while self.open and self.open[-1][0] >= self.divs:
+                _, row = self.open.pop()
+                self.captures = [c for c in self.captures if c["row"] is not row]
+            self.divs -= 1
 
     def handle_data(self, data: str) -> None:
-        if self.capture:
-            self.row[self.capture[0]] += data.strip()
+        for c in self.captures:
+            c["row"][c["field"]] += data.strip()
 
 
 def _containers(page: str) -> list[dict]:
@@ -123,10 +127,17 @@ def page_fields(pages: DataFrame) -> DataFrame:
         visible.alias("visible_text"), X.matches(html, r"(?i)<p[ >]").alias("paragraphs"))
 
 
-def review_urls(products: DataFrame, base: str, reviews: Column | None = None, per_page: int = 10, max_pages: int = 5) -> DataFrame:
-    """(product_id, page, url) for each review page of a product, up to ``max_pages``."""
-    need = F.lit(max_pages) if reviews is None else F.least(
-        F.lit(max_pages), F.greatest(F.lit(1), F.ceil(reviews / per_page))).cast("int")
+def review_urls(products: DataFrame, base: str, reviews: Column | None = None, per_page: int = 10,
+                max_pages: int | None = None) -> DataFrame:
+    """(product_id, page, url) for each review page of a product, up to ``max_pages`` if that is given.
+
+    Without the number of reviews, each product has ``max_pages`` pages (one if that is not given).
+    """
+    if reviews is None:
+        need = F.lit(max_pages or 1)
+    else:
+        need = F.greatest(F.lit(1), F.ceil(reviews / per_page)).cast("int")
+        need = need if max_pages is None else F.least(F.lit(max_pages), need)
     return products.select("product_id", F.explode(F.sequence(F.lit(1), need)).alias("page")).withColumn(
         "url", F.concat(F.lit(base), F.lit("/product-reviews/"), F.col("product_id").cast("string"),
                         F.lit("?pageNumber="), F.col("page").cast("string")))

@@ -97,6 +97,37 @@ def test_html_fallbacks(spark):
     assert r["verified_purchase"] and str(r["review_date"]) == AS_OF
 
 
+def _review(user: str, body: str, end: str = "</div>") -> str:
+    return (f'<div data-hook="review"><span class="a-profile-name">{user}</span><p><li>'
+            f'<span data-hook="review-body">{body}</span>{end}')
+
+
+def test_html_broken_markup_loses_no_review(spark):
+    pages = [
+        _review("a", "first long text") + _review("b", "second long text"),       # <p>, <li> never closed
+        _review("a", "first long text", "") + _review("b", "second long text"),   # a container never closed
+        '<div data-hook="review"><div>' + _review("a", "inner long text") + "</div></div>",  # one inside another
+        _review("a", "cut long text", "")[:-7],                                   # the page ends inside the body
+    ]
+    df = spark.createDataFrame([(i, "p", x) for i, x in enumerate(pages)], "page_id long, product_id string, html string")
+    found = sorted((r["page_id"], r["user_id"], r["review_text"]) for r in H.extract_reviews(df, AS_OF).collect())
+    assert found == [
+        (0, "a", "first long text"), (0, "b", "second long text"), (1, "a", "first long text"),
+        (1, "b", "second long text"), (2, "a", "inner long text"), (2, "a", "inner long text"), (3, "a", "cut long text")]
+
+
+def test_served_kinds(spark):
+    from opinion_spark.operators import recommend as R
+    wanted = spark.createDataFrame([(1,), (2,)], "user_id long")
+    stored = spark.createDataFrame([(1, 7, 4.0, 0.8, 3.2)], "user_id long, product_id long, predicted_rating double, "
+                                   "confidence double, recommendation_score double")
+    best = spark.createDataFrame([(9, 6, 4.5)], "product_id long, review_count long, average_rating double")
+    kinds = {tuple(r) for r in R.served(wanted, stored, best).collect()}
+    assert kinds == {(1, 7, 4.0, 0.8, "stored"), (2, 9, 4.5, 0.5, "popular_fallback")}
+    kinds = {tuple(r) for r in R.served(wanted, stored, best, fresh=stored).collect()}
+    assert kinds == {(1, 7, 4.0, 0.8, "fresh_hybrid"), (2, None, None, None, "none_available")}
+
+
 def test_model_failure_gives_neutral(spark):
     def load():
         def scorer(texts):
