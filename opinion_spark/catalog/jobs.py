@@ -95,7 +95,18 @@ def q_training(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("text_length"), 6).alias("avg_length"))
 
 
+_FITS: dict[tuple[str, str], tuple] = {}
+
+
 def _trained(spark, sf):
+    """Features, model, cross-validation and metrics; fitted once for each session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITS:
+        _FITS[key] = _fit(spark, sf)
+    return _FITS[key]
+
+
+def _fit(spark, sf):
     features = materialize(M.all_features(TEXT(spark, sf)))
     labels = A.read(spark, sf, "labels").select(
         F.col("doc_id").alias("review_id"), (1 - F.col("quality")).alias("is_fake"))
