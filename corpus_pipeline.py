@@ -20,12 +20,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts, also where ids repeat or are null."""
     return exactdup.keep_rows(docs, exactdup.exact_duplicates(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates; shingles of five words, similarity 0.8."""
+    """One document of each component of near duplicates; shingles of five words, similarity 0.8.
+
+    Rows without an id can't be told apart here: all of them stay if one does.
+    """
     found = minhash.near_duplicates(docs, width=5, threshold=0.8)
     kept = found.where("kept").select(F.col("doc_id").alias("__keep")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")

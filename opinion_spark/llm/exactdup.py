@@ -163,11 +163,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("sha").alias("text_sha256"))
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is kept; of rows that repeat an id, one."""
-    ids = decisions.where("kept").groupBy(F.col(id_col).alias("__keep")).agg(F.count("*").alias("__rows"))
-    ids = materialize(ids)
-    kept = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    return kept if ids.where("__rows > 1").isEmpty() else kept.dropDuplicates([id_col])
-
+def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id and text are kept; of rows that repeat both, the longest text.
 
+    Rows that share an id, or have none, are told apart by their digest, so that
+    different texts all stay. Rows equal in id, digest and length are taken in the
+    order of their columns as JSON.
+    """
+    wanted = materialize(decisions.where("kept").groupBy(
+        F.col(id_col).alias("__keep"), F.col("text_sha256").alias("__keep_sha")).agg(F.count("*").alias("__rows")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    kept = docs.withColumn("__sha", F.sha2(F.regexp_replace(text, SPACE, ""), 256)).join(
+        wanted, F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__sha") == F.col("__keep_sha")), "left_semi")
+    if wanted.where("__rows > 1").isEmpty():
+        return kept.drop("__sha")
+    row = F.struct(*docs.columns)
+    return kept.groupBy(id_col, "__sha").agg(
+        F.max_by(row, F.struct(F.char_length(text), F.to_json(row))).alias("__row")).select("__row.*")

@@ -151,8 +151,7 @@ def fit(docs: DataFrame, train_rows: Column, sample: int = 3_000, id_col: str =
     # windows are drawn where the texts are, so that the driver gets a few per row
     texts = docs.where(train_rows & (F.octet_length(text_col) <= 2_000_000)).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    got = texts.mapInArrow(_drawn, "id long, lang string, text binary").orderBy("id", "text").toPandas()
-    got = got.head(sample)
+    got = texts.mapInArrow(_drawn, "id long, lang string, text binary").orderBy("id", "text").limit(sample).toPandas()
     return train([bytes(b).decode("utf-8", "replace") for b in got["text"]], got["lang"].tolist())
 
 

@@ -267,7 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
     usual = counted.where("good >= 2").where(near("term")).orderBy(F.desc("good"), "term").limit(25 * max_terms)
     model.usual = sorted(r["term"] for r in usual.select("term", "good").collect())
     seen = texts.mapInArrow(_rows(model, True), "id long, y int, " + ", ".join(
-        f"x{i} double" for i in range(N_FEATURES))).toPandas()  # at most ``sample`` rows
+        f"x{i} double" for i in range(N_FEATURES)))
+    seen = seen.orderBy(*seen.columns).limit(sample).toPandas()  # ids that repeat add no rows
     model.weights, model.bias = _logistic(seen[[f"x{i}" for i in range(N_FEATURES)]].to_numpy(), seen["y"].to_numpy())
     return model
 

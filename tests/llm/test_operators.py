@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import combinations, cycle
+from math import floor, log
 
 import numpy as np
 import pytest
@@ -43,23 +45,53 @@ def split(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
-def test_mixing(docs, empty):
-    out = mixing.mix(docs, (5, 2, 1), F.lit(1.0)).collect()
-    assert len(out) == docs.count() and mixing.mix(empty).count() == 0
-    sizes = defaultdict(int)
-    for r in docs.collect():
-        sizes[r["source"]] += len(split(r["text"]))
-    weight = dict(zip(["a", "b", None], (5, 2, 1)))
+def wanted(sizes):
+    """Words that each source gives: shares by weight, none above three times its size."""
+    weight = dict(zip(sorted(sizes, key=lambda s: (s is None, s or "")), cycle((5, 2, 1))))
     want, left, open_ = {}, sum(sizes.values()), set(sizes)
     while True:
         over = [s for s in open_ if left * weight[s] / sum(weight[o] for o in open_) > 3 * sizes[s]]
         if not over:
-            break
+            return want | {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
         for s in over:
             want[s] = 3.0 * sizes[s]
         left -= sum(want[s] for s in over)
         open_ -= set(over)
-    want |= {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+
+
+def near_components(texts, width):
+    """The smallest id reachable from each, all sets held against all."""
+    sets = {}
+    for i, t in texts.items():
+        w = split((t or "").translate({i: i + 32 for i in range(65, 91)}))
+        sets[i] = {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    low = {i: i for i in sets}
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((root(a), root(b)))
+            low[y] = x
+    return {i: root(i) for i in sets}
+
+
+def pieces(tok, text):
+    ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+    return [(n, at, len(ids[at:at + 2048]), zlib.crc32(ids[at:at + 2048].tobytes()))
+            for n, at in enumerate(range(0, len(ids), 2048))]
+
+
+def test_mixing(docs, empty):
+    out = mixing.mix(docs, (5, 2, 1), F.lit(1.0)).collect()
+    assert len(out) == docs.count() and mixing.mix(empty).count() == 0
+    sizes = defaultdict(int)
+    for r in docs.collect():
+        sizes[r["source"]] += len(split(r["text"]))
+    want = wanted(sizes)
     taken = defaultdict(int)
     for r in out:
         assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
@@ -85,6 +117,14 @@ def test_exact_dedup(docs, empty):
     assert exactdup.keep_rows(docs, exactdup.exact_duplicates(docs)).count() == len(groups)
 
 
+def test_kept_rows_with_repeated_and_null_ids(spark):
+    rows = [(None, "a b", 1), (None, "c d", 1), (5, "x", 1), (5, "x ", 1), (5, "y", 1), (6, "y", 2), (7, None, 1), (8, " ", 1)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, rows int").repartition(3)
+    kept = exactdup.keep_rows(data, exactdup.exact_duplicates(data))
+    assert kept.columns == data.columns and Counter(map(tuple, kept.collect())) == Counter(
+        rows[i] for i in (0, 1, 3, 4, 7))
+
+
 def test_exact_dedup_with_history(docs, spark):
     old = exactdup.winners(exactdup.digests(docs.where("doc_id < 2")))
     out = {r["doc_id"]: r for r in exactdup.exact_duplicates(docs.where("doc_id >= 2"), history=old).collect()}
@@ -255,11 +295,52 @@ def test_token_counts(docs, empty):
 
 def test_pipeline(spark, small):
     import corpus_pipeline as P
+    from tokenizers import Tokenizer
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = catalog.toxic_model(docs, spark.read.parquet(f"{small}/labels.parquet"))
     bad = {r["doc_id"] for r in toxicity.toxicity(docs, model).collect() if r["score"] >= catalog.TOXIC_FROM}
     got = P.drop_toxic(spark, docs, small)
     assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == {
         r["doc_id"] for r in docs.collect()} - bad
+
+    left = [r for r in docs.collect() if r["doc_id"] not in bad]
+    groups = defaultdict(list)
+    for r in left:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", r["text"] or "")].append((-len(r["text"] or ""), r["doc_id"]))
+    first = {min(g)[1] for g in groups.values()}
+    left = [r for r in left if r["doc_id"] in first]
+    low = near_components({r["doc_id"]: r["text"] for r in left}, 5)
+    left = [r for r in left if low[r["doc_id"]] == r["doc_id"]]
+
+    grade = {}
+    for r in spark.read.parquet(f"{small}/labels.parquet").where("quality is not null").collect():
+        grade[r["doc_id"]] = max(r["quality"], grade.get(r["doc_id"], 0))
+    by_source, sizes = defaultdict(list), defaultdict(int)
+    for r in left:
+        n = len(split(r["text"]))
+        u = (int(hashlib.md5(f"{catalog.MIX_SEED}:{r['doc_id']}".encode()).hexdigest()[:12], 16) + 1) / 2**48
+        weight = {1: 1.0, 0: 0.25}.get(grade.get(r["doc_id"]), 0.5)
+        by_source[r["source"]].append((floor(-log(u) / weight * 2**30), r["doc_id"], n, r["text"]))
+        sizes[r["source"]] += n
+    targets, want = wanted(sizes), Counter()
+    tok = Tokenizer.from_file(catalog.tokenizer())
+    for source, members in by_source.items():
+        epochs = int(targets[source] // sizes[source]) if sizes[source] else 0
+        till, rest = 0, targets[source] - epochs * sizes[source]
+        for _, doc_id, n, text in sorted(members):
+            till += n
+            copies = epochs + (sizes[source] > 0 and till - n / 2 <= rest)
+            for piece in pieces(tok, text):
+                want[doc_id, *piece] += copies
     out = P.run(spark, small).collect()
-    assert out and {r["doc_id"] for r in out}.isdisjoint(bad)
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == +want
+    places = defaultdict(list)
+    for r in out:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for spots in places.values():
+        end = 0
+        for offset, length in sorted(spots):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(places) <= 1.1 * sum(r["length"] for r in out) / 2048 + 1
