@@ -316,7 +316,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
        across components compared, so that no link between components is left
        out. Only the members of these bands are sent on, with one bit of ``WIDE``
        further signature values; these are compared in batches inside the block
-       by the same bound, and the survivors go through steps 3 and 4.
+       by the same bound, and the survivors go through step 4.
 
     A text's set is its distinct runs of ``width`` words (A-Z lower-cased), the
     whole sequence if it is shorter. Null texts and texts without words have empty
@@ -354,7 +354,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, mis
         _in_blocks(_across(threshold, miss)), "a long, b long").distinct()
     more = materialize(more.join(compared, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        late = _verified(narrow, _likely(more, one, threshold, miss), width, threshold)
+        late = _verified(narrow, more, width, threshold)
         if not late.isEmpty():
             told = materialize(components(links.unionByName(late)))
 
