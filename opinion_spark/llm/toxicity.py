@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from opinion_spark.session import materialize
 
-TOKEN = re.compile(r"[^\W_]+|[\"“”„«»‹›]")
+SIGN = r"[^\w\s\"“”„«»‹›'’]|_"  # may mask a letter, or stand between two
+TOKEN = re.compile(rf"[^\W_]+(?:(?:{SIGN})+[^\W_]+)*|[\"“”„«»‹›]")
+WORD = re.compile(r"[^\W_]+")
 QUOTES = frozenset("\"“”„«»‹›")
 SQL_TOKEN = r"[\p{L}\p{N}]+"
 WINDOW = 12            # words before a hit that are its context
@@ -24,6 +26,7 @@ STEM_FROM = 4          # letters of the shortest stem
 MIN_DOCS = 3           # toxic documents that a term must occur in
 MIN_ODDS = 3.0         # least log odds of a term
 MAX_WORDS_KEPT = 300_000
+MAX_RUN_KEPT = 40      # letters and signs of the longest masked word whose hits are kept
 MAX_STATES = 200_000
 
 
@@ -32,8 +35,9 @@ class Trie:
 
     The automaton is the intersection of the trie with the Levenshtein automata
     of its words, made deterministic step by step: a state is the set of (node,
-    edits made) that the letters read so far allow, and each new (state, letter)
-    is worked out once and kept. A stem also accepts every word that goes on.
+    edits made, letter owed) that the letters read so far allow, and each new
+    (state, letter) is worked out once and kept. A swap of neighbours is one edit:
+    its first letter owes the second. A stem also accepts every word that goes on.
     """
 
     def __init__(self, words: dict[str, float], stems: dict[str, float], edits: int = 1):
@@ -66,44 +70,54 @@ class Trie:
         self.known: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.out: list[tuple[float, float]] = []
-        self.start = self._state(self._closed({(0, 0)}))
+        self.start = self._state(self._closed({(0, 0, "")}))
 
     def _closed(self, pairs: set) -> frozenset:
         """With the letters of the lexicon that a misspelling leaves out."""
         todo, done = list(pairs), set(pairs)
         while todo:
-            node, edits = todo.pop()
-            if edits < self.edits and self.longest[node] >= FUZZY_FROM:
+            node, edits, owed = todo.pop()
+            if not owed and edits < self.edits and self.longest[node] >= FUZZY_FROM:
                 for child in self.edges[node].values():
-                    if (child, edits + 1) not in done and self.longest[child] >= FUZZY_FROM:
-                        done.add((child, edits + 1))
-                        todo.append((child, edits + 1))
-        best: dict[int, int] = {}
-        for node, edits in done:
-            best[node] = min(edits, best.get(node, 9))
-        return frozenset(best.items())
+                    if (child, edits + 1, "") not in done and self.longest[child] >= FUZZY_FROM:
+                        done.add((child, edits + 1, ""))
+                        todo.append((child, edits + 1, ""))
+        best: dict[tuple[int, str], int] = {}
+        for node, edits, owed in done:
+            best[node, owed] = min(edits, best.get((node, owed), 9))
+        return frozenset((node, edits, owed) for (node, owed), edits in best.items())
 
     def _state(self, pairs: frozenset) -> int:
         if pairs not in self.known:
             self.known[pairs] = len(self.sets)
             self.sets.append(pairs)
             self.steps.append({})
-            exact = [store[n] for n, e in pairs for store in (self.word, self.stem) if e == 0 and store[n] is not None]
-            near = [self.word[n] for n, e in pairs if e and self.word[n] is not None and self.depth[n] >= FUZZY_FROM]
+            ends = [(n, e) for n, e, owed in pairs if not owed]
+            exact = [store[n] for n, e in ends for store in (self.word, self.stem) if e == 0 and store[n] is not None]
+            near = [self.word[n] for n, e in ends if e and self.word[n] is not None and self.depth[n] >= FUZZY_FROM]
             self.out.append((max(exact, default=0.0), max(near, default=0.0)))
         return self.known[pairs]
 
     def _step(self, state: int, letter: str) -> int:
-        after: set[tuple[int, int]] = set()
-        for node, edits in self.sets[state]:
+        after: set[tuple[int, int, str]] = set()
+        for node, edits, owed in self.sets[state]:
+            if owed:
+                if owed == letter:
+                    after.add((node, edits, ""))
+                continue
             child = self.edges[node].get(letter)
             if child is not None:
-                after.add((child, edits))
+                after.add((child, edits, ""))
             if edits == 0 and self.stem[node] is not None:
-                after.add((node, 0))  # a stem goes on
+                after.add((node, 0, ""))  # a stem goes on
             if edits < self.edits and self.longest[node] >= FUZZY_FROM:
-                after.add((node, edits + 1))
-                after.update((c, edits + 1) for c in self.edges[node].values() if self.longest[c] >= FUZZY_FROM)
+                after.add((node, edits + 1, ""))
+                for first, c in self.edges[node].items():
+                    if self.longest[c] >= FUZZY_FROM:
+                        after.add((c, edits + 1, ""))
+                        swapped = self.edges[c].get(letter)
+                        if swapped is not None and first != letter and self.longest[swapped] >= FUZZY_FROM:
+                            after.add((swapped, edits + 1, first))
         to = self.steps[state][letter] = self._state(self._closed(after))
         return to
 
@@ -119,6 +133,38 @@ class Trie:
                 break
         return self.out[state]
 
+    def masked(self, run: str, start: int) -> tuple[float, int]:
+        """(weight, end) of the heaviest term written from ``start`` on with signs between its letters; 0: none.
+
+        Each sign stands for one letter or for none. At least two letters and half
+        of the term must be shown, and the term must end where a part of the run ends.
+        """
+        found, signs = (0.0, start), False
+        states = {(0, 0): 0}  # node, letters masked -> letters shown
+        for at in range(start, len(run)):
+            letter, after = run[at], {}
+            shows = letter.isalnum()
+            signs = signs or not shows
+            for (node, hidden), shown in states.items():
+                if shows:
+                    child = self.edges[node].get(letter)
+                    to = [] if child is None else [(child, hidden, shown + 1)]
+                else:
+                    to = [(node, hidden, shown)] + [(c, hidden + 1, shown) for c in self.edges[node].values()]
+                if self.stem[node] is not None:
+                    to.append((node, hidden, shown))
+                for n, h, k in to:
+                    after[n, h] = max(k, after.get((n, h), 0))
+            states = after
+            if not states:
+                break
+            if signs and shows and (at + 1 == len(run) or not run[at + 1].isalnum()):
+                weight = max((store[n] for (n, h), k in states.items() for store in (self.word, self.stem)
+                              if store[n] is not None and k >= max(2, h)), default=0.0)
+                if weight > found[0]:
+                    found = (weight, at + 1)
+        return found
+
 
 @dataclass
 class Model:
@@ -137,6 +183,42 @@ PRIOR = np.array([2.0, 1.5, 0.2, 0.5])  # weights to which little data leave the
 _TRIES: dict[int, tuple[Trie, dict]] = {}
 
 
+def _lookup(token: str, trie: Trie, seen: dict) -> tuple[float, float]:
+    hit = seen.get(token)
+    if hit is None:
+        if len(seen) > MAX_WORDS_KEPT:
+            seen.clear()
+        hit = trie.find(token)
+        hit = seen[token] = (hit[0], 0.0) if token in trie.usual else hit
+    return hit
+
+
+def _hits(run: str, trie: Trie, seen: dict) -> list[tuple[float, float]]:
+    """(listed, misspelled) weights of each word of a run; a masked word counts at its first part.
+
+    A word with signs between its letters is read as one, as a misspelling, where
+    it weighs more than each of its parts by itself.
+    """
+    key = ("masked", run)
+    if key in seen:
+        return seen[key]
+    parts = list(WORD.finditer(run))
+    hits = [_lookup(m[0], trie, seen) for m in parts]
+    n = 0
+    while n < len(parts) - 1:
+        weight, end = trie.masked(run, parts[n].start())
+        last = n
+        while last + 1 < len(parts) and parts[last + 1].end() <= end:
+            last += 1
+        if weight / 2 > max(max(hit[0], hit[1] / 2) for hit in hits[n:last + 1]):
+            hits[n:last + 1] = [(0.0, weight)] + [(0.0, 0.0)] * (last - n)
+            n = last
+        n += 1
+    if len(run) <= MAX_RUN_KEPT and len(seen) <= MAX_WORDS_KEPT:
+        seen[key] = hits
+    return hits
+
+
 def features(text: str, trie: Trie, seen: dict) -> tuple[float, ...]:
     """Sums over the whole text: listed hits, misspelled hits, quoted hits, and the worst window.
 
@@ -151,25 +233,20 @@ def features(text: str, trie: Trie, seen: dict) -> tuple[float, ...]:
         if token in QUOTES:
             opened = -10**9 if place - opened <= WINDOW else place
             continue
-        place += 1
-        hit = seen.get(token)
-        if hit is None:
-            if len(seen) > MAX_WORDS_KEPT:
-                seen.clear()
-            hit = trie.find(token)
-            hit = seen[token] = (hit[0], 0.0) if token in trie.usual else hit
-        if hit == (0.0, 0.0):
-            continue
-        weight = max(hit[0], hit[1] / 2)
-        if place - opened <= WINDOW:
-            quoted += weight
-            continue
-        if hit[0]:
-            listed += hit[0]
-        else:
-            near += hit[1]
-        recent = [(at, w) for at, w in recent if place - at < WINDOW] + [(place, weight)]
-        worst = max(worst, sum(w for _, w in recent))
+        for hit in [_lookup(token, trie, seen)] if token.isalnum() else _hits(token, trie, seen):
+            place += 1
+            if hit == (0.0, 0.0):
+                continue
+            weight = max(hit[0], hit[1] / 2)
+            if place - opened <= WINDOW:
+                quoted += weight
+                continue
+            if hit[0]:
+                listed += hit[0]
+            else:
+                near += hit[1]
+            recent = [(at, w) for at, w in recent if place - at < WINDOW] + [(place, weight)]
+            worst = max(worst, sum(w for _, w in recent))
     return tuple(min(x, CAP) / UNIT for x in (listed, near, quoted, worst))
 
 
@@ -261,7 +338,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
         if not any(r["term"].startswith(t) or t.startswith(r["term"]) for t in kept):
             kept[r["term"]] = r["odds"]
     told = {r["term"]: r["odds"] for r in found}
-    model = Model({t: w for t, w in told.items() if not any(t.startswith(k) and w <= v for k, v in kept.items())}, kept)
+    # the forms of a stem stay words of their own, so that their misspellings are found; the stem is their evidence
+    of_stem = F.lit(False)
+    for n in sorted({len(k) for k in kept}):
+        of_stem |= F.expr(f"substring(term, 1, {n})").isin([k for k in kept if len(k) == n])
+    forms = counted.where(of_stem & (F.col("bad") > 0)).select("term", "bad", odds).where(
+        F.col("odds") >= MIN_ODDS).orderBy(F.desc("bad"), "term").limit(25 * max_terms)
+    model = Model({r["term"]: r["odds"] for r in forms.collect()} | told, kept)
     trie = Trie(model.words, model.stems)
     near = F.udf(lambda term: trie.find(term)[1] > 0, "boolean")
     usual = counted.where("good >= 2").where(near("term")).orderBy(F.desc("good"), "term").limit(25 * max_terms)

@@ -240,6 +240,27 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.fit(empty, data.select("doc_id", "toxic"), F.lit(True)) == toxicity.Model()
 
 
+def test_toxicity_of_inflected_and_misspelled_forms(spark):
+    forms = ["idiot", "idiots", "idiotic", "idiocy"]
+    rows = [(i, " ".join(words(30, i) + ([forms[i // 4 % 4]] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(400)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(data, data.select("doc_id", "toxic"), F.lit(True))
+    assert any("idiots".startswith(t) for t in model.stems)
+    trie = toxicity.Trie(model.words, model.stems)
+    assert all(trie.find(w)[0] > 0 for w in (*forms, "idiotically"))
+    for w in ("idot", "ldiot", "idxot", "iidiot", "idoit", "diiot", "idoits", "idiotc", "idixcy"):
+        assert trie.find(w)[1] > 0 and sum(toxicity.features(f"you {w} there", trie, {})[:2]) > 0, w
+    for w in ("idxxt", "dxiot", "odiit", "tidio"):
+        assert trie.find(w) == (0, 0), w
+    trie = toxicity.Trie({"idiot": 5.0, "crap": 4.0}, {})
+    for w in ("i.d.i.o.t", "id*ot", "i**ot", "id_iot", "cr@p", "x-i.d*ot-y"):
+        plain = toxicity.features(f"you {w}, there", trie, {})
+        assert plain[0] == 0 < plain[1] == toxicity.features(f"you {w}, there " + "x" * 50, trie, {})[1], w
+    for w in ("i***t", "c*p", "well-known", "id*o", "idi* ot", "i.d.i.o"):
+        assert toxicity.features(f"you {w} there", trie, {}) == (0, 0, 0, 0), w
+    assert toxicity.features("idiot-like", trie, {})[:2] == (1, 0)
+
+
 def test_language(docs, empty, small, spark):
     full = spark.read.parquet(f"{small}/documents.parquet")
     out = catalog.op7_language(spark, small).join(full, "doc_id").where("held_out").collect()
