@@ -18,7 +18,9 @@ from opinion_spark.session import materialize
 SIGN = r"[^\w\s\"“”„«»‹›'’]|_"  # may mask a letter, or stand between two
 TOKEN = re.compile(rf"[^\W_]+(?:(?:{SIGN})+[^\W_]+)*|[\"“”„«»‹›]")
 WORD = re.compile(r"[^\W_]+")
-QUOTES = frozenset("\"“”„«»‹›")
+CLOSED_BY = {"\"": "\"", "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹"}
+QUOTES = frozenset(CLOSED_BY)
+PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 SQL_TOKEN = r"[\p{L}\p{N}]+"
 WINDOW = 12            # words before a hit that are its context
 FUZZY_FROM = 5         # letters from which a term is also found with one edit
@@ -219,34 +221,76 @@ def _hits(run: str, trie: Trie, seen: dict) -> list[tuple[float, float]]:
     return hits
 
 
+def _pairs(text: str, marks: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
+    """Quotations as (words before the opening mark, words before the closing one), apart and ascending.
+
+    ``marks``: place in the text, mark, words before it. A mark closes the last
+    open one of its form, at any distance; straight marks pair within a paragraph,
+    in turn where the letters next to them don't tell which way they face. A mark
+    that stands alone, as one for inches, has no effect.
+    """
+    breaks = [m.start() for m in PARAGRAPH.finditer(text)] if any(mark == "\"" for _, mark, _ in marks) else []
+    paragraph = 0
+    opened: dict[str, list[int]] = {mark: [] for mark in CLOSED_BY}
+    pairs = []
+    for at, mark, words in marks:
+        while paragraph < len(breaks) and breaks[paragraph] < at:
+            paragraph += 1
+            opened["\""].clear()
+        before = at > 0 and text[at - 1].isalnum()
+        after = at + 1 < len(text) and text[at + 1].isalnum()
+        closed = max((o for o in opened if opened[o] and mark in CLOSED_BY[o]), key=lambda o: opened[o][-1], default=None)
+        if mark == "\"" and after and not before:
+            opened[mark][:] = [words]
+        elif closed:
+            pairs.append((opened[closed].pop(), words))
+        elif (after and not before) if mark in "”»›" else (after or not before):  # those three open rarely
+            opened[mark].append(words)
+    apart: list[tuple[int, int]] = []
+    for start, end in sorted(pairs):
+        if apart and start <= apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(end, apart[-1][1]))
+        else:
+            apart.append((start, end))
+    return apart
+
+
 def features(text: str, trie: Trie, seen: dict) -> tuple[float, ...]:
     """Sums over the whole text: listed hits, misspelled hits, quoted hits, and the worst window.
 
-    A hit within open quotation marks of its context counts as quoted: it is
-    spoken about. The worst window is the largest sum of unquoted weights within
+    A hit between an opening and its closing quotation mark counts as quoted: it
+    is spoken about. The worst window is the largest sum of unquoted weights within
     ``WINDOW`` words, which tells abuse from a single word.
     """
-    listed = near = quoted = worst = 0.0
-    recent: list[tuple[int, float]] = []
-    opened, place = -10**9, 0
-    for token in TOKEN.findall(text.lower()):
+    text = text.lower()
+    hits: list[tuple[int, tuple[float, float]]] = []
+    marks: list[tuple[int, str, int]] = []
+    place = 0
+    for m in TOKEN.finditer(text):
+        token = m[0]
         if token in QUOTES:
-            opened = -10**9 if place - opened <= WINDOW else place
+            marks.append((m.start(), token, place))
             continue
         for hit in [_lookup(token, trie, seen)] if token.isalnum() else _hits(token, trie, seen):
             place += 1
-            if hit == (0.0, 0.0):
-                continue
-            weight = max(hit[0], hit[1] / 2)
-            if place - opened <= WINDOW:
-                quoted += weight
-                continue
-            if hit[0]:
-                listed += hit[0]
-            else:
-                near += hit[1]
-            recent = [(at, w) for at, w in recent if place - at < WINDOW] + [(place, weight)]
-            worst = max(worst, sum(w for _, w in recent))
+            if hit != (0.0, 0.0):
+                hits.append((place, hit))
+    listed = near = quoted = worst = 0.0
+    recent: list[tuple[int, float]] = []
+    pairs, pair = _pairs(text, marks) if hits and marks else [], 0
+    for place, hit in hits:
+        weight = max(hit[0], hit[1] / 2)
+        while pair < len(pairs) and pairs[pair][1] < place:
+            pair += 1
+        if pair < len(pairs) and pairs[pair][0] < place:
+            quoted += weight
+            continue
+        if hit[0]:
+            listed += hit[0]
+        else:
+            near += hit[1]
+        recent = [(at, w) for at, w in recent if place - at < WINDOW] + [(place, weight)]
+        worst = max(worst, sum(w for _, w in recent))
     return tuple(min(x, CAP) / UNIT for x in (listed, near, quoted, worst))
 
 

@@ -261,6 +261,21 @@ def test_toxicity_of_inflected_and_misspelled_forms(spark):
     assert toxicity.features("idiot-like", trie, {})[:2] == (1, 0)
 
 
+@pytest.mark.parametrize("left, right", ['""', "“”", "„“", "„”", "””", "«»", "»«", "‹›"])
+def test_quotation_of_any_length(left, right):
+    trie, long = toxicity.Trie({"grumpf": 5.0}, {}), " ".join(BASE[:40])
+
+    def sums(text):  # unquoted and quoted hits
+        x = toxicity.features(text, trie, {})
+        return x[0], x[2]
+    assert sums(f"they said {left}{long} grumpf {long}{right} once") == (0, 1)
+    assert sums(f"they said {left}{long}{right} you grumpf") == (1, 0)
+    assert sums(f"they said {left}{long} grumpf") == sums(f"a 5{right} grumpf, and 6{right} grumpf"[:13]) == (1, 0)
+    assert sums(f"{left}a{right} grumpf {left}grumpf{right} grumpf, {left}b{right}") == (2, 1)
+    assert sums(f'a 5" disc, "{long}" grumpf "x"') == (1, 0)
+    assert sums(f'he said "{long}\n\nyou grumpf" then') == (1, 0)
+
+
 def test_language(docs, empty, small, spark):
     full = spark.read.parquet(f"{small}/documents.parquet")
     out = catalog.op7_language(spark, small).join(full, "doc_id").where("held_out").collect()
