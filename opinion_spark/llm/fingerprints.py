@@ -10,7 +10,7 @@ from opinion_spark.session import materialize
 K = 8            # code points of a k-mer
 TUPLES = 32      # values of a fingerprint; the top five bits of a k-mer's hash name its tuple
 PER_TUPLE = 2    # k-mers of a value
-KEPT = 768       # k-mers of a longer text that are sorted, on average
+KEPT = 768       # k-mers of a longer text that are dealt to tuples first, on average
 PLACE_BITS = 24  # lower bits of a packed k-mer: its place in the text
 TUPLE_SHIFT = 58
 PLACE_MASK = (1 << PLACE_BITS) - 1
@@ -38,6 +38,22 @@ def _packed(points: Column, n: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), number)
 
 
+def _again(s: Column) -> Column:
+    """Of sorted k-mers those that were there before, hashed anew with the number of the occurrence."""
+    def fresh(x: Column, before: Column) -> Column:
+        return x.bitwiseXOR(before) > PLACE_MASK
+
+    def numbered(d: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: (i == 0) | fresh(F.get(d, i), F.get(d, i - 1)))
+        return _let(starts, lambda b: F.flatten(F.transform(b, lambda at, j: F.transform(
+            F.slice(d, at + 1, F.coalesce(F.get(b, j + 1), F.size(d)) - at),
+            lambda x, o: F.shiftrightunsigned(F.xxhash64(F.shiftright(x, PLACE_BITS), o + 1), 1).bitwiseAND(
+                F.lit(~PLACE_MASK)).bitwiseOR(x.bitwiseAND(F.lit(PLACE_MASK)))))))
+
+    return _let(F.filter(s, lambda x, i: ~fresh(x, F.get(s, i - 1))), lambda d: F.when(
+        F.size(d) > 0, numbered(d)).otherwise(F.array().cast("array<long>")))
+
+
 def _smallest(packed: Column) -> Column:
     """Of each tuple the ``PER_TUPLE`` smallest k-mers by hash, then by place."""
     return _let(F.sort_array(packed), lambda s: F.filter(s, lambda x, i: (i < PER_TUPLE) | (
@@ -47,15 +63,16 @@ def _smallest(packed: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """Order MinHash of a text: an array of ``TUPLES`` numbers, null where a tuple has no k-mer.
 
-    The occurrences of a k-mer are numbered along the text and ordered by (hash
-    of the k-mer, occurrence), which is the order by (hash, place). Each tuple
-    takes its ``PER_TUPLE`` smallest occurrence-numbered k-mers, puts them back
+    The occurrences of a k-mer are numbered along the text, and each is hashed with
+    its number (the first has the hash of the k-mer itself). Each tuple takes its
+    ``PER_TUPLE`` smallest occurrence-numbered k-mers, puts them back
     into text order and hashes them together, so that moved and repeated passages
     count, as in the edit distance, and not the set of k-mers alone (Marcais et
     al., 2019). One hash serves all tuples: its top bits name the tuple.
 
-    Every k-mer of the whole text is hashed. Of a long text those with a small
-    hash are sorted first; if they don't fill all tuples, all are. A text shorter
+    Every k-mer of the whole text is hashed, and all are sorted to number them. Of
+    a long text those with a small hash are dealt to tuples first; if they don't
+    fill all tuples, all are. A text shorter
     than a k-mer is one k-mer; a null or empty text has only nulls.
     """
     t = F.coalesce(text, F.lit(""))
@@ -64,12 +81,22 @@ def fingerprint(text: Column) -> Column:
         n = F.floor(F.octet_length(points) / 4).cast("int")
         few = F.least(F.lit(float(HASH_MASK)), F.lit(float(HASH_MASK)) * KEPT / n).cast("long")
 
-        def chosen(packed: Column) -> Column:
-            some = _smallest(F.filter(packed, lambda x: x.bitwiseAND(F.lit(HASH_MASK)) <= few))
-            return _let(some, lambda s: F.when(
-                (n - K < KEPT) | (F.size(s) == TUPLES * PER_TUPLE), s).otherwise(_smallest(packed)))
+        def chosen(s: Column) -> Column:
+            def small(x: Column) -> Column:
+                return x.bitwiseAND(F.lit(HASH_MASK)) <= few
+
+            def first(x: Column, i: Column) -> Column:
+                return (i == 0) | (x.bitwiseXOR(F.get(s, i - 1)) > PLACE_MASK)
+
+            def of_both(again: Column) -> Column:
+                some = _smallest(F.concat(F.filter(s, lambda x, i: small(x) & first(x, i)), F.filter(again, small)))
+                return _let(some, lambda found: F.when(
+                    (n <= KEPT) | (F.size(found) == TUPLES * PER_TUPLE), found).otherwise(
+                    _smallest(F.concat(F.filter(s, first), again))))
+
+            return _let(_again(s), of_both)
 
-        return F.when(n > 0, _let(_packed(points, n), chosen)).otherwise(F.array().cast("array<long>"))
+        return F.when(n > 0, _let(F.sort_array(_packed(points, n)), chosen)).otherwise(F.array().cast("array<long>"))
 
     def value(p: Column) -> Column:
         a, b = F.get(p, 0), F.get(p, 1)

@@ -223,6 +223,16 @@ def test_fingerprints(docs, empty):
     assert by[0]["near_next"] == 1 and by[11]["near_edited"] > 0.2 > by[11]["near_next"]
 
 
+def test_fingerprints_number_the_occurrences(spark):
+    a, b = " ".join(words(40, 7)) + " ", " ".join(words(40, 8)) + " "
+    texts = [a * 3, a * 30, a * 3, (a + b) * 2, a * 2 + b * 2, "xyzw" * 3, "xyzw" * 300, a * 30 + "tail"]
+    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    f = fingerprints.fingerprints(data).withColumnRenamed("fingerprint", "f").select("doc_id", "f")
+    near = {(r[0], r[1]): r[2] for r in f.alias("x").crossJoin(f.alias("y")).select(
+        F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), fingerprints.likeness(F.col("x.f"), F.col("y.f"))).collect()}
+    assert near[0, 2] == 1 and near[0, 1] < 0.5 and near[3, 4] < 0.9 and near[5, 6] < 0.9 and near[1, 7] > 0.9
+
+
 def test_toxicity(spark, docs, empty):
     rows = [(i, " ".join(words(30, i) + (["grumpf", "snarkle"] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(400)]
     data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
