@@ -90,10 +90,13 @@ def run_drift(sides: DataFrame, date: str = "date", alpha: float = 0.05) -> tupl
 
 def run_training(
     reviews: DataFrame, labels: DataFrame, out: str, limit: int = 2000, folds: int = 5, grid=None, recommend_for: DataFrame | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Score sentiment, train the fake detector, recommend; return the step report.
 
-    ``labels``: review_id, is_fake. All reviews are scored, not a sample.
+    ``labels``: review_id, is_fake. All reviews are scored, not a sample. All five
+    methods are blended. ``vectors``: (product_id, vector) of the items; without
+    it they are the content features of the reviews themselves.
     """
     spark = reviews.sparkSession
     S.write_table(N.aspects_json(N.analyze(reviews)), f"{out}/sentiment_analysis")
@@ -104,11 +107,19 @@ def run_training(
     M.save_model(model, f"{out}/fake_model")
     S.write_table(M.predict(model, features), f"{out}/fake_detection")
     ratings = materialize(R.user_item_ratings(reviews))
-    near = R.user_neighbours(ratings)
     wanted = ratings.select("user_id").distinct() if recommend_for is None else recommend_for
+    if vectors is None:
+        texts = reviews.select("product_id", F.col("review_text").alias("combined_text"))
+        stats = G.product_core(reviews).withColumnRenamed("average_rating", "avg_rating")
+        vectors = R.item_features(texts, stats)
+    vectors = materialize(vectors)
+    near = materialize(R.item_neighbours(vectors))
     recs = R.hybrid({
-        "user_based": R.user_based(ratings, near, 20),
-        "popular": R.popular_for(wanted, R.popular(reviews))})
+        "user_based": R.user_based(ratings, R.user_neighbours(ratings), 20),
+        "item_based": R.item_based(ratings, near, 20),
+        "content_based": R.content_based(ratings, vectors, reviews, 20),
+        "matrix_factorization": R.matrix_factorization(ratings, 20),
+        "popular": R.popular_for(wanted, R.popular(reviews))}, neighbours=near)
     S.write_table(recs.join(wanted, "user_id", "left_semi"), f"{out}/user_recommendations")
     steps = None
     for name in ("sentiment_analysis", "fake_detection", "user_recommendations"):

@@ -166,6 +166,16 @@ def test_training_orders_suspicious_above_authentic(spark, small, tmp_path):
     assert len(top) == 10 and top[0]["importance"] >= top[-1]["importance"]
 
 
+def test_training_blends_all_five_methods(spark, small, tmp_path):
+    base = adapters.reviews_text(spark, small)
+    labels = base.select("review_id", (F.col("review_id") % 2).cast("int").alias("is_fake"))
+    J.run_training(base, labels, str(tmp_path), limit=60, folds=2, grid=tiny_grid).first()
+    recs = spark.read.parquet(str(tmp_path / "user_recommendations"))
+    named = {m for r in recs.select("reason").distinct().collect() for m in r[0].removeprefix("Recommended by ").split(", ")}
+    assert named == {"user_based", "item_based", "content_based", "matrix_factorization", "popular"}
+    assert recs.where(F.size("similar_products") > 0).count() == recs.count()
+
+
 # ---- streams ---------------------------------------------------------------
 def metric_files(spark, small, tmp_path, parts=6, shuffle_minutes=0):
     """The metric rows as several files in time order, each a batch of the stream."""
