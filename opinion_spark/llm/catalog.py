@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinion_spark.llm import (exactdup, fingerprints, langid, minhash, mixing, packing, sharding, tokencount,
-                               toxicity, urls)
+from opinion_spark.llm import (divergence, exactdup, extraction, filteraudit, fingerprints, langid, minhash, mixing,
+                               packing, sharding, tokencount, toxicity, urls)
 from opinion_spark.llm.common import fold, table
 
 MIX_WEIGHTS = (5, 2, 1)
@@ -241,10 +241,94 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(quality = 1, false)::INT AS good, coalesce(toxic = 1, false)::INT AS toxic,
+         (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x))::INT
+         + 8 * regexp_matches(x, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)::INT AS mask
+  FROM t LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+p AS (
+  SELECT chr(65 + i::INT) AS filter_order, 1 AS step, (1 << i::INT) AS bit, 0 AS before FROM range(5) r(i)
+  UNION ALL
+  SELECT filter_order || chr(65 + i::INT), step + 1, (1 << i::INT), before + bit
+  FROM p, range(5) r(i) WHERE step < 5 AND ((before + bit) & (1 << i::INT)) = 0),
+o AS (
+  SELECT whole.filter_order, p.step, p.bit, p.before
+  FROM p whole JOIN p ON whole.step = 5 AND p.filter_order = left(whole.filter_order, p.step)),
+r AS (
+  SELECT part, filter_order, step, o.bit,
+         coalesce(sum(n) FILTER ((mask & (before + o.bit)) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER ((mask & before) = 0 AND (mask & o.bit) > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER ((mask & before) > 0 AND (mask & o.bit) > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = o.bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER ((mask & before) = 0 AND (mask & o.bit) > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER ((mask & before) = 0 AND (mask & o.bit) > 0), 0)::BIGINT AS toxic_lost
+  FROM c, o GROUP BY part, filter_order, step, o.bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r
+"""
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+s AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS total FROM v GROUP BY lang),
+c AS (
+  SELECT g.lang, g.source, v.term, coalesce(n.n, 0)::HUGEINT AS n,
+         sum(coalesce(n.n, 0)) OVER (PARTITION BY g.lang, g.source)::HUGEINT AS total, lang_n, s.total AS lang_total, s.v
+  FROM g JOIN v USING (lang) JOIN s USING (lang)
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = v.term),
+p AS (
+  SELECT lang, source, term, n, (1 + (1000000000 * (n + 5)) // (total + 5 * v))::BIGINT AS p,
+         (1 + (1000000000 * (lang_n + 5)) // (lang_total + 5 * v))::BIGINT AS q
+  FROM c),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source != y.source GROUP BY ALL
+  UNION ALL
+  SELECT x.lang, x.source, 'pair', y.source, 0
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source != y.source WHERE x.lang NOT IN (SELECT lang FROM s)),
+told AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM told QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing, "op2_toxicity": op2_toxicity, "op3_minhash": op3_minhash, "op4_packing": op4_packing,
     "op5_fingerprints": op5_fingerprints, "op6_url_filters": op6_url_filters, "op7_language": op7_language,
-    "op8_sharding": op8_sharding, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup}
+    "op8_sharding": op8_sharding, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup,
+    "op11_filter_audit": op11_filter_audit, "op12_divergence": op12_divergence, "op13_html": op13_html}
 ORACLES = {
     "op1_mixing": OP1_SQL, "op3_minhash": OP3_SQL, "op6_url_filters": OP6_SQL, "op8_sharding": OP8_SQL,
-    "op10_exact_dedup": OP10_SQL}
+    "op10_exact_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_divergence": OP12_SQL}
