@@ -164,6 +164,91 @@ def test_crowded_bands(spark, monkeypatch):
     assert {r["component_id"] for r in out} == {0}
 
 
+def family(n):
+    """Copies of one text with one to nine tenths of a similarity, so that some are linked and some are not."""
+    out = []
+    for i in range(n):
+        rng = np.random.default_rng(1000 + i)
+        w = list(BASE)
+        for at in rng.choice(len(w), rng.integers(0, 5), replace=False):
+            w[at] = f"new{i}{at}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_a_family_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SIDE", 8)
+    rows = family(150)
+    want = near_components(dict(rows), 4)
+    assert len(set(want.values())) > 5
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(data, width=4).collect()} == want
+
+
+def test_blocks_across_components_grow_with_the_band(spark):
+    def leaving(n, few=10):
+        rows = [(1, i, i if i < few else -1, n, -1, n - few) for i in range(n)]
+        return minhash.across_blocks(spark.createDataFrame(
+            rows, "key long, id long, component long, n long, largest long, in_largest long")).count()
+    one, two, four = (leaving(n) for n in (2000, 4000, 8000))
+    assert two < 2.2 * one and four < 4.4 * one
+
+
+def test_blocks_across_components_hold_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SIDE", 4)
+    component = [i % 7 if i % 3 == 0 else 99 for i in range(40)]
+    inside = component.count(99)
+    rows = minhash.across_blocks(spark.createDataFrame(
+        [(1, i, c, 40, 99, inside) for i, c in enumerate(component)],
+        "key long, id long, component long, n long, largest long, in_largest long")).collect()
+    at = defaultdict(lambda: (set(), set()))
+    for r in rows:
+        at[r["l"], r["r"]][1 - r["left"]].add(r["id"])
+    met = Counter((x, y) for left, right in at.values() for x in left for y in right)
+    assert max(met.values()) == 1
+    assert all((a, b) in met or (b, a) in met for a, b in combinations(range(40), 2) if component[a] != component[b])
+
+
+def test_elections_in_any_batches():
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    n = 400
+    keys = np.sort(rng.integers(0, 12, n))
+    keys[100:250] = keys[100]
+    keys.sort()
+    full = rng.integers(0, 2**62, (4, 2))[rng.integers(0, 4, n)]
+    rows = pa.table({"key": keys, "id": np.arange(n), "n_shingles": np.full(n, 50), "x": full[:, 0], "y": full[:, 1]})
+    for size in (1, 7, 400):
+        out = pa.Table.from_batches(minhash._elections(0.8, 1e-6)(iter(rows.to_batches(size)))).to_pylist()
+        links, on = [r for r in out if r["a"] is not None], [r for r in out if r["a"] is None]
+        led = {r["b"] for r in links}
+        assert len(led) == len(links) and all(keys[r["a"]] == keys[r["b"]] and (full[r["a"]] == full[r["b"]]).all() for r in links)
+        assert {r["id"] for r in on} == {i for i in range(n) if i not in led and keys[i] in (keys[0], keys[-1])}
+
+
+def test_elections_of_a_band_in_several_blocks(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(minhash, "SIDE", 8)
+    keys, ids = np.repeat([1, 2, 3], [3, 50, 20]), np.arange(73)
+    kind = ids % 3
+    rows = pa.table({"key": keys, "id": ids, "n_shingles": np.full(73, 50), "x": kind * (2**62 - 1) // 2, "y": -kind})
+    for size in (1, 5, 8, 73):
+        out = pa.Table.from_batches(minhash._elections(0.8, 1e-6)(iter(rows.to_batches(size)))).to_pylist()
+        led, on = {r["b"] for r in out if r["a"] is not None}, {r["id"] for r in out if r["a"] is None}
+        assert led | on == set(range(73)) and not led & on and len(on) <= 3 * 12
+
+
+def test_word_hashes_tell_words_that_collide_as_polynomials():
+    """A Thue-Morse word and its complement are equal under any polynomial modulo 2^64."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    for of in (0, 1):
+        x, y, z, low, high = (minhash.word_hashes(t, of) for t in (f"{a} q", f"\t{b}  q", "é" * 300, "abc Éq", "ABC Éq"))
+        assert x[0] != y[0] and x[1] == y[1] and len(z) == 1 and (low == high).all()
+    assert minhash.word_hashes("abc", 0)[0] != minhash.word_hashes("abc", 1)[0]
+    assert len(minhash.word_hashes(" \n ")) == 0 and len(minhash.word_hashes("")) == 0
+
+
 def test_packing(docs, empty, spark):
     from tokenizers import Tokenizer
     path = catalog.tokenizer()
