@@ -11,106 +11,127 @@ K = 8            # code points of a k-mer
 TUPLES = 32      # values of a fingerprint; the top five bits of a k-mer's hash name its tuple
 PER_TUPLE = 2    # k-mers of a value
 KEPT = 768       # k-mers of a longer text that are dealt to tuples first, on average
-PLACE_BITS = 24  # lower bits of a packed k-mer: its place in the text
-TUPLE_SHIFT = 58
+PLACE_BITS = 25  # lower bits of a packed k-mer: its place in the text
+LONGEST = 1 << 24  # places beyond are scaled down
+TUPLE_SHIFT = 59
 PLACE_MASK = (1 << PLACE_BITS) - 1
 HASH_MASK = ((1 << TUPLE_SHIFT) - 1) ^ PLACE_MASK
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _none() -> Column:
+    """No k-mer, in an array that can't hold nulls: such arrays are sorted as plain numbers."""
+    return F.filter(F.array(F.lit(0).cast("long")), lambda x: F.lit(False))
 
 
-def _packed(points: Column, n: Column) -> Column:
-    """Every k-mer of a text as one number: 5 bits of tuple, 34 of hash, 24 of place.
+def kmers(points: Column, n: Column, first: Column, length: Column) -> Column:
+    """The k-mers of a text of n code points from place ``first`` on, each as one number: 5 bits of tuple, 34 of hash,
+    25 of place.
 
     ``points`` holds four bytes per code point, so that a k-mer is cut out in
-    constant time. Places in texts beyond 2^24 code points are scaled down.
+    constant time. Places in a text beyond 2^24 code points (``length``) are scaled down.
     """
-    scale = F.greatest(F.lit(0), F.ceil(F.log2(n / F.lit(float(1 << PLACE_BITS))))).cast("double")
+    def packed(cut, place):
+        return lambda at: F.xxhash64(F.substring(cut, at, F.lit(4 * K))).bitwiseAND(F.lit(~PLACE_MASK)).bitwiseOR(
+            place(F.shiftright(at, 2).cast("long")))
 
-    def number(i: Column) -> Column:
-        hashed = F.xxhash64(F.substring(points, i * 4 + 1, F.lit(4 * K)))
-        place = F.when(n <= 1 << PLACE_BITS, i.cast("long")).otherwise(F.floor(i / F.pow(F.lit(2.0), scale)))
-        return F.shiftrightunsigned(hashed, 1).bitwiseAND(F.lit(~PLACE_MASK)).bitwiseOR(place)
+    def of(place):  # as a variable: a binary column would be copied whole for each k-mer
+        return F.get(F.transform(F.array(points), lambda cut: F.transform(places, packed(cut, place))), 0)
 
-    return F.transform(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), number)
+    last = F.greatest(n - K, F.lit(0))
+    places = F.sequence(first * 4 + 1, last * 4 + 1, F.lit(4))
+    scale = F.ceil(F.log2(length / F.lit(float(LONGEST)))).cast("double")
+    return F.when((n == 0) | (first > last), _none()).when(
+        length <= LONGEST, of(lambda i: i)).otherwise(
+        of(lambda i: F.coalesce(F.floor(i / F.pow(F.lit(2.0), scale)), F.lit(0).cast("long"))))
 
 
-def _again(s: Column) -> Column:
-    """Of sorted k-mers those that were there before, hashed anew with the number of the occurrence."""
-    def fresh(x: Column, before: Column) -> Column:
-        return x.bitwiseXOR(before) > PLACE_MASK
+def _new(s: Column, x: Column, i: Column) -> Column:
+    """Whether no k-mer before it in the sorted array is the same."""
+    return (i == 0) | (F.shiftright(x.bitwiseXOR(F.get(s, i - 1)), PLACE_BITS) != 0)
 
-    def numbered(d: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: (i == 0) | fresh(F.get(d, i), F.get(d, i - 1)))
-        return _let(starts, lambda b: F.flatten(F.transform(b, lambda at, j: F.transform(
-            F.slice(d, at + 1, F.coalesce(F.get(b, j + 1), F.size(d)) - at),
-            lambda x, o: F.shiftrightunsigned(F.xxhash64(F.shiftright(x, PLACE_BITS), o + 1), 1).bitwiseAND(
-                F.lit(~PLACE_MASK)).bitwiseOR(x.bitwiseAND(F.lit(PLACE_MASK)))))))
-
-    return _let(F.filter(s, lambda x, i: ~fresh(x, F.get(s, i - 1))), lambda d: F.when(
-        F.size(d) > 0, numbered(d)).otherwise(F.array().cast("array<long>")))
-
-
-def _smallest(packed: Column) -> Column:
-    """Of each tuple the ``PER_TUPLE`` smallest k-mers by hash, then by place."""
-    return _let(F.sort_array(packed), lambda s: F.filter(s, lambda x, i: (i < PER_TUPLE) | (
-        F.shiftright(F.get(s, i - PER_TUPLE), TUPLE_SHIFT) != F.shiftright(x, TUPLE_SHIFT))))
 
+def _same(s: Column, x: Column, i: Column) -> Column:
+    """Whether the k-mer before it in the sorted array is the same; null for the first."""
+    return F.shiftright(x.bitwiseXOR(F.get(s, i - 1)), PLACE_BITS) == 0
 
-def fingerprint(text: Column) -> Column:
-    """Order MinHash of a text: an array of ``TUPLES`` numbers, null where a tuple has no k-mer.
-
-    The occurrences of a k-mer are numbered along the text, and each is hashed with
-    its number (the first has the hash of the k-mer itself). Each tuple takes its
-    ``PER_TUPLE`` smallest occurrence-numbered k-mers, puts them back
-    into text order and hashes them together, so that moved and repeated passages
-    count, as in the edit distance, and not the set of k-mers alone (Marcais et
-    al., 2019). One hash serves all tuples: its top bits name the tuple.
-
-    Every k-mer of the whole text is hashed, and all are sorted to number them. Of
-    a long text those with a small hash are dealt to tuples first; if they don't
-    fill all tuples, all are. A text shorter
-    than a k-mer is one k-mer; a null or empty text has only nulls.
-    """
-    t = F.coalesce(text, F.lit(""))
-
-    def of(points: Column) -> Column:
-        n = F.floor(F.octet_length(points) / 4).cast("int")
-        few = F.least(F.lit(float(HASH_MASK)), F.lit(float(HASH_MASK)) * KEPT / n).cast("long")
 
-        def chosen(s: Column) -> Column:
-            def small(x: Column) -> Column:
-                return x.bitwiseAND(F.lit(HASH_MASK)) <= few
-
-            def first(x: Column, i: Column) -> Column:
-                return (i == 0) | (x.bitwiseXOR(F.get(s, i - 1)) > PLACE_MASK)
+def _numbered(d: Column) -> Column:
+    """Sorted repeated k-mers, hashed anew with the number of their occurrence."""
+    starts = F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: _new(d, F.get(d, i), i))
+    return F.when(F.size(d) > 0, F.get(F.transform(F.array(starts), lambda b: F.flatten(F.transform(
+        b, lambda at, j: F.transform(
+            F.slice(d, at + 1, F.coalesce(F.get(b, j + 1), F.size(d)) - at),
+            lambda x, o: F.xxhash64(F.shiftrightunsigned(x, PLACE_BITS), o + 1).bitwiseAND(F.lit(~PLACE_MASK)).bitwiseOR(
+                x.bitwiseAND(F.lit(PLACE_MASK))))))), 0)).otherwise(_none())
 
-            def of_both(again: Column) -> Column:
-                some = _smallest(F.concat(F.filter(s, lambda x, i: small(x) & first(x, i)), F.filter(again, small)))
-                return _let(some, lambda found: F.when(
-                    (n <= KEPT) | (F.size(found) == TUPLES * PER_TUPLE), found).otherwise(
-                    _smallest(F.concat(F.filter(s, first), again))))
 
-            return _let(_again(s), of_both)
+def _smallest(s: Column) -> Column:
+    """Of each tuple of sorted k-mers the ``PER_TUPLE`` smallest by hash, then by place."""
+    return F.filter(s, lambda x, i: (i < PER_TUPLE) | (
+        F.shiftright(F.get(s, i - PER_TUPLE), TUPLE_SHIFT) != F.shiftright(x, TUPLE_SHIFT)))
 
-        return F.when(n > 0, _let(F.sort_array(_packed(points, n)), chosen)).otherwise(F.array().cast("array<long>"))
 
+def _values(found: Column) -> Column:
+    """The chosen k-mers of each tuple, put back into text order and hashed together."""
     def value(p: Column) -> Column:
         a, b = F.get(p, 0), F.get(p, 1)
         in_order = a.bitwiseAND(F.lit(PLACE_MASK)) <= b.bitwiseAND(F.lit(PLACE_MASK))
-        ha, hb = F.shiftright(a, PLACE_BITS), F.shiftright(b, PLACE_BITS)
+        ha, hb = F.shiftrightunsigned(a, PLACE_BITS), F.shiftrightunsigned(b, PLACE_BITS)
         return F.when(F.size(p) == 0, F.lit(None).cast("long")).when(F.size(p) == 1, F.xxhash64(ha)).when(
             in_order, F.xxhash64(ha, hb)).otherwise(F.xxhash64(hb, ha))
 
-    def values(kmers: Column) -> Column:
-        shared = F.transform(F.sequence(F.lit(0), F.lit(TUPLES - 1)), lambda j: F.filter(
-            kmers, lambda x: F.shiftright(x, TUPLE_SHIFT) == j))
-        return F.transform(shared, value)
+    return F.transform(F.transform(F.sequence(F.lit(0), F.lit(TUPLES - 1)), lambda j: F.filter(
+        found, lambda x: F.shiftrightunsigned(x, TUPLE_SHIFT) == j)), value)
+
+
+def with_order_minhash(df: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """Add an Order MinHash for each name: an array of ``TUPLES`` numbers, null where a tuple has no k-mer.
+
+    ``made`` gives the packed k-mers of the whole text. The occurrences of a k-mer
+    are numbered along the text, and each is hashed with its number (the first has
+    the hash of the k-mer itself). Each tuple takes its
+    ``PER_TUPLE`` smallest occurrence-numbered k-mers, puts them back
+    into text order and hashes them together, so that moved and repeated passages
+    count, as in the edit distance, and not the set of k-mers alone (Marcais et
+    al., 2019). One hash serves all tuples: its top bits name the tuple. A text of under some hundred
+    k-mers therefore leaves tuples with one k-mer or none, and these hold no order.
+
+    Every k-mer of the whole text is hashed, and all are sorted to number them. Of
+    a long text those with a small hash are dealt to tuples first; if they don't
+    fill all tuples, all are. A text shorter than a k-mer is one k-mer; a null or
+    empty text has only nulls. Each step is a column of its own: sorts then run
+    compiled, on arrays of plain numbers, and nothing is worked out twice.
 
-    return _let(_let(F.encode(t, "UTF-32"), of), values)
+    A text takes four bytes a code point for its cut form and eight a k-mer for each array,
+    and the cut form must be below 2^31 bytes: texts beyond 2^29 code points end in an error.
+    """
+    def step(df: DataFrame, **now) -> DataFrame:
+        return df.withColumns({f"__{k}_{name}": of(lambda c, name=name: F.col(f"__{c}_{name}"))
+                               for name in made for k, of in now.items()})
+
+    def small(c, x: Column) -> Column:
+        return x.bitwiseAND(F.lit(HASH_MASK)) <= c("few")
+
+    def few(c) -> Column:
+        n = F.greatest(F.size(c("s")), F.lit(1))
+        return F.least(F.lit(float(HASH_MASK)), F.lit(float(HASH_MASK)) * KEPT / n).cast("long")
+
+    df = df.withColumns({f"__k_{name}": packed for name, packed in made.items()})
+    df = step(df, s=lambda c: F.sort_array(c("k")))
+    df = step(df, few=few)
+    # first occurrences with a small hash, and all later ones: of these alone the first has a large hash
+    df = step(df, u=lambda c: F.filter(c("s"), lambda x, i: small(c, x) | _same(c("s"), x, i)))
+    df = step(df, d=lambda c: F.filter(c("u"), lambda x, i: ~small(c, x) | _same(c("u"), x, i)))
+    df = step(df, a=lambda c: _numbered(c("d")))
+    df = step(df, t=lambda c: F.sort_array(F.concat(
+        F.filter(c("u"), lambda x, i: small(c, x) & _new(c("u"), x, i)), F.filter(c("a"), lambda x: small(c, x)))))
+    df = step(df, f=lambda c: _smallest(c("t")))
+    df = step(df, r=lambda c: F.when(
+        (F.size(c("f")) == TUPLES * PER_TUPLE) | (F.size(c("s")) <= KEPT), _none()).otherwise(
+        F.sort_array(F.concat(F.filter(c("s"), lambda x, i: _new(c("s"), x, i)), c("a")))))
+    df = step(df, f=lambda c: F.when(F.size(c("r")) > 0, _smallest(c("r"))).otherwise(c("f")))
+    return df.withColumns({name: _values(F.col(f"__f_{name}")) for name in made}).drop(
+        *[f"__{k}_{name}" for name in made for k in ("k", "s", "few", "u", "d", "a", "t", "f", "r")])
 
 
 def shown(values: Column) -> Column:
@@ -134,8 +155,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are not read. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col), F.char_length(text).cast("long").alias("n_chars"),
-                       shown(fingerprint(text)).alias("fingerprint"))
+    rows = docs.select(F.col(id_col), F.char_length(text).alias("n"), F.encode(text, "UTF-32").alias("points"))
+    hashed = with_order_minhash(rows, {"fingerprint": kmers(F.col("points"), F.col("n"), F.lit(0), F.col("n"))})
+    return hashed.select(id_col, F.col("n").cast("long").alias("n_chars"), shown(F.col("fingerprint")).alias("fingerprint"))
 
 
 def successors(ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -177,13 +199,21 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "before", F.expr("left(text, most)").alias("head")).groupBy("before").agg(F.min("head").alias("head"))
     both = rows.join(heads, F.col("id").eqNullSafe(F.col("before")), "left").select(
         "id", "text", F.char_length("text").alias("n"), "head")
-    quarter = F.floor(F.col("n") / 4).cast("int")
-    changed = F.concat(F.expr("left(text, n - cast(floor(n / 4) as int))"), F.left(F.coalesce("head", F.lit("")), quarter))
-    made = materialize(both.select(
-        "id", F.col("n").cast("long").alias("n_chars"), "text", changed.alias("edited")).select(
-        "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        shown(fingerprint(F.col("text"))).alias("fingerprint"),
-        shown(fingerprint(F.col("edited"))).alias("edited_fingerprint")))
+    changed = both.select(
+        "id", "text", "n", (F.col("n") - F.floor(F.col("n") / 4)).cast("int").alias("same"), F.coalesce("head", F.lit("")).alias("head"))
+    changed = changed.select("id", "text", "n", "same", F.expr("concat(left(text, same), left(head, n - same))").alias("edited"))
+    cut = changed.select("id", "n", "same", F.char_length("edited").alias("m"), F.sha2("edited", 256).alias("edited_sha256"),
+                         F.encode("text", "UTF-32").alias("points"), F.encode("edited", "UTF-32").alias("edited_points"))
+    # k-mers that lie in the part that stays are worked out once; places beyond 2^24 are scaled by the own length
+    alone, n, m = F.col("n") > LONGEST, F.col("n"), F.col("m")
+    from_ = F.when(alone, F.lit(0)).otherwise(F.greatest(F.col("same") - K + 1, F.lit(0)))
+    shared = F.when(alone | (F.col("same") < K), _none()).otherwise(kmers(F.col("points"), F.col("same"), F.lit(0), n))
+    parts = cut.select("id", "n", "edited_sha256", shared.alias("both"), kmers(F.col("points"), n, from_, n).alias("own"),
+                       kmers(F.col("edited_points"), m, from_, m).alias("other"))
+    made = materialize(with_order_minhash(parts, {
+        "fingerprint": F.concat("both", "own"), "edited_fingerprint": F.concat("both", "other")}).select(
+        "id", F.col("n").cast("long").alias("n_chars"), "edited_sha256", shown(F.col("fingerprint")).alias("fingerprint"),
+        shown(F.col("edited_fingerprint")).alias("edited_fingerprint")))
     following = made.groupBy("id").agg(F.min("fingerprint").alias("next_fingerprint")).select(
         F.col("id").alias("following"), "next_fingerprint")
     of = order.select(F.col("id").alias("before"), "next_id").join(

@@ -288,6 +288,71 @@ def test_encoder_is_the_tokenizers():
         assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def order_minhash(text):
+    """A fingerprint one k-mer at a time."""
+    import struct
+    from xxhash import xxh64_intdigest
+
+    def signed(x):
+        return x - 2**64 if x >= 2**63 else x
+
+    def of_longs(*values):
+        seed = 42
+        for v in values:
+            seed = xxh64_intdigest(struct.pack("<q", v), seed)
+        return signed(seed)
+    k = fingerprints.K
+    n, seen, tuples = len(text), Counter(), defaultdict(list)
+    for place in range(max(1, n - k + 1) if n else 0):
+        base = xxh64_intdigest(text[place:place + k].encode("utf-32-be"), 42) >> 25
+        if seen[base]:
+            value = xxh64_intdigest(struct.pack("<i", seen[base]), of_longs(base) % 2**64) >> 25
+        else:
+            value = base
+        seen[base] += 1
+        tuples[value >> 34].append((value, place))
+    out = []
+    for j in range(32):
+        chosen = sorted(sorted(tuples[j])[:2], key=lambda x: x[1])
+        out.append(f"{of_longs(*(v for v, _ in chosen)) % 2**32:08x}" if chosen else "-")
+    return ".".join(out)
+
+
+def test_fingerprints_against_a_loop(spark):
+    rng = np.random.default_rng(9)
+    texts = ["", "a", "abcdefg", "abcdefgh", "abcdefghi", "ab" * 700, "x" * 3000, "日本語😀" * 5, " ".join(BASE * 3),
+             " ".join(words(900, 4)), " ".join(words(50, 5)) + " " + " ".join(BASE) * 12]
+    texts += ["".join(rng.choice(list("ab é😀"), rng.integers(1, 40))) for _ in range(30)]
+    texts += ["".join(rng.choice(list("abcdefg "), rng.integers(700, 1500))) for _ in range(6)]
+    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(data).collect()}
+    assert found == {i: order_minhash(t) for i, t in enumerate(texts)}
+
+    def alike(x, y):
+        both = [(a, b) for a, b in zip(x.split("."), y.split(".")) if (a, b) != ("-", "-")]
+        return sum(a == b for a, b in both) / len(both) if both else 1.0
+    for r in fingerprints.edited_fingerprints(data).collect():
+        t, following = texts[r["doc_id"]], texts[(r["doc_id"] + 1) % len(texts)]
+        q = len(t) // 4
+        edited = order_minhash(t[:len(t) - q] + following[:q])
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (found[r["doc_id"]], edited)
+        assert r["near_edited"] == pytest.approx(alike(found[r["doc_id"]], edited))
+        assert r["near_next"] == pytest.approx(alike(found[r["doc_id"]], order_minhash(following)))
+
+
+def test_places_of_very_long_texts_are_scaled(spark, monkeypatch):
+    text = "".join(np.random.default_rng(1).choice(list("abcdef "), 3000))
+    data = spark.createDataFrame([(1, text), (2, text[::-1])], "doc_id long, text string")
+    plain = {r["doc_id"]: r["edited_fingerprint"] for r in fingerprints.edited_fingerprints(data).collect()}
+    monkeypatch.setattr(fingerprints, "LONGEST", 1024)
+    scaled = fingerprints.edited_fingerprints(data).collect()
+    assert all(len(r["edited_fingerprint"].split(".")) == 32 for r in scaled) and len(plain) == len(scaled)
+    edited = {1: text[:2250] + text[::-1][:750], 2: text[::-1][:2250] + text[:750]}
+    again = spark.createDataFrame(list(edited.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["edited_fingerprint"] for r in scaled} == {
+        r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(again).collect()}
+
+
 def test_fingerprints(docs, empty):
     out = fingerprints.edited_fingerprints(docs).collect()
     assert len(out) == docs.count() and fingerprints.edited_fingerprints(empty).count() == 0
