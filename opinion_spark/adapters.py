@@ -66,7 +66,7 @@ REVIEWS_CORE_SQL = """reviews_core AS (
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their whole text."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return text_rows(spread(docs, "doc_id"))
 
 
@@ -81,7 +81,7 @@ def text_rows(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("U"), digits(F.col("text"), 7) % 97).alias("user_id"),
         (1 + digits(F.col("text"), 13) % 5).cast("int").alias("rating"),
         F.concat("text", phrase).alias("review_text"),
-        F.substring("text", 1, 20).alias("review_title"),
+        F.concat("source", F.lit(" review no. "), F.col("doc_id").cast("string"), F.lit(" / "), F.md5("text")).alias("review_title"),
         helpful.alias("helpful_votes"),
         (helpful + (F.col("n_chars") % 3).cast("int")).alias("total_votes"),
         F.date_add(F.lit("2011-01-01").cast("date"), (digits(F.col("text"), 25) % 730).cast("int"))
@@ -102,7 +102,7 @@ REVIEWS_TEXT_SQL = f"""reviews_text AS (
          'U' || ({_sql_digits(7)} % 97) AS user_id,
          CAST(1 + {_sql_digits(13)} % 5 AS INT) AS rating,
          text || CASE {_sql_digits(19)} % 6 {_CASES} END AS review_text,
-         substr(text, 1, 20) AS review_title,
+         source || ' review no. ' || doc_id || ' / ' || md5(text) AS review_title,
          CAST(n_chars % 7 AS INT) AS helpful_votes,
          CAST(n_chars % 7 + n_chars % 3 AS INT) AS total_votes,
          CAST(DATE '2011-01-01' + CAST({_sql_digits(25)} % 730 AS INT) AS TIMESTAMP) AS date,

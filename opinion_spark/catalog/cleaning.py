@@ -287,7 +287,7 @@ def q_ids(spark, sf):
 @query("scan_first_by_id", A.sql("reviews_text", """
 SELECT review_id, rating FROM reviews_text ORDER BY review_id LIMIT 500"""))
 def q_first(spark, sf):
-    return S.scan_by_ids(A.reviews_text(spark, sf).select("review_id", "rating"), None, limit=500)
+    return S.first_by_id(A.reviews_text(spark, sf).select("review_id", "rating"), 500)
 
 
 @query("add_missing_columns", A.sql("reviews_core", """

@@ -114,7 +114,7 @@ TEXT_FEATURES: dict[str, tuple[Callable[..., Column], str]] = {
         "md5(" + "".join("replace(" for _ in L.CONTRACTIONS) + "review_text" + "".join(
             ", '{}', '{}')".format(a.replace("'", "''"), b) for a, b in L.CONTRACTIONS) + ")"),
     "safe_user_id": (lambda t: X.safe_user_id(F.col("review_title")),
-                     r"substr(regexp_replace(review_title, '[^\p{L}\p{N}_\-]', '_', 'g'), 1, 50)"),
+                     r"regexp_replace(review_title, '[^\p{L}\p{N}_\-]', '_', 'g')"),
     "repeated_characters": (
         lambda t: F.rlike(F.lower(t), F.lit(X.REPEATED)),
         # every distinct character of the text, checked for a run of six

@@ -207,8 +207,10 @@ def helpful_votes(t: Column) -> Column:
     )
 
 
-def safe_user_id(t: Column) -> Column:
-    return F.substring(F.regexp_replace(t, r"[^\p{L}\p{N}_\-]", "_"), 1, 50)
+def safe_user_id(t: Column, length: int | None = None) -> Column:
+    """Letters, digits, ``_`` and ``-`` stay; with a length, users who share their first characters become one."""
+    safe = F.regexp_replace(t, r"[^\p{L}\p{N}_\-]", "_")
+    return safe if length is None else F.substring(safe, 1, length)
 
 
 def clean_title(t: Column) -> Column:

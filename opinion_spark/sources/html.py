@@ -83,8 +83,8 @@ def _containers(page: str) -> list[dict]:
     return []
 
 
-def extract_reviews(pages: DataFrame, as_of: str) -> DataFrame:
-    """One row per review container of (page_id, product_id, html).
+def extract_reviews(pages: DataFrame, as_of: str, user_id_length: int | None = None) -> DataFrame:
+    """One row per review container of (page_id, product_id, html); user ids are cut only on request.
 
     Python only finds the markup; all text rules are native columns.
     """
@@ -103,7 +103,7 @@ def extract_reviews(pages: DataFrame, as_of: str) -> DataFrame:
     star = F.regexp_extract("star_class", r"a-star-(\d+)", 1).try_cast("int")
     anonymous = F.concat(F.lit("user_"), F.col("page_id").cast("string"), F.lit("_"), F.col("place").cast("string"))
     return raw.select(
-        "page_id", "product_id", X.safe_user_id(F.coalesce("user_text", anonymous)).alias("user_id"),
+        "page_id", "product_id", X.safe_user_id(F.coalesce("user_text", anonymous), user_id_length).alias("user_id"),
         F.coalesce(star, F.lit(3)).alias("rating"),
         X.clean_title(F.coalesce("title_text", F.lit("No Title"))).alias("review_title"), body.alias("review_text"),
         votes.alias("helpful_votes"), votes.alias("total_votes"),

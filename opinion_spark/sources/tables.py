@@ -49,23 +49,28 @@ def scan(df: DataFrame, columns: list[str], text: str, min_length: int, order: s
     return out if limit is None else out.limit(limit)
 
 
-def scan_by_ids(df: DataFrame, ids: DataFrame | None, limit: int = 500, id_col: str = "review_id") -> DataFrame:
-    """The rows of the given ids, or the first ``limit`` by id.
+def scan_by_ids(df: DataFrame, ids: DataFrame, id_col: str = "review_id") -> DataFrame:
+    """The rows of the given ids.
 
     The id list is not forced to broadcast: Spark does so only while it is small.
     """
-    if ids is not None:
-        return df.join(ids.select(id_col), id_col, "left_semi")
+    return df.join(ids.select(id_col), id_col, "left_semi")
+
+
+def first_by_id(df: DataFrame, limit: int, id_col: str = "review_id") -> DataFrame:
+    """The first ``limit`` rows by id, for callers that ask for a batch without naming ids."""
     return df.orderBy(id_col).limit(limit)
 
 
 def table_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(table_name, n) for each path, 0 when the table does not exist."""
+    """(table_name, n) for each path, 0 when the table does not exist; any other error is raised."""
     out: DataFrame | None = None
     for name, path in paths.items():
         try:
             one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             one = spark.range(1).select(F.lit(0).cast("long").alias("n"))
         one = one.select(F.lit(name).alias("table_name"), "n")
         out = one if out is None else out.unionAll(one)
