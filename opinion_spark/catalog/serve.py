@@ -254,7 +254,8 @@ def q_item(spark, sf):
 
 @query("recommend_content_based", rsql("reviews_core item_vectors", fin("SELECT * FROM crec_all"), II, POP, CONTENT.format(n=10)))
 def q_content(spark, sf):
-    c = R.content_based(ratings(spark, sf), A.item_vectors(spark, sf), CORE(spark, sf))
+    similar = R.similar_items(A.item_vectors(spark, sf))
+    c = R.content_based(ratings(spark, sf), similar, CORE(spark, sf))
     return shorten(c, "predicted_rating", "confidence")
 
 
@@ -273,12 +274,11 @@ def blended(spark, sf, n=10, factorize=False):
     from opinion_spark.session import materialize
     reviews = CORE(spark, sf)
     r = materialize(R.user_item_ratings(reviews))
-    vectors = A.item_vectors(spark, sf)
-    near = materialize(R.item_neighbours(vectors))
+    near, similar = R.item_tables(A.item_vectors(spark, sf))
     methods = {
         "user_based": R.user_based(r, R.user_neighbours(r), 2 * n),
         "item_based": R.item_based(r, near, 2 * n),
-        "content_based": R.content_based(r, vectors, reviews, 2 * n),
+        "content_based": R.content_based(r, similar, reviews, 2 * n),
         "popular": R.popular_for(r.select("user_id").distinct(), R.popular(reviews, n)),
     }
     if factorize:

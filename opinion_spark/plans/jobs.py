@@ -113,11 +113,11 @@ def run_training(
         stats = G.product_core(reviews).withColumnRenamed("average_rating", "avg_rating")
         vectors = R.item_features(texts, stats)
     vectors = materialize(vectors)
-    near = materialize(R.item_neighbours(vectors))
+    near, similar = R.item_tables(vectors)
     recs = R.hybrid({
         "user_based": R.user_based(ratings, R.user_neighbours(ratings), 20),
         "item_based": R.item_based(ratings, near, 20),
-        "content_based": R.content_based(ratings, vectors, reviews, 20),
+        "content_based": R.content_based(ratings, similar, reviews, 20),
         "matrix_factorization": R.matrix_factorization(ratings, 20),
         "popular": R.popular_for(wanted, R.popular(reviews))}, neighbours=near)
     S.write_table(recs.join(wanted, "user_id", "left_semi"), f"{out}/user_recommendations")

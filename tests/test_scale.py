@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -142,8 +143,8 @@ def test_neighbours_with_hot_items(spark, hot_degree):
     assert got == plain_neighbours(ratings, 5, 0.1)
 
 
-@pytest.mark.parametrize("per_part", [3, 50_000])
-def test_liked_item_scores(spark, per_part):
+@pytest.mark.parametrize("per_part", [3, 2000])
+def test_liked_sums(spark, per_part):
     rng = random.Random(8)
     vec = {i: [rng.gauss(0, 1) for _ in range(6)] for i in range(40)}
     ratings = {(u, rng.randrange(45)): float(rng.randint(1, 5)) for u in range(25) for _ in range(8)}
@@ -162,11 +163,79 @@ def test_liked_item_scores(spark, per_part):
         want |= {(u, j, round(scores[j], 6)) for j in best}
     df = spark.createDataFrame([(u, i, r) for (u, i), r in ratings.items()], "user_id long, product_id long, rating double")
     vectors = spark.createDataFrame(list(vec.items()), "product_id long, vector array<double>")
-    got = {(r["user_id"], r["product_id"], round(r["score"], 6)) for r in M.liked_item_scores(
-        df, vectors, 5, per_block=15, user_rows=40, rows_per_part=per_part).collect()}
+    similar = M.angular_pairs(M.AngularIndex(vectors, "product_id", "vector", per_block=15, per_pivot=8), 0.1)
+    got = {(r["user_id"], r["product_id"], round(r["score"], 6)) for r in M.liked_sums(
+        df, similar, 5, group_rows=20, rows_per_part=per_part).collect()}
     assert got == want
 
 
+def clustered(n, groups, width, seed):
+    """Vectors in tight groups, with a few of length zero and a few equal ones."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(groups, 24))[np.arange(n) % groups] + width * rng.normal(size=(n, 24))
+    v[::97] = 0
+    v[5] = v[5 + groups]
+    return v
+
+
+def plain_dense(v, k, keep_self):
+    length = np.linalg.norm(v, axis=1, keepdims=True)
+    unit = np.divide(v, length, out=np.zeros_like(v), where=length > 0)
+    sims = np.round(unit @ unit.T, 9)
+    out = set()
+    for i, row in enumerate(sims):
+        found = [j for j in sorted(range(len(v)), key=lambda j: (-row[j], j)) if keep_self or j != i][:k]
+        out |= {(i, j, round(float(row[j]), 6) + 0.0) for j in found}
+    return out, sims
+
+
+@pytest.mark.parametrize("width, keep_self", [(0.05, True), (1.0, False), (8.0, False)])
+def test_angular_index_loses_nothing(spark, width, keep_self):
+    v = clustered(600, 30, width, 4)
+    want, sims = plain_dense(v, 6, keep_self)
+    data = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "product_id long, vector array<double>")
+    index = M.AngularIndex(data, "product_id", "vector", per_block=40, per_pivot=20)
+    got = {(r["product_id"], r["other"], round(r["sim"], 6) + 0.0) for r in M.angular_neighbours(index, 6, keep_self).collect()}
+    assert got == want
+    pairs = Counter((r["product_id"], r["other"]) for r in M.angular_pairs(index, 0.3).collect())
+    assert set(pairs.values()) <= {1}
+    assert set(pairs) == {(i, j) for i, j in zip(*np.nonzero(sims > 0.3)) if i != j}
+
+
+def test_angular_index_skips_far_blocks(spark):
+    """Twice as many groups, each as large: the pairs of blocks that are compared don't grow with the square."""
+    compared = []
+    for groups in (20, 40):
+        v = clustered(groups * 25, groups, 0.02, 7)[1:]  # without the vector of length zero at the front
+        v = v[np.abs(v).sum(1) > 0]
+        data = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "product_id long, vector array<double>")
+        index = M.AngularIndex(data, "product_id", "vector", per_block=40, per_pivot=5)
+        floors = index.stats.select("block", F.lit(0.9).alias("floor"))
+        blocks, pairs = index.stats.count(), index.pairs(floors).count()
+        assert pairs < 0.5 * blocks * (blocks - 1) / 2
+        compared.append(pairs)
+    assert compared[1] < 3 * compared[0]
+
+
+def test_hot_blocks_that_cannot_reach_a_floor_are_skipped(spark):
+    """Two hot items with raters of their own, and many light ones: blocks meet only where they can matter."""
+    rng = random.Random(2)
+    ratings = [(u, u % 2, 5.0) for u in range(400)] + [(u, 100 + u, float(rng.randint(1, 5))) for u in range(400) if u % 4]
+    ratings += [(u, 1000 + 10 * u + x, 5.0) for u in range(300, 400) for x in range(10)]
+    df = spark.createDataFrame(ratings, "user_id long, product_id long, rating double")
+    weights = R.unit_weights(df, "user_id", "product_id", "rating")
+    got = {(r["user_id"], r["other"], round(r["sim"], 6))
+           for r in M.sparse_neighbours(weights, "user_id", "product_id", 5, 0.1, hot_degree=50, per_block=25).collect()}
+    assert got == plain_neighbours(ratings, 5, 0.1)
+    hot = weights.where("product_id < 2").groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("product_id", "w"))).alias("hot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__size"))
+    placed = M._hot_blocks(hot, "user_id", 5, 25)
+    assert placed.groupBy("block").count().agg(F.max("count")).first()[0] <= 25 and placed.count() == 400
+    blocks = placed.select("block").distinct().count()
+    floors = placed.select("block").distinct().withColumn("floor", F.lit(0.1))
+    assert M._hot_pairs(placed, floors, "user_id").count() < 0.5 * blocks * (blocks - 1) / 2
+
+
 @pytest.mark.parametrize("text_ids", [False, True])
 def test_factorization_skips_seen_items(spark, small, text_ids):
     from opinion_spark import adapters
