@@ -200,42 +200,36 @@ def _events_stream(spark, sf) -> DataFrame:
     return A.metric_rows(raw)
 
 
-def _run(spark, stream: DataFrame, name: str) -> DataFrame:
+def _run(spark, stream: DataFrame, build, name: str) -> DataFrame:
+    """All of a stream, to the last window."""
     base = f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    started = W.write_available(stream, f"{base}/out", f"{base}/state")
-    started.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    W.write_all(build, stream, f"{base}/out", f"{base}/state", f"{base}/markers")
+    return spark.read.schema(build(stream).schema).parquet(f"{base}/out")
 
 
-CLOSED = "WHERE window_start + 3600 <= (SELECT floor(epoch(max(ts)) - 600) FROM metric_stream)"
-
-
-@query("stream_recent_metrics", A.sql("metric_stream", f"""
-SELECT * FROM (SELECT epoch(time_bucket(INTERVAL '1 hour', ts))::bigint AS window_start, metric_name, count(*) AS n,
-  round(avg(metric_value), 6) AS avg_value FROM metric_stream GROUP BY 1, 2) {CLOSED}"""))
+@query("stream_recent_metrics", A.sql("metric_stream", """
+SELECT epoch(time_bucket(INTERVAL '1 hour', ts))::bigint AS window_start, metric_name, count(*) AS n,
+  round(avg(metric_value), 6) AS avg_value FROM metric_stream GROUP BY 1, 2"""))
 def q_stream_windows(spark, sf):
-    out = _run(spark, W.windowed_metrics(_events_stream(spark, sf)), "windows")
+    out = _run(spark, _events_stream(spark, sf), W.windowed_metrics, "windows")
     return out.select(F.unix_timestamp("window_start").alias("window_start"), "metric_name", "n",
                       F.round("avg_value", 6).alias("avg_value"))
 
 
 @query("stream_alert_cooldown", A.sql("metric_stream", """
-SELECT event_id, alert_type, component FROM cooled
-WHERE ts < (SELECT to_timestamp(floor(epoch_ms(max(ts)) / 1000.0 * 1000) / 1000 - 600)::timestamp FROM raised)""",
+SELECT event_id, alert_type, component FROM cooled""",
     RAISED, COOLED, recursive=True))
 def q_stream_cooldown(spark, sf):
-    out = _run(spark, W.cooled_alerts(X.raised_alerts(_events_stream(spark, sf))), "cooldown")
+    out = _run(spark, X.raised_alerts(_events_stream(spark, sf)), W.cooled_alerts, "cooldown")
     return out.select("event_id", "alert_type", "component")
 
 
 @query("stream_escalations", A.sql("metric_stream", """
-SELECT alert_id, raised FROM (SELECT alert_type || '_' || component || '_' || CAST(floor(epoch(ts)) AS BIGINT) AS alert_id,
-    any_value(alert_type) AS alert_type, epoch_us(min(ts)) AS raised FROM raised GROUP BY 1)
-WHERE raised + CASE alert_type WHEN 'model_performance' THEN 120 WHEN 'health_check' THEN 30 ELSE 60 END * 60000000::bigint
-  < (SELECT (epoch_ms(max(ts)) - 600000) * 1000 FROM raised)""", RAISED))
+SELECT alert_type || '_' || component || '_' || CAST(floor(epoch(ts)) AS BIGINT) AS alert_id, epoch_us(min(ts)) AS raised
+FROM raised GROUP BY 1""", RAISED))
 def q_stream_escalations(spark, sf):
     raised = X.raised_alerts(_events_stream(spark, sf)).select("alert_id", "alert_type", "ts")
-    return _run(spark, W.escalations(raised.withColumn("kind", F.lit("raised"))), "escalation")
+    return _run(spark, raised.withColumn("kind", F.lit("raised")), W.escalations, "escalation")
 
 
 @query("stream_score_reviews", A.sql("reviews_text", """

@@ -89,10 +89,15 @@ def health_status(value: Column, threshold: Column | float, critical: float = 95
 # its key that passed; a suppressed alert does not restart the clock. That is a
 # sequential rule, so a hot key would be one long loop in one task. Time is cut
 # into blocks instead. Step 1 finds, for every block on its own, which alert
-# ends the chain that starts at a given first alert. Step 2 walks the blocks of
-# a key through these tables. Step 3 replays every block from its known start.
+# ends the chain that starts at a given first alert: a table that maps the time from
+# which an alert may pass to the last one that does. Step 2 composes the tables of
+# FAN neighbours into one, level by level up to a root, and then sends the last passing time
+# back down, so that no task reads more than FAN tables (an associative scan).
+# Step 3 replays every block from its known start.
 
 KEYS = ["alert_type", "component"]
+FAN = 16  # tables that are composed at a time
+CHAINS = "alert_type string, component string, block long, wait long, first long, last long"
 
 
 def _next_index(times: np.ndarray, wait: int) -> np.ndarray:
@@ -112,26 +117,73 @@ def _chain_table(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         if np.array_equal(further, end):
             break
         end = further
-    # first alerts can only lie up to one cooldown after the start of the block
-    m = min(n, int(np.searchsorted(times, start + wait, side="left")) + 1)
-    first, last = times[:m], times[end[:m]]
+    return _table(key, times, times[end], wait, start)
+
+
+def _table(key: tuple, first: np.ndarray, last: np.ndarray, wait: int, start: int) -> pd.DataFrame:
+    """Rows (first, last) of a block that begins at ``start``: who may pass from t on, ends at the last of the next first.
+
+    Nobody waits longer than one cooldown after the start, so one row beyond it is enough.
+    """
+    m = min(len(first), int(np.searchsorted(first, start + wait, side="left")) + 1)
+    first, last = first[:m], last[:m]
     keep = np.append(last[1:] != last[:-1], True)  # last entry of each run of equal ends
     return pd.DataFrame({
         "alert_type": key[0], "component": key[1], "block": key[2], "wait": wait,
         "first": first[keep], "last": last[keep]})
 
 
-def _walk_blocks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """The last alert that passed before each block of a key."""
-    known, out = None, []
+def _through(first: np.ndarray, last: np.ndarray, known: np.ndarray, wait: int) -> np.ndarray:
+    """The last passing time after a block, for each one before it."""
+    place = np.searchsorted(first, known + wait, side="left")
+    return np.where(place < len(first), last[np.minimum(place, len(first) - 1)], known)
+
+
+def _children(pdf: pd.DataFrame):
     for block, rows in pdf.sort_values(["block", "first"]).groupby("block", sort=True):
+        yield int(block), rows["first"].to_numpy(), rows["last"].to_numpy()
+
+
+def _composed(span: int):
+    """The tables of up to ``FAN`` neighbours as one; ``span`` is the time that the new block covers."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        wait = int(pdf["wait"].iloc[0])
+        first = last = np.empty(0, np.int64)
+        for _, f, to in _children(pdf):
+            later = np.searchsorted(f, first[-1] if len(first) else -(2**62), side="right")
+            last = np.append(_through(f, to, last, wait), to[later:])
+            first = np.append(first, f[later:])
+        return _table(key, first, last, wait, key[2] * span)
+    return run
+
+
+def _downward(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The last alert that passed before each of the children, from that before their parent."""
+    known, wait, out = pdf["known"].iloc[0], int(pdf["wait"].iloc[0]), []
+    known = None if pd.isna(known) else int(known)
+    for block, first, last in _children(pdf):
         out.append((key[0], key[1], block, known))
-        ready = -(2**62) if known is None else known + int(rows["wait"].iloc[0])
-        place = int(np.searchsorted(rows["first"].to_numpy(), ready, side="left"))
-        if place < len(rows):
-            known = int(rows["last"].iloc[place])
-    frame = pd.DataFrame(out, columns=["alert_type", "component", "block", "known"])
-    return frame.astype({"known": "Int64"})
+        known = int(_through(first, last, np.array([-(2**62) if known is None else known]), wait)[0])
+    return pd.DataFrame(out, columns=["alert_type", "component", "block", "known"]).astype({"known": "Int64"})
+
+
+def _known_before(chains: DataFrame, size: int) -> DataFrame:
+    """(key, block, known): the last passing time before each block, by an upward and a downward sweep."""
+    levels = [materialize(chains)]
+    parent = F.floor(F.col("block") / FAN)
+    low, high = levels[0].agg(F.min("block"), F.max("block")).first()
+    span = size
+    while low is not None and low != high:
+        span *= FAN
+        levels.append(materialize(levels[-1].withColumn("parent", parent).groupBy(*KEYS, "parent").applyInPandas(
+            _composed(span), CHAINS)))
+        low, high = low // FAN, high // FAN
+    known = levels[-1].select(*KEYS, "block").distinct().withColumn("known", F.lit(None).cast("long"))
+    for tables in levels[-2::-1]:
+        above = known.withColumnRenamed("block", "parent")
+        known = materialize(tables.withColumn("parent", parent).join(above, KEYS + ["parent"]).groupBy(
+            *KEYS, "parent").applyInPandas(_downward, "alert_type string, component string, block long, known long"))
+    return known
 
 
 def _replay(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -162,33 +214,48 @@ def after_cooldown(alerts: DataFrame, block_minutes: int | None = None, rows_per
     times = materialize(ruled.select(*KEYS, "t", "wait"))
     size = _block_size(times, rows_per_block) if block_minutes is None else block_minutes * MINUTE
     times = times.withColumn("block", F.floor(F.col("t") / size)).withColumn("block_start", F.col("block") * size)
-    chains = times.groupBy(*KEYS, "block").applyInPandas(
-        _chain_table, "alert_type string, component string, block long, wait long, first long, last long")
-    known = chains.groupBy(*KEYS).applyInPandas(
-        _walk_blocks, "alert_type string, component string, block long, known long")
+    known = _known_before(times.groupBy(*KEYS, "block").applyInPandas(_chain_table, CHAINS), size)
     passed = times.join(known, KEYS + ["block"]).groupBy(*KEYS, "block").applyInPandas(
         _replay, "alert_type string, component string, t long")
     return ruled.join(passed, KEYS + ["t"], "left_semi").drop("t", "wait", "cooldown_minutes", "escalation_minutes")
 
 
-def past_gate(cooled: DataFrame) -> DataFrame:
+def past_gate(cooled: DataFrame, block_minutes: int = 24 * 60) -> DataFrame:
     """Of the alerts past the cooldown, those that are new for their component.
 
     The active alert of a component gives way only to another type or a higher
     severity. So the active type is that of the alert before, and the active
-    severity the highest of the current run of one type. After the cooldown a
-    component has at most one alert per type and cooldown, so its window is short.
+    severity the highest of the current run of one type.
+
+    A segmented scan: windows run over one block of a component. A block is summed up by the
+    types at its ends and the highest severity of its last run; such sums are
+    carried on over the blocks, and the first run of a block goes on from what is carried in.
     """
-    w = Window.partitionBy("component").orderBy("ts", "event_id")
-    marked = cooled.withColumns({
-        "__rank": severity_rank(F.col("severity")),
-        "__new": F.coalesce(F.col("alert_type") != F.lag("alert_type").over(w), F.lit(True))})
-    runs = marked.withColumn("__run", F.sum(F.col("__new").cast("int")).over(w))
-    before = Window.partitionBy("component", "__run").orderBy("ts", "event_id").rowsBetween(
-        Window.unboundedPreceding, -1)
-    top = F.max("__rank").over(before)
-    return runs.withColumn("__top", top).where(F.col("__new") | (F.col("__rank") > F.col("__top"))).drop(
-        "__rank", "__new", "__run", "__top")
+    size = block_minutes * MINUTE
+    marked = materialize(cooled.withColumns({
+        "__rank": severity_rank(F.col("severity")), "__block": F.floor(F.unix_micros("ts") / size)}))
+    order = [F.col("ts"), F.col("event_id")]
+    inside = Window.partitionBy("component", "__block").orderBy(*order)
+    changes = F.coalesce(F.col("alert_type") != F.lag("alert_type").over(inside), F.lit(True))
+    runs = materialize(marked.withColumn("__new", changes).withColumn(
+        "__run", F.sum(F.col("__new").cast("int")).over(inside)))
+    ends = runs.groupBy("component", "__block").agg(
+        F.min_by("alert_type", F.struct(*order)).alias("head"), F.max_by("alert_type", F.struct(*order)).alias("tail"),
+        F.max("__run").alias("n"))
+    last = runs.groupBy("component", "__block", "__run").agg(F.max("__rank").alias("top")).groupBy(
+        "component", "__block").agg(F.max_by("top", "__run").alias("top"))
+    blocks = Window.partitionBy("component").orderBy("__block")  # a row per block
+    begins = F.coalesce((F.col("n") > 1) | (F.col("head") != F.lag("tail").over(blocks)), F.lit(True))
+    segments = ends.join(last, ["component", "__block"]).withColumn("segment", begins.cast("int")).withColumn(
+        "segment", F.sum("segment").over(blocks))
+    upto = Window.partitionBy("component", "segment").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+    carried = segments.withColumn("upto", F.max("top").over(upto)).select(
+        "component", "__block", F.lag("tail").over(blocks).alias("__type"), F.lag("upto").over(blocks).alias("__carried"))
+    before = Window.partitionBy("component", "__block", "__run").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = (F.col("__run") == 1) & F.coalesce(F.col("alert_type") == F.col("__type"), F.lit(False))
+    top = F.greatest(F.col("__top"), F.when(goes_on, F.col("__carried")))
+    return runs.withColumn("__top", F.max("__rank").over(before)).join(carried, ["component", "__block"]).where(
+        (F.col("__new") & ~goes_on) | (F.col("__rank") > top)).select(*cooled.columns)
 
 
 def filtered_alerts(metrics: DataFrame) -> DataFrame:

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from opinion_spark.operators import alerts as A
 from opinion_spark.operators.joins import with_rule
-from opinion_spark.sources.tables import absent_rows
+from opinion_spark.sources import tables as S
 
 DELAY = "10 minutes"
+END = "2250-01-01 00:00:00"  # of the final marker: its watermark closes all windows and waits
 
 
 def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files: int = 1000) -> DataFrame:
@@ -33,6 +35,12 @@ def windowed_metrics(stream: DataFrame, size: str = "1 hour", slide: str | None
     return A.recent_metrics(stream.withWatermark("ts", delay), size, slide)
 
 
+def _marked(rows: DataFrame, delay: str) -> DataFrame:
+    """With the watermark, to which a final marker counts, and without the marker itself (the filter reads the event
+    time, so it stays above the watermark)."""
+    return rows.withWatermark("ts", delay).where(F.col("ts") < F.lit(END).cast("timestamp"))
+
+
 def cooled_alerts(alerts: DataFrame, delay: str = DELAY) -> DataFrame:
     """Alerts that pass the cooldown of their key, decided in event-time order.
 
@@ -64,7 +72,7 @@ def cooled_alerts(alerts: DataFrame, delay: str = DELAY) -> DataFrame:
 
     ready = with_rule(alerts).withColumns({
         "t": F.unix_micros("ts"), "wait": F.col("cooldown_minutes").cast("long") * A.MINUTE})
-    return ready.withWatermark("ts", delay).groupBy("alert_type", "component").applyInPandasWithState(
+    return _marked(ready, delay).groupBy("alert_type", "component").applyInPandasWithState(
         fold, "alert_type string, component string, t long, event_id long",
         "last long, ts array<long>, ids array<long>, waits array<long>",
         "append", GroupStateTimeout.EventTimeTimeout)
@@ -99,11 +107,41 @@ def escalations(events: DataFrame, delay: str = DELAY) -> DataFrame:
 
     ready = with_rule(events).withColumns({
         "t": F.unix_micros("ts"), "wait": F.col("escalation_minutes").cast("long") * A.MINUTE})
-    return ready.withWatermark("ts", delay).groupBy("alert_id").applyInPandasWithState(
+    return _marked(ready, delay).groupBy("alert_id").applyInPandasWithState(
         track, "alert_id string, raised long", "raised long, resolved long, wait long", "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
+# ---- end of input ----------------------------------------------------------
+def until_marker(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` together with the final markers of a folder, for the operators that wait for the watermark.
+
+    The operators above emit a window or an alert only once the watermark has
+    passed it, so the last ones of an input that ends stay in the state. A
+    marker is a row with a time and nothing else; the rows that it makes itself are never emitted.
+    """
+    S.write_table(stream.sparkSession.createDataFrame([], stream.schema), folder)
+    marks = stream.sparkSession.readStream.schema(stream.schema).option("pathGlobFilter", "*.parquet").parquet(folder)
+    return stream.unionByName(marks)
+
+
+def write_marker(spark: SparkSession, schema: str | StructType, folder: str, at: str = END) -> None:
+    """The final marker: written once, when no more input will come; what comes later is late."""
+    blank = spark.createDataFrame([()], StructType([])).select(F.lit(at).cast("timestamp").alias("ts"))
+    fields = spark.createDataFrame([], schema).schema
+    blank.select(*[F.col(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).write.mode(
+        "append").parquet(folder)
+
+
+def write_all(build: Callable[[DataFrame], DataFrame], stream: DataFrame, path: str, checkpoint: str, markers: str) -> None:
+    """Run ``build(stream)`` over all data now present and then to its end: nothing stays in the state."""
+    spark = stream.sparkSession
+    out = build(until_marker(stream, markers))
+    write_available(out, path, checkpoint).awaitTermination()
+    write_marker(spark, stream.schema, markers)
+    write_available(out, path, checkpoint).awaitTermination()
+
+
 # ---- sinks -----------------------------------------------------------------
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Run a stream over all data now present, into Parquet, exactly once."""
@@ -121,23 +159,15 @@ def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], chec
 def score_live_reviews(
     reviews: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, key: str = "review_id"
 ) -> StreamingQuery:
-    """Score new reviews and append those not yet stored.
+    """Score new reviews and append those not scored before.
 
+    The keys seen so far are the stream's state: a set by hash of the key, versioned with the
+    checkpoint, so a batch reads its own files only and never the earlier output.
     Each batch writes its own folder, so a repeated batch replaces its rows.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates([key])
-        others = [f"{path}/epoch={e}" for e in range(epoch) if _has(spark, f"{path}/epoch={e}")]
-        if others:
-            new = absent_rows(spark.read.parquet(*others).select(key), new, [key])
-        score(new).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-    return each_batch(reviews, handle, checkpoint)
-
-
-def _has(spark: SparkSession, path: str) -> bool:
-    from opinion_spark.sources.tables import _exists
-    return _exists(spark, f"{path}/_SUCCESS")
+        score(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    return each_batch(reviews.dropDuplicates([key]), handle, checkpoint)
 
 
 def monitoring_cycle(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

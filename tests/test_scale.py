@@ -108,6 +108,71 @@ def test_cooldown_in_blocks(spark, block):
     assert got == plain_cooldown(rows, {"system_threshold": 15, "health_check": 10})
 
 
+def test_cooldown_of_one_key_over_many_blocks(spark, monkeypatch):
+    """10,000 blocks of a key: every task reads the tables of a few neighbours only, and the result is the plain one."""
+    rng = random.Random(4)
+    rows = [(m * 60 + rng.randrange(60), m, "system_threshold", "one") for m in range(0, 10_000)]
+    rows += [(m * 60 + rng.randrange(60), 20_000 + m, "system_threshold", "one") for m in range(10_000) if rng.random() < 0.3]
+    df = spark.createDataFrame(rows, "s long, event_id long, alert_type string, component string").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    seen = spark.sparkContext.accumulator(0)
+    fan, children = A.FAN, A._children
+
+    def counted(pdf):
+        assert pdf["block"].nunique() <= fan
+        seen.add(1)
+        return children(pdf)
+    monkeypatch.setattr(A, "_children", counted)
+    got = {r["event_id"] for r in A.after_cooldown(df, 1).collect()}
+    assert got == plain_cooldown(rows, {"system_threshold": 15})
+
+
+def test_chain_tables_compose_in_any_grouping():
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(6)
+    wait, size, key = 50, 20, ("t", "c")
+    for _ in range(30):
+        times = np.unique(rng.integers(0, 640, rng.integers(1, 200)))
+        blocks = {}
+        for b in np.unique(times // size):
+            mine = times[times // size == b]
+            blocks[int(b)] = A._chain_table((*key, int(b)), pd.DataFrame({"t": mine, "wait": wait, "block_start": int(b) * size}))
+        whole = A._composed(640)((*key, 0), pd.concat(blocks.values()))
+        halves = [pd.concat([t for b, t in blocks.items() if b // 16 == h]) for h in (0, 1) if any(b // 16 == h for b in blocks)]
+        nested = A._composed(640)((*key, 0), pd.concat(
+            A._composed(320)((*key, int(h["block"].iloc[0]) // 16), h) for h in halves))
+        for ready in rng.integers(-60, wait, 20):
+            last = None
+            for t in times:
+                if t >= ready if last is None else t - last >= wait:
+                    last = t
+            for table in (whole, nested):
+                place = np.searchsorted(table["first"], ready)
+                assert (int(table["last"].iloc[place]) if place < len(table) else None) == last
+
+
+@pytest.mark.parametrize("minutes", [1, 30, 24 * 60, 10**7])
+def test_gate_in_blocks(spark, minutes):
+    rng = random.Random(9)
+    rows = [(rng.randrange(0, 50_000) if i % 5 else 700, i, rng.choice("aab"), rng.choice(["low", "medium", "high", "critical"]),
+             "hot" if i % 3 else f"c{rng.randrange(3)}") for i in range(900)]
+    df = spark.createDataFrame(rows, "s long, event_id long, alert_type string, severity string, component string").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    rank = {r["severity"]: r["n"] for r in df.select("severity", A.severity_rank(F.col("severity")).alias("n")).distinct().collect()}
+    active, want = {}, set()
+    for _, i, kind, severity, comp in sorted(rows):
+        before = active.get(comp)
+        if before is None or before[0] != kind:
+            active[comp] = (kind, rank[severity])
+            want.add(i)
+        elif rank[severity] > before[1]:
+            active[comp] = (kind, rank[severity])
+            want.add(i)
+    out = A.past_gate(df, minutes)
+    assert out.columns == df.columns and {r["event_id"] for r in out.collect()} == want
+
+
 # ---- neighbours ------------------------------------------------------------
 def plain_neighbours(ratings, k, min_sim):
     by_user = defaultdict(dict)
