@@ -24,14 +24,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exactdup.keep_rows(docs, exactdup.exact_duplicates(docs))
 
 
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: the id, or a hash of id and text from 2^62 on where the id is null or names several rows."""
+    shared = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")).where(
+        F.col("__id").isNull() | (F.col("__rows") > 1)).select("__id", F.lit(True).alias("__shared"))
+    own = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
+    return docs.join(shared, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn(
+        "__row", F.when(F.col("__shared"), own).otherwise(F.col("doc_id"))).drop("__id", "__shared")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates; shingles of five words, similarity 0.8.
 
-    Rows without an id can't be told apart here: all of them stay if one does.
+    Rows are told by id, or by id and text where ids are null or repeat, so a row neither stays nor goes with its namesake.
     """
-    found = minhash.near_duplicates(docs, width=5, threshold=0.8)
-    kept = found.where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    rows = row_keys(docs)
+    found = minhash.near_duplicates(rows, width=5, threshold=0.8, id_col="__row")
+    kept = found.where("kept").select("__row").distinct()
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
