@@ -140,10 +140,14 @@ class Trie:
 
         Each sign stands for one letter or for none. At least two letters and half
         of the term must be shown, and the term must end where a part of the run ends.
+        A term has few letters and each part shows one at least, so a call reads a few parts of the
+        run; a stem once met waits for the next end of a part, and signs that add nothing
+        are passed over, so a run takes time in proportion to its length.
         """
-        found, signs = (0.0, start), False
+        found, signs, stem = (0.0, start), False, 0.0
         states = {(0, 0): 0}  # node, letters masked -> letters shown
-        for at in range(start, len(run)):
+        at = start
+        while at < len(run) and (states or stem > found[0]):
             letter, after = run[at], {}
             shows = letter.isalnum()
             signs = signs or not shows
@@ -153,18 +157,19 @@ class Trie:
                     to = [] if child is None else [(child, hidden, shown + 1)]
                 else:
                     to = [(node, hidden, shown)] + [(c, hidden + 1, shown) for c in self.edges[node].values()]
-                if self.stem[node] is not None:
-                    to.append((node, hidden, shown))
                 for n, h, k in to:
                     after[n, h] = max(k, after.get((n, h), 0))
+            if not shows and after == states:
+                while at + 1 < len(run) and not run[at + 1].isalnum():
+                    at += 1
             states = after
-            if not states:
-                break
+            stem = max([stem, *(self.stem[n] for (n, h), k in states.items() if self.stem[n] is not None and k >= max(2, h))])
             if signs and shows and (at + 1 == len(run) or not run[at + 1].isalnum()):
-                weight = max((store[n] for (n, h), k in states.items() for store in (self.word, self.stem)
-                              if store[n] is not None and k >= max(2, h)), default=0.0)
-                if weight > found[0]:
-                    found = (weight, at + 1)
+                weight = max((self.word[n] for (n, h), k in states.items() if self.word[n] is not None and k >= max(2, h)),
+                             default=0.0)
+                if max(weight, stem) > found[0]:
+                    found = (max(weight, stem), at + 1)
+            at += 1
         return found
 
 
@@ -334,6 +339,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 2.0
     return beta[:-1].tolist(), float(beta[-1])
 
 
+def _near(trie: Trie):
+    """Rows whose term is one edit from a listed word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([trie.find(term)[1] > 0 for term in batch.column("term").to_pylist()], pa.bool_()))
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000, max_terms: int = 4_000,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn lexicon and weights from the labelled rows for which ``train`` (over ``labels``) holds.
@@ -390,8 +403,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 20_000,
         F.col("odds") >= MIN_ODDS).orderBy(F.desc("bad"), "term").limit(25 * max_terms)
     model = Model({r["term"]: r["odds"] for r in forms.collect()} | told, kept)
     trie = Trie(model.words, model.stems)
-    near = F.udf(lambda term: trie.find(term)[1] > 0, "boolean")
-    usual = counted.where("good >= 2").where(near("term")).orderBy(F.desc("good"), "term").limit(25 * max_terms)
+    usual = counted.where("good >= 2").select("term", "good").mapInArrow(_near(trie), "term string, good long").orderBy(F.desc("good"), "term").limit(25 * max_terms)
     model.usual = sorted(r["term"] for r in usual.select("term", "good").collect())
     seen = texts.mapInArrow(_rows(model, True), "id long, y int, " + ", ".join(
         f"x{i} double" for i in range(N_FEATURES)))
