@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinion_spark.llm import catalog, exactdup, minhash, mixing, packing, toxicity
 from opinion_spark.llm.common import table
-from opinion_spark.session import checkpoint_dir
+from opinion_spark.session import checkpoint_dir, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def row_keys(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__row``: the id, or a hash of id and text from 2^62 on where the id is null or names several rows."""
-    shared = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")).where(
-        F.col("__id").isNull() | (F.col("__rows") > 1)).select("__id", F.lit(True).alias("__shared"))
+    # stored, so that its size is known: where few ids are shared, no text is shuffled to tell them
+    shared = materialize(docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")).where(
+        F.col("__id").isNull() | (F.col("__rows") > 1)).select("__id", F.lit(True).alias("__shared")))
     own = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
     return docs.join(shared, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn(
         "__row", F.when(F.col("__shared"), own).otherwise(F.col("doc_id"))).drop("__id", "__shared")
@@ -40,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows = row_keys(docs)
     found = minhash.near_duplicates(rows, width=5, threshold=0.8, id_col="__row")
-    kept = found.where("kept").select("__row").distinct()
+    kept = materialize(found.where("kept").select("__row").distinct())
     return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
