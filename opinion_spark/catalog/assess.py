@@ -230,7 +230,7 @@ SELECT review_id, CASE length(review_text) % 3 WHEN 0 THEN 'NEGATIVE' WHEN 2 THE
   round(CASE length(review_text) % 3 WHEN 0 THEN 1.4 WHEN 2 THEN 4.6 ELSE 3.0 END::double, 6) AS sentiment_score
 FROM reviews_text"""))
 def q_model(spark, sf):
-    return rounded(N.score_with_model(TEXT(spark, sf), _length_scorer), "sentiment_score")
+    return rounded(N.score_with_model(TEXT(spark, sf), _length_scorer).drop("failed"), "sentiment_score")
 
 
 @query("fused_review_analysis", A.sql("reviews_text", """

@@ -21,8 +21,9 @@ def drop_near(df: DataFrame, id_col: str = "review_id") -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier row in every column."""
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    """How many rows repeat an earlier row in every column; texts are compared and shuffled as their SHA-256."""
+    keys = [F.sha2(F.col(c), 256).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes]
+    distinct = df.select(*keys).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
     return distinct.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

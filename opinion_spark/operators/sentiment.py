@@ -58,26 +58,48 @@ def analyze(df: DataFrame, keep: tuple[str, ...] = ("review_id",)) -> DataFrame:
         "sentiment_score", B.sentiment_to_rating(F.col("overall_sentiment"), F.col("confidence")))
 
 
+def scored_batch(scorer: Scorer, texts: pd.Series) -> pd.DataFrame:
+    """(label, score, failed) of a batch; a batch that fails is halved until the bad texts stand alone.
+
+    With few bad texts among n this takes about 2 log2(n) calls for each of them.
+    """
+    out = pd.DataFrame({"label": "UNKNOWN", "score": 0.5, "failed": True}, index=range(len(texts)))
+    todo = [(0, len(texts))]
+    while todo:
+        lo, hi = todo.pop()
+        if lo == hi:
+            continue
+        try:
+            got = scorer(texts.iloc[lo:hi])
+            if len(got) != hi - lo:
+                raise ValueError(f"the scorer gave {len(got)} rows for {hi - lo} texts")
+            label, score = got["label"].to_numpy(), got["score"].to_numpy(float)
+        except Exception:  # noqa: BLE001 - any text can break a model; it is marked, not lost
+            if hi - lo > 1:
+                todo += [(lo, (lo + hi) // 2), ((lo + hi) // 2, hi)]
+            continue
+        out.iloc[lo:hi, 0], out.iloc[lo:hi, 1], out.iloc[lo:hi, 2] = label, score, False
+    return out
+
+
 def score_with_model(df: DataFrame, load: Callable[[], Scorer], keep: str = "review_id long") -> DataFrame:
     """Score with any model. ``load`` runs once per task and returns a function
-    from texts to a frame (label, score); a batch that fails gets (NEUTRAL, 0.5)."""
+    from texts to a frame (label, score); an error in it ends the job. A text that the model can't
+    score gets (NEUTRAL, 0.5) and ``failed``; the others of its batch have their own scores."""
     name = keep.split()[0]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = load()
         for batch in batches:
-            try:
-                got = scorer(batch["review_text"])
-                label, score = got["label"].to_numpy(), got["score"].to_numpy()
-            except Exception:  # noqa: BLE001 - a failed batch is scored as unknown
-                label, score = "UNKNOWN", 0.5
-            yield pd.DataFrame({name: batch[name], "label": label, "confidence": score})
-
-    raw = df.select(name, "review_text").mapInPandas(run, f"{keep}, label string, confidence double")
+            got = scored_batch(scorer, batch["review_text"])
+            yield pd.DataFrame({name: batch[name].to_numpy(), "label": got["label"].astype(object).to_numpy(),
+                                "confidence": got["score"].to_numpy(float), "failed": got["failed"].to_numpy(bool)})
+
+    raw = df.select(name, "review_text").mapInPandas(run, f"{keep}, label string, confidence double, failed boolean")
     label = B.normalize_model_label(F.col("label"))
     return raw.select(
         name, label.alias("overall_sentiment"), "confidence",
-        B.sentiment_to_rating(label, F.col("confidence")).alias("sentiment_score"))
+        B.sentiment_to_rating(label, F.col("confidence")).alias("sentiment_score"), "failed")
 
 
 def aspects_json(df: DataFrame) -> DataFrame:

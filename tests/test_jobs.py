@@ -134,7 +134,28 @@ def test_model_failure_gives_neutral(spark):
             raise RuntimeError("no model")
         return scorer
     df = spark.createDataFrame([(1, "x")], "review_id long, review_text string")
-    assert tuple(N.score_with_model(df, load).first()) == (1, "NEUTRAL", 0.5, 3.0)
+    assert tuple(N.score_with_model(df, load).first()) == (1, "NEUTRAL", 0.5, 3.0, True)
+
+
+def test_one_bad_text_does_not_blank_its_batch(spark):
+    def load():
+        import pandas as pd
+
+        def scorer(texts):
+            if (texts == "poison").any():
+                raise RuntimeError("bad text")
+            return pd.DataFrame({"label": "POSITIVE", "score": texts.str.len() / 100})
+        return scorer
+    rows = [(i, "poison" if i == 617 else "x" * (1 + i % 50)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string").coalesce(1)
+    got = {r["review_id"]: r for r in N.score_with_model(df, load).collect()}
+    assert [i for i, r in got.items() if r["failed"]] == [617] and got[617]["overall_sentiment"] == "NEUTRAL"
+    assert all(r["confidence"] == (1 + i % 50) / 100 and r["overall_sentiment"] == "POSITIVE" for i, r in got.items() if i != 617)
+
+    def broken():
+        raise OSError("no such model")
+    with pytest.raises(Exception, match="no such model"):
+        N.score_with_model(df, broken).collect()
 
 
 def test_etl(spark, small, tmp_path):

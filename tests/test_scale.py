@@ -74,6 +74,15 @@ def test_dedup_plan_limits_before_the_shuffle(spark, small):
     assert re.search(r"WindowGroupLimit.*Final.*Exchange.*WindowGroupLimit.*Partial", plan, re.S)
 
 
+def test_duplicate_rows_are_told_by_digest(spark):
+    rows = [(1, "a", 1.0), (1, "a", 1.0), (1, None, 1.0), (1, None, 1.0), (1, "", 1.0), (None, "a", 1.0), (2, "a", None)] + [(3, "b" * 9999, 2.0)] * 50
+    df = spark.createDataFrame(rows, "a long, t string, x double")
+    out = D.duplicate_rows(df)
+    assert out.first()[0] == 51
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan.split("HashAggregate")[-1]
+
+
 def test_no_cartesian_products(spark, small):
     from __spark_entry__ import queries
     for name in ("recommend_stored_or_popular", "ks_test_sweep", "global_rating_deviation", "alert_notifications",
