@@ -89,6 +89,24 @@ def q_status(spark, sf):
         "event_id", X.health_status(F.col("metric_value"), 85.0).alias("health"))
 
 
+@query("component_health", A.sql("metric_stream", """
+SELECT event_id, kind, CASE WHEN metric_name = 'health' AND status = 'critical' THEN 'critical'
+    WHEN kind IN ('cpu_usage', 'memory_usage') THEN CASE WHEN value > 95 THEN 'critical' WHEN value < 85 THEN 'healthy' ELSE 'warning' END
+    WHEN kind = 'disk_usage' THEN CASE WHEN value > 98 THEN 'critical' WHEN value < 90 THEN 'healthy' ELSE 'warning' END
+    WHEN kind = 'response_time' THEN CASE WHEN value < 1.0 THEN 'healthy' ELSE 'warning' END
+    ELSE CASE WHEN value > 0.5 THEN 'healthy' ELSE 'warning' END END AS status
+FROM (SELECT *, CASE metric_name WHEN 'health' THEN 'response_time' WHEN 'accuracy' THEN 'confidence' ELSE metric_name END AS kind,
+    CASE metric_name WHEN 'health' THEN metric_value / 50 ELSE metric_value END AS value FROM metric_stream)"""))
+def q_component_health(spark, sf):
+    """Every row as a health check: health rows as the database's response time, accuracy as a model's confidence."""
+    name, value = F.col("metric_name"), F.col("metric_value")
+    checks = metrics(spark, sf).select(
+        "event_id", "component", F.when(name == "health", "response_time").when(name == "accuracy", "confidence").otherwise(name).alias("kind"),
+        F.when(name == "health", value / 50).otherwise(value).alias("value"),
+        ((name == "health") & (F.col("status") == "critical")).alias("failed"))
+    return X.checked_health(checks).select("event_id", "kind", "status")
+
+
 @query("alert_cooldown", asql("SELECT event_id, alert_type, component FROM cooled", COOLED))
 def q_cooldown(spark, sf):
     return X.after_cooldown(X.raised_alerts(metrics(spark, sf))).select("event_id", "alert_type", "component")

@@ -96,6 +96,9 @@ SECRET_PATTERNS = [
 # ---- fixed values: monitoring thresholds, alert rules, channels ---------
 SYSTEM_THRESHOLDS = {"cpu_usage": 85.0, "memory_usage": 85.0, "disk_usage": 90.0}
 ACCURACY_THRESHOLD = 0.7
+CRITICAL_ABOVE = {"cpu_usage": 95.0, "memory_usage": 95.0, "disk_usage": 98.0}
+RESPONSE_SECONDS = 1.0    # a database that answers within is healthy
+LEAST_CONFIDENCE = 0.5    # a model that is surer of a test text is healthy
 SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3, "critical": 4}
 # alert type -> (cooldown minutes, escalation minutes)
 ALERT_RULES = {

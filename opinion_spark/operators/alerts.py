@@ -84,6 +84,31 @@ def health_status(value: Column, threshold: Column | float, critical: float = 95
     return F.when(value > critical, "critical").when(value < threshold, "healthy").otherwise("warning")
 
 
+def component_health(kind: Column, value: Column, failed: Column | None = None) -> Column:
+    """The status of a health check by the rule of its kind; null for kinds without one.
+
+    cpu, memory and disk: percent in use, each with its own threshold and critical level.
+    ``response_time``: seconds that the database took. ``confidence``: of a model in a test text.
+    ``users``: how many the recommender knows. A check that failed is critical whatever its kind.
+    """
+    status = F.lit(None).cast("string")
+    for name, threshold in L.SYSTEM_THRESHOLDS.items():
+        status = F.when(kind == name, health_status(value, threshold, L.CRITICAL_ABOVE[name])).otherwise(status)
+    for name, good in (("response_time", value < L.RESPONSE_SECONDS), ("confidence", value > L.LEAST_CONFIDENCE),
+                       ("users", value > 0)):
+        status = F.when(kind == name, F.when(good, "healthy").otherwise("warning")).otherwise(status)
+    return status if failed is None else F.when(failed, "critical").otherwise(status)
+
+
+def checked_health(checks: DataFrame) -> DataFrame:
+    """``checks`` (component, kind, value, failed, ...) with ``status`` and the error message of what isn't healthy."""
+    named = F.element_at(F.create_map(*[F.lit(x) for k in L.SYSTEM_THRESHOLDS for x in (k, k.split("_")[0])]), F.col("kind"))
+    status = component_health(F.col("kind"), F.col("value"), F.coalesce("failed", F.lit(False)))
+    return checks.withColumn("status", status).withColumn("error_message", F.when(
+        named.isNotNull() & (F.col("status") != "healthy"),
+        F.concat(F.lit("High "), named, F.lit(" usage: "), one_decimal(F.col("value")), F.lit("%"))))
+
+
 # ---- cooldown --------------------------------------------------------------
 # An alert passes if at least the cooldown has gone by since the last alert of
 # its key that passed; a suppressed alert does not restart the clock. That is a

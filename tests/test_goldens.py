@@ -131,3 +131,16 @@ def test_sentiment_to_rating_is_clamped(spark):
     df = spark.createDataFrame([("POSITIVE", 1.0), ("NEGATIVE", 1.0), ("NEUTRAL", 0.9)], "l string, c double")
     got = [r["x"] for r in df.select(B.sentiment_to_rating(F.col("l"), F.col("c")).alias("x")).collect()]
     assert got == [5.0, 1.0, 3.0]
+
+
+def test_component_health(spark):
+    from opinion_spark.operators.alerts import checked_health
+    rows = [("cpu_usage", 84.9, None, "healthy"), ("cpu_usage", 96.0, None, "critical"), ("memory_usage", 85.0, False, "warning"),
+            ("disk_usage", 98.0, False, "warning"), ("disk_usage", 98.1, False, "critical"), ("response_time", 0.99, False, "healthy"),
+            ("response_time", 1.0, False, "warning"), ("response_time", 0.1, True, "critical"), ("confidence", 0.5, False, "warning"),
+            ("confidence", 0.51, False, "healthy"), ("users", 0.0, False, "warning"), ("users", 3.0, None, "healthy"), ("other", 1.0, None, None)]
+    df = spark.createDataFrame(rows, "kind string, value double, failed boolean, want string")
+    got = checked_health(df).collect()
+    assert [r["status"] for r in got] == [r["want"] for r in got]
+    assert {r["error_message"] for r in got} == {None, "High cpu usage: 96.0%", "High memory usage: 85.0%", "High disk usage: 98.0%",
+                                                 "High disk usage: 98.1%"}
