@@ -226,7 +226,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    known = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0  # half of the rows came before the others
+    return exactdup.merged_duplicates(docs, known)
 
 
 OP10_SQL = """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinion_spark.llm.common import SPACE
@@ -12,18 +12,19 @@ from opinion_spark.session import materialize
 
 BLOCK_KEYS = 512   # digests per block of the hash, on average
 BUCKET_KEYS = 4    # digests that share one displacement, on average
-MAX_SEEDS = 64
+MAX_SEEDS = 2000  # few are tried in full blocks; small ones try more, and quickly
+PRIME, STRIDE = 2**31 - 1, 1_640_531_527  # products of a residue and 28 bits stay below 2^59
 
 BLOCKS = ("block long, m int, buckets int, seed int, d0 array<int>, d1 array<int>, "
           "slot_digest array<binary>, slot_winner array<long>, slot_chars array<long>, slot_rows array<long>")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, chars, sha): length in code points, SHA-256 of the text without ASCII white space."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+    """(id, chars, sha): length in code points, SHA-256 of the text without ASCII white space; then the columns ``more``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("id"), F.char_length(text).cast("long").alias("chars"),
-        F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"))
+        F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"), *more)
 
 
 def winners(rows: DataFrame) -> DataFrame:
@@ -38,8 +39,15 @@ def _word(sha, i: int):
     return F.conv(F.substring(sha, 7 * i + 1, 7), 16, 10).cast("long")
 
 
-def _place(m: int, words: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    return (words[:, 2] + seed * words[:, 3]) % m, (words[:, 4] + seed * words[:, 5]) % m
+def _spread(base, turn, seed):
+    """A value below ``PRIME`` that every seed changes whatever the number of slots, in Python, numpy and columns alike."""
+    return (base + (seed * STRIDE + 1) % PRIME * turn) % PRIME
+
+
+def _place(m: int, buckets: int, words: list, seed) -> tuple:
+    """(bucket, f1, f2) of the six words of a digest."""
+    return (_spread(words[1], words[5], seed) % buckets, _spread(words[2], words[3], seed) % m,
+            _spread(words[4], words[5], seed) % m)
 
 
 def displacements(words: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -50,11 +58,11 @@ def displacements(words: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.nd
     """
     m = len(words)
     buckets = max(1, -(-m // BUCKET_KEYS))
-    members = pd.Series(np.arange(m)).groupby(words[:, 1] % buckets).agg(list)
-    order = members.map(len).sort_values(ascending=False, kind="stable").index
     shift = np.arange(m)
     for seed in range(MAX_SEEDS):
-        f1, f2 = _place(m, words, seed)
+        at, f1, f2 = _place(m, buckets, list(words.T), seed)
+        members = pd.Series(np.arange(m)).groupby(at).agg(list)
+        order = members.map(len).sort_values(ascending=False, kind="stable").index
         free, slots = np.ones(m, bool), np.zeros(m, np.int64)
         d0, d1 = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for bucket in order:
@@ -112,9 +120,8 @@ def look_up(rows: DataFrame, blocks: DataFrame, number: int) -> DataFrame:
     sha = F.col("sha")
     at = rows.withColumn("block", F.pmod(_word(sha, 0) * 268_435_456 + _word(sha, 6), F.lit(number)))
     w = [_word(sha, i) for i in range(6)]
-    bucket = (w[1] % F.col("buckets")).cast("int")
-    f1 = (w[2] + F.col("seed") * w[3]) % F.col("m")
-    f2 = (w[4] + F.col("seed") * w[5]) % F.col("m")
+    bucket, f1, f2 = _place(F.col("m"), F.col("buckets"), w, F.col("seed").cast("long"))
+    bucket = bucket.cast("int")
     slot = ((f1 + F.get("d0", bucket) * f2 + F.get("d1", bucket)) % F.col("m")).cast("int")
     member = F.coalesce(F.get("slot_digest", slot) == F.unhex(sha), F.lit(False))
     return at.join(blocks, "block", "left").select(
@@ -163,6 +170,38 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("sha").alias("text_sha256"))
 
 
+def merged_duplicates(docs: DataFrame, history: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``, as ``exact_duplicates``, where the rows of the condition ``history`` came first.
+
+    The perfect hash holds the digests of the history alone. All rows are looked
+    up: those of the history find their own slot, later rows either a slot whose
+    digest is theirs, byte for byte, or none. Texts without a slot are grouped
+    among themselves. A later row that is longer than its slot's winner, or as
+    long with a smaller id, takes its place, so the decisions are those of all
+    rows at once, whichever rows are the history.
+
+    Rows for which ``history`` is null count as later ones. Null and empty texts,
+    repeated and null ids are treated as in ``exact_duplicates``; without history,
+    or with nothing but history, the result is the same. An empty table gives no rows.
+    """
+    old = F.coalesce(history, F.lit(False))
+    rows = materialize(digests(docs.withColumn("__old", old), id_col, text_col, "__old"))
+    blocks, number = perfect_hash(materialize(winners(rows.where("__old"))))
+    found = materialize(look_up(rows, blocks, number))
+    later = materialize(winners(found.where(~F.col("__old"))).select(
+        "sha", F.col("winner").alias("__id"), F.col("chars").alias("__chars"), F.col("rows").alias("__rows")))
+    at = found.join(later, "sha", "left")  # one row per digest of later rows
+    longer = F.col("__chars") > F.col("winner_chars")
+    smaller = (F.col("__chars") == F.col("winner_chars")) & (
+        F.col("winner").isNull() | (F.col("__id") < F.col("winner")))
+    new = ~F.col("member") | F.coalesce(longer | smaller, F.lit(False))
+    keep = F.when(new, F.col("__id")).otherwise(F.col("winner"))
+    size = F.coalesce("known_rows", F.lit(0)) + F.coalesce("__rows", F.lit(0))
+    return at.select(
+        F.col("id").alias(id_col), keep.alias("keep_id"), size.cast("long").alias("group_size"),
+        F.col("id").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id and text are kept; of rows that repeat both, the longest text.
 

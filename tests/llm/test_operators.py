@@ -131,11 +131,32 @@ def test_exact_dedup_with_history(docs, spark):
     assert (out[3]["keep_id"], out[3]["kept"]) == (0, False) and (out[4]["keep_id"], out[4]["kept"]) == (4, True)
 
 
+@pytest.mark.parametrize("history", ["doc_id % 2 = 0", "doc_id % 3 = 1", "doc_id >= 3", "true", "false", "text IS NULL", "doc_id IS NULL"])
+def test_exact_dedup_merges_later_rows_into_the_history(docs, empty, history):
+    want = Counter(map(tuple, exactdup.exact_duplicates(docs).collect()))  # held against brute force above
+    merged = exactdup.merged_duplicates(docs, F.expr(history))
+    assert merged.columns == exactdup.exact_duplicates(docs).columns
+    assert Counter(map(tuple, merged.collect())) == want
+    assert exactdup.merged_duplicates(empty, F.expr(history)).count() == 0
+
+
+def test_a_longer_later_row_takes_the_slot(spark):
+    rows = [(2, "a b"), (4, "ab"), (1, "ab"), (3, " a b"), (5, "a  b"), (6, "cd"), (8, None), (7, "")]
+    data = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exactdup.merged_duplicates(
+        data, F.col("doc_id") % 2 == 0).collect()}
+    assert out == {1: (3, 5, False), 2: (3, 5, False), 3: (3, 5, True), 4: (3, 5, False), 5: (3, 5, False),
+                   6: (6, 1, True), 7: (7, 2, True), 8: (7, 2, False)}
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(5)
     for m in (1, 2, 7, 600):
         _, _, _, slots = exactdup.displacements(rng.integers(0, 2**28, (m, 6)))
         assert sorted(slots) == list(range(m))
+    for m in [2, 3, 4, 5, 6, 8, 12, 16] * 60:  # few keys, whose places must part at some seed
+        _, _, _, slots = exactdup.displacements(rng.integers(0, 2**28, (m, 6)))
+        assert sorted(slots) == list(range(m))
 
 
 @pytest.mark.parametrize("width", [4, 5])
