@@ -1,10 +1,10 @@
 """Ranks, running totals and exact samples that never sort one hot group in one task.
 
 A plain ``row_number() over (partition by k order by v)`` puts all rows of a key
-into one task. Here the rows of a key are first split into ordered buckets, the
-buckets are counted with map-side combining, and only the small bucket totals
-are accumulated per key. A row's place is the total of the buckets before its
-own plus its place inside the bucket.
+into one task. Here the rows are stored in ranges of key and value, the ranges
+are counted with map-side combining, and only one row per range is accumulated.
+A row's place is what its key gathered in the ranges before plus its place
+inside its range.
 """
 
 from __future__ import annotations
@@ -41,16 +41,46 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
 
 
-def _place_among(cuts: Column, value: Column, steps: int) -> Column:
-    """How many of the sorted cuts are below the value, by halving."""
-    def halve(acc: Column, _: Column) -> Column:
-        middle = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        open_, below = acc["lo"] < acc["hi"], F.get(cuts, middle) < value
-        return F.struct(
-            F.when(open_ & below, middle + 1).otherwise(acc["lo"]).alias("lo"),
-            F.when(open_ & ~below, middle).otherwise(acc["hi"]).alias("hi"))
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"])
+_PART, _AT = "__bucket", "__at"
+_IN_PART = (1 << 33) - 1  # monotonically_increasing_id keeps the row's place in its partition below this bit
+
+
+def ranged(df: DataFrame, by: list[str], buckets: int | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without ``drop``, stored in ascending order of ``by``, nulls first, with its bucket and its place inside it.
+
+    Spark cuts the rows into ranges of about equal size; a key that holds many rows gets
+    several ranges, and rows that agree in all of ``by`` share one.
+    """
+    cut = df.repartitionByRange(*([buckets] if buckets else []), *by).sortWithinPartitions(*by)
+    stored = materialize(cut.drop(*drop).withColumn(_AT, F.monotonically_increasing_id()))
+    return stored.withColumn(_PART, F.shiftright(_AT, 33)).withColumn(_AT, F.col(_AT).bitwiseAND(F.lit(_IN_PART)))
+
+
+def _carried(totals: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """(bucket, __key, __<m>): what the key that opens a bucket has gathered in the buckets before it.
+
+    ``totals`` has one row per bucket and key, and the place of the key's first
+    row. Only the first and the last key of a bucket can go on beyond it, so the
+    windows run over one row per bucket.
+    """
+    key = F.struct(*keys)
+    ends = totals.groupBy(_PART).agg(
+        F.min_by(key, _AT).alias("first"),
+        F.max_by(F.struct(key.alias("key"), *measures), _AT).alias("last"))
+    same = Window.partitionBy("last.key").orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gathered = ends.select(_PART, "first", F.struct(
+        F.col("last.key").alias("key"), *[F.sum(f"last.{m}").over(same).alias(m) for m in measures]).alias("upto"))
+    before = gathered.withColumn("upto", F.lag("upto").over(Window.orderBy(_PART)))
+    return materialize(before.where(F.col("first").eqNullSafe(F.col("upto.key"))).select(
+        _PART, F.col("first").alias("__key"), *[F.col(f"upto.{m}").alias(f"__{m}") for m in measures]))
+
+
+def _add_carried(rows: DataFrame, carried: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
+    """Add what was carried into a bucket to the columns of the rows of the key that opens it."""
+    opens = F.struct(*keys).eqNullSafe(F.col("__key"))
+    return rows.join(carried, _PART, "left").withColumns({
+        column: F.col(column) + F.when(opens, F.col(f"__{m}")).otherwise(F.lit(0)) for column, m in measures.items()
+    }).drop("__key", _PART, _AT, _ONE, *[f"__{m}" for m in measures.values()])
 
 
 def running_totals(
@@ -58,58 +88,33 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<m>_upto``, the total of each measure up to and including the row.
 
-    ``df`` must hold one row per (keys, order_col), as after a groupBy, and is
-    read several times, so give it a stored table. The buckets are cut at
-    approximate quantiles, about a million rows each if one key holds all rows;
-    any cut gives the same, exact totals.
+    ``df`` must hold one row per (keys, order_col), as after a groupBy. The rows
+    lie in ranges of (keys, order_col); any cut gives the same, exact totals.
     """
-    added = [] if keys else [_ONE]
     df, keys = _with_keys(df, keys)
-    if buckets is None:
-        buckets = min(4096, max(8, df.count() // 1_000_000))
-    cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 4 * buckets).alias("__cuts"))
-    split = df.join(cuts, keys).withColumn(
-        "__bucket", _place_among(F.col("__cuts"), F.col(order_col), buckets.bit_length() + 1)).drop("__cuts")
-    totals = split.groupBy(*keys, "__bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, "__bucket", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"__{m}") for m in measures])
-    inside = (
-        Window.partitionBy(*keys, "__bucket").orderBy(order_col)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (
-        split.withColumns({f"{m}_upto": F.sum(m).over(inside) for m in measures})
-        .join(offsets, keys + ["__bucket"])
-        .withColumns({f"{m}_upto": F.col(f"{m}_upto") + F.col(f"__{m}") for m in measures})
-        .drop("__bucket", *added, *[f"__{m}" for m in measures])
-    )
+    rows = ranged(df, [*keys, order_col], buckets)
+    totals = rows.groupBy(_PART, *keys).agg(F.min(_AT).alias(_AT), *[F.sum(m).alias(m) for m in measures])
+    inside = Window.partitionBy(_PART, *keys).orderBy(_AT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = rows.withColumns({f"{m}_upto": F.sum(m).over(inside) for m in measures})
+    return _add_carried(added, _carried(totals, keys, measures), keys, {f"{m}_upto": m for m in measures})
 
 
-def row_index(df: DataFrame, keys: list[str], order_col: str, id_col: str, name: str = "row_index") -> DataFrame:
-    """Add the 0-based place of each row by (order_col, md5(id), id) within its key.
+def row_index(df: DataFrame, keys: list[str], order_col: str, id_col: str, name: str = "row_index",
+              buckets: int | None = None) -> DataFrame:
+    """Add the 0-based place of each row by (order_col, md5(id), id) within its key; null values come first.
 
-    Ties of ``order_col`` follow the md5 of the id, whose first two digits split
-    a hot value into 256 even parts.
+    Ties of ``order_col`` follow the md5 of the id, so a hot value is cut into as
+    many ranges as its rows ask for.
     """
     df, keys = _with_keys(df, keys)
-    marked = df.withColumn("__hash", hash_order(id_col)).withColumn("__part", F.substring("__hash", 1, 2))
-    parts = materialize(marked.groupBy(*keys, order_col, "__part").agg(F.count(F.lit(1)).alias("n")))
-    values = materialize(parts.groupBy(*keys, order_col).agg(F.sum("n").alias("n")))
-    starts = running_totals(values, keys, order_col, ["n"]).select(
-        *keys, order_col, (F.col("n_upto") - F.col("n")).alias("__value_start"))
-    earlier = (
-        Window.partitionBy(*keys, order_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = parts.withColumn("__start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
-        starts, keys + [order_col]).select(
-        *keys, order_col, "__part", (F.col("__start") + F.col("__value_start")).alias("__start"))
-    inside = Window.partitionBy(*keys, order_col, "__part").orderBy("__hash", id_col)
-    return (
-        marked.withColumn("__place", F.row_number().over(inside) - 1)
-        .join(offsets, keys + [order_col, "__part"])
-        .withColumn(name, F.col("__start") + F.col("__place"))
-        .drop("__hash", "__part", "__place", "__start", _ONE)
-    )
+    rows = ranged(df.withColumn("__hash", hash_order(id_col)), [*keys, order_col, "__hash", id_col], buckets, ("__hash",))
+    totals = rows.groupBy(_PART, *keys).agg(F.min(_AT).alias(_AT), F.count(F.lit(1)).alias("n"))
+    if keys == [_ONE]:  # the place inside the range is known from the stored order
+        placed = rows.withColumn(name, F.col(_AT))
+    else:
+        placed = rows.withColumn(name, F.row_number().over(Window.partitionBy(_PART, *keys).orderBy(_AT)) - 1)
+    return _add_carried(placed.withColumn(name, F.col(name).cast("long")),
+                        _carried(totals, keys, ["n"]), keys, {name: "n"})
 
 
 def _hash_parts(df: DataFrame, id_col: str, seed: str) -> DataFrame:

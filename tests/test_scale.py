@@ -37,9 +37,38 @@ def test_running_totals(hot, buckets):
     assert got == want
 
 
+def test_running_totals_with_null_keys_and_values(spark):
+    rows = [(None if i % 3 else "a", None if i % 7 == 0 else i, 1) for i in range(400)]
+    counts = spark.createDataFrame(rows, "k string, v long, n long").groupBy("k", "v").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("k").orderBy("v")
+    want = Counter(map(tuple, counts.withColumn("n_upto", F.sum("n").over(w)).collect()))
+    assert Counter(map(tuple, K.running_totals(counts, ["k"], "v", ["n"], 9).collect())) == want
+    none = counts.where("false")
+    assert K.running_totals(none, ["k"], "v", ["n"]).count() == 0 == K.row_index(none, [], "v", "k").count()
+
+
+def test_ranks_do_not_shuffle_rows_by_their_key(spark, hot):
+    """Rows meet by range alone; with broadcasts off no exchange of them is on the key, and no loop join is left."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = hot.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).cache()
+        for out in (K.running_totals(counts, ["k"], "v", ["n"], 16), K.running_totals(counts, [], "v", ["n"]),
+                    K.row_index(hot, ["k"], "v", "id"), K.row_index(hot, [], "v", "id")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+            for on in re.findall(r"hashpartitioning\(([^)]*)\)", plan):
+                assert on.startswith("__bucket"), on
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    sizes = K.ranged(hot, ["k", "v", "id"], 30).groupBy("__bucket").count().agg(F.max("count")).first()[0]
+    assert sizes < 4 * 6000 / 30
+
+
+@pytest.mark.parametrize("buckets", [None, 40])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_row_index(hot, keys):
-    got = {r["id"]: r["row_index"] for r in K.row_index(hot, keys, "v", "id").collect()}
+def test_row_index(hot, keys, buckets):
+    got = {r["id"]: r["row_index"] for r in K.row_index(hot, keys, "v", "id", buckets=buckets).collect()}
     order = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
     w = order.orderBy("v", F.md5(F.col("id").cast("string")))
     want = {r["id"]: r["x"] - 1 for r in hot.withColumn("x", F.row_number().over(w)).collect()}
