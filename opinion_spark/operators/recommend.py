@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from opinion_spark.functions import lexicons as L
 from opinion_spark.operators.aggregates import popular_products
+from opinion_spark.operators.innerproduct import best_unseen
 from opinion_spark.operators.ranking import row_index, top_per_key
 from opinion_spark.operators.similarity import (
     DIGITS, AngularIndex, angular_neighbours, angular_pairs, dense_neighbours, liked_sums, sparse_neighbours,
@@ -106,26 +107,13 @@ def content_based(
 
 
 def _numbered(ratings: DataFrame, key: str) -> DataFrame:
-    """(key, number): a 32-bit number for each id, as ALS needs one.
-
-    Small whole ids stay as they are; others are numbered in hash order, without
-    bringing the ids to the driver.
-    """
-    ids = ratings.select(key).distinct()
-    if dict(ratings.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
-        low, high = ids.agg(F.min(key), F.max(key)).first()
-        if low is None or (low >= -(2**31) and high < 2**31):
-            return ids.select(key, F.col(key).cast("int").alias("number"))
-    return row_index(materialize(ids.withColumn("__x", F.xxhash64(key))), [], "__x", key, "number").select(
-        key, F.col("number").cast("int"))
+    """(key, number): a 32-bit number for each id, as ALS needs one, in hash order whatever the type of the ids."""
+    ids = materialize(ratings.select(key).distinct().withColumn("__x", F.xxhash64(key)))
+    return row_index(ids, [], "__x", key, "number").select(key, F.col("number").cast("int"))
 
 
 def matrix_factorization(ratings: DataFrame, n: int = 10, rank: int = 50, iterations: int = 10, seed: int = 42) -> DataFrame:
-    """Non-negative ALS on the observed ratings; seen items are left out.
-
-    Each user is asked for at least n items more than it has seen, so that n
-    unseen items remain; users are grouped by that number in powers of two.
-    """
+    """Non-negative ALS on the observed ratings; the n best unseen items of each user, by exact inner products."""
     checkpoint_dir(ratings.sparkSession)
     users = materialize(_numbered(ratings, "user_id").withColumnRenamed("number", "u"))
     items = materialize(_numbered(ratings, "product_id").withColumnRenamed("number", "i"))
@@ -134,20 +122,12 @@ def matrix_factorization(ratings: DataFrame, n: int = 10, rank: int = 50, iterat
     model = ALS(
         rank=rank, maxIter=iterations, nonnegative=True, userCol="u", itemCol="i", ratingCol="rating",
         seed=seed, coldStartStrategy="drop", checkpointInterval=5).fit(coded)
-    asked = coded.groupBy("u").agg(F.count(F.lit(1)).alias("n_seen")).withColumn(
-        "level", F.ceil(F.log2(F.col("n_seen") + n)).cast("int"))
-    levels = [r["level"] for r in asked.select("level").distinct().collect()]  # a few dozen at most
-    parts = None
-    for level in sorted(levels):
-        got = model.recommendForUserSubset(asked.where(F.col("level") == level).select("u"), 2 ** level).select(
-            "u", F.explode("recommendations").alias("r")).select(
-            "u", F.col("r.i").alias("i"), F.col("r.rating").cast("double").alias("predicted_rating"))
-        parts = got if parts is None else parts.unionByName(got)
-    unseen = parts.where("predicted_rating > 0").join(coded.select("u", "i"), ["u", "i"], "left_anti")
-    best = top_per_key(unseen, ["u"], [F.desc("predicted_rating"), F.col("i")], n)
+    best = best_unseen(
+        model.userFactors.select(F.col("id").alias("u"), F.col("features").alias("vector")),
+        model.itemFactors.select(F.col("id").alias("i"), F.col("features").alias("vector")), coded.select("u", "i"), n)
     return best.join(users, "u").join(items, "i").select(
-        "user_id", "product_id", "predicted_rating",
-        F.least(F.col("predicted_rating") / 5, F.lit(1.0)).alias("confidence"))
+        "user_id", "product_id", F.col("score").alias("predicted_rating"),
+        F.least(F.col("score") / 5, F.lit(1.0)).alias("confidence"))
 
 
 def item_features(texts: DataFrame, stats: DataFrame, terms: int = 1000) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opinion_spark.operators import alerts as A
 from opinion_spark.operators import dedup as D
+from opinion_spark.operators import innerproduct as P
 from opinion_spark.operators import ranking as K
 from opinion_spark.operators import recommend as R
 from opinion_spark.operators import similarity as M
@@ -339,6 +340,41 @@ def test_hot_blocks_that_cannot_reach_a_floor_are_skipped(spark):
     assert M._hot_pairs(placed, floors, "user_id").count() < 0.5 * blocks * (blocks - 1) / 2
 
 
+@pytest.mark.parametrize("n, per_block, per_chunk", [(3, 7, 20), (5, 1024, 2048), (60, 16, 50)])
+def test_best_unseen_is_the_whole_product(spark, n, per_block, per_chunk):
+    """Against the full product: many blocks, a user that has seen nearly all, ties, zero and null vectors."""
+    rng = np.random.default_rng(8)
+    items = np.round(rng.gamma(0.5, 1.0, (80, 4)) * rng.pareto(2.0, (80, 1)), 3)
+    items[5] = items[6] = items[7]
+    users = np.round(rng.gamma(0.7, 1.0, (60, 4)), 3)
+    users[9] = 0
+    seen = {(u, i) for u in range(60) for i in rng.choice(80, 6, replace=False).tolist()} | {(3, i) for i in range(78)}
+    vectors = "vector array<float>"
+    left = spark.createDataFrame([(u, v.tolist()) for u, v in enumerate(users)] + [(60, None)], f"u int, {vectors}")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)] + [(80, None)], f"i int, {vectors}")
+    pairs = spark.createDataFrame(sorted(seen) + [(0, 999), (3, 0)], "u int, i int")
+    got = {(r["u"], r["i"], r["score"]) for r in P.best_unseen(left, right, pairs, n, per_block, per_chunk).collect()}
+    product = np.round(users.astype(np.float32).astype(float) @ items.astype(np.float32).astype(float).T, M.DIGITS)
+    want = set()
+    for u in range(60):
+        free = sorted((-product[u, i], i) for i in range(80) if (u, i) not in seen and product[u, i] > 0)
+        want |= {(u, i, -s) for s, i in free[:n]}
+    assert {(u, i) for u, i, _ in got} == {(u, i) for u, i, _ in want}
+    assert sorted(s for _, _, s in got) == pytest.approx(sorted(s for _, _, s in want), abs=2e-9)
+
+
+def test_best_unseen_stops_at_short_items(spark, monkeypatch):
+    """Long items first: the blocks of short ones are met by nobody."""
+    items = spark.range(4000).select(F.col("id").cast("int").alias("i"), F.array(
+        F.when(F.col("id") < 50, 10.0).otherwise(0.01).cast("float")).alias("vector"))
+    users = spark.range(30).select(F.col("id").cast("int").alias("u"), F.array(F.lit(1.0).cast("float")).alias("vector"))
+    numbers, plain = [], P._cogrouped
+    monkeypatch.setattr(P, "_cogrouped", lambda x, y, pairs: numbers.append(pairs) or plain(x, y, pairs))
+    out = P.best_unseen(users, items, spark.createDataFrame([(0, 0)], "u int, i int"), 10, per_block=50)
+    assert out.count() == 300 and numbers == [1]
+    assert P.best_unseen(users, items.where("false"), spark.createDataFrame([], "u int, i int"), 10).count() == 0
+
+
 @pytest.mark.parametrize("text_ids", [False, True])
 def test_factorization_skips_seen_items(spark, small, text_ids):
     from opinion_spark import adapters
