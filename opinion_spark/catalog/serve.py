@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from opinion_spark import adapters as A
 from opinion_spark.catalog.registry import query
+from opinion_spark.functions import lexicons as L
 from opinion_spark.operators import aggregates as G
 from opinion_spark.operators import alerts as X
 from opinion_spark.operators import evaluate as E
@@ -400,17 +401,44 @@ def q_eval(spark, sf):
     return shorten(E.recommender_scores(wanted, stored(spark, sf)), "avg_predicted", "pseudo_f1")
 
 
-@query("item_content_features")
-def q_features(spark, sf):
+TEXT_FEATURES = [f"""grams AS (
+  SELECT product_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
+  FROM (SELECT product_id, list_filter(regexp_extract_all(lower(review_text), '[\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}]{{2,}}'),
+          lambda x: NOT list_contains([{", ".join(f"'{w}'" for w in L.STOP_WORDS)}], x)) AS w FROM reviews_text))""", """
+vocabulary AS (
+  SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS position FROM grams GROUP BY term
+  QUALIFY position < 1000)""", """
+tf AS (SELECT product_id, position, count(*) AS tf FROM grams JOIN vocabulary USING (term) GROUP BY ALL)""", """
+idf AS (
+  SELECT position, ln((1 + (SELECT count(DISTINCT product_id) FROM reviews_text)) / (1 + count(*))) + 1 AS idf
+  FROM tf GROUP BY position)""", """
+text_weights AS (
+  SELECT product_id, position, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY product_id)) AS weight
+  FROM tf JOIN idf USING (position))""", """
+item_numbers AS (
+  SELECT product_id, avg(rating) AS a, ln(1 + count(*)) AS c FROM reviews_text GROUP BY product_id)""", """
+item_vectors AS (
+  SELECT * FROM text_weights
+  UNION ALL SELECT product_id, 1000, (a - (SELECT avg(a) FROM item_numbers)) / (SELECT stddev_pop(a) FROM item_numbers)
+  FROM item_numbers
+  UNION ALL SELECT product_id, 1001, (c - (SELECT avg(c) FROM item_numbers)) / (SELECT stddev_pop(c) FROM item_numbers)
+  FROM item_numbers)"""]
+
+
+def text_features(spark, sf):
     reviews = A.reviews_text(spark, sf)
     texts = reviews.select("product_id", F.col("review_text").alias("combined_text"))
     stats = G.product_core(reviews).withColumnRenamed("average_rating", "avg_rating")
-    return R.item_features(texts, stats).select("product_id", F.size("vector").alias("dimensions"), "vector")
+    return R.item_features(texts, stats)
+
+
+@query("item_content_features", A.sql("reviews_text", """
+SELECT product_id, position, round(weight, 6) AS weight FROM item_vectors WHERE weight != 0""", *TEXT_FEATURES))
+def q_features(spark, sf):
+    out = text_features(spark, sf).select("product_id", F.explode("vector").alias("position", "weight"))
+    return shorten(out, "weight")
 
 
 @query("item_text_neighbours")
 def q_text_near(spark, sf):
-    reviews = A.reviews_text(spark, sf)
-    texts = reviews.select("product_id", F.col("review_text").alias("combined_text"))
-    stats = G.product_core(reviews).withColumnRenamed("average_rating", "avg_rating")
-    return M.dense_neighbours(R.item_features(texts, stats), "product_id", "vector", 10)
+    return M.dense_neighbours(text_features(spark, sf), "product_id", "vector", 10)

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer, NGram, RegexTokenizer, SQLTransformer, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import NGram, RegexTokenizer, SQLTransformer, StopWordsRemover
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,47 +129,54 @@ def matrix_factorization(ratings: DataFrame, n: int = 10, rank: int = 50, iterat
         F.least(F.col("score") / 5, F.lit(1.0)).alias("confidence"))
 
 
-def item_features(texts: DataFrame, stats: DataFrame, terms: int = 1000) -> DataFrame:
-    """(product_id, vector): TF-IDF of words and word pairs, L2-normalised, next to
-    the scaled mean rating and log count.
+def item_terms(texts: DataFrame, terms: int = 1000) -> DataFrame:
+    """(product_id, position, term, weight): TF-IDF of words and word pairs, each product's weights of length 1.
 
     ``texts``: (product_id, combined_text) with one or more parts per product.
-    Terms are counted per part and summed, so no product text is put together.
+    Terms are counted per part and summed, so no product text is put together. The
+    vocabulary is the ``terms`` most frequent ones, equal ones in order of the term,
+    and a term's position is its rank from 0.
     """
     tokens = Pipeline(stages=[
         RegexTokenizer(inputCol="combined_text", outputCol="words", pattern=r"(?U)\b\w\w+\b", gaps=False),
-        StopWordsRemover(inputCol="words", outputCol="kept"),
+        StopWordsRemover(inputCol="words", outputCol="kept", stopWords=L.STOP_WORDS),
         NGram(n=2, inputCol="kept", outputCol="pairs"),
-        SQLTransformer(statement="SELECT product_id, concat(kept, pairs) AS grams FROM __THIS__"),
-    ]).fit(texts).transform(texts)
-    vocabulary = CountVectorizer(inputCol="grams", outputCol="counts", vocabSize=terms).fit(tokens)
-    parts = vocabulary.transform(tokens)
-    # bounded by the vocabulary: at most ``terms`` rows per product
-    counts = parts.select(
-        "product_id", F.posexplode(vector_to_array("counts")).alias("term", "c")).where("c > 0").groupBy(
-        "product_id", "term").agg(F.sum("c").alias("tf"))
+        SQLTransformer(statement="SELECT product_id, explode(concat(kept, pairs)) AS term FROM __THIS__"),
+    ]).fit(texts).transform(texts.where("combined_text IS NOT NULL"))
+    frequent = materialize(tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "term").limit(terms))
+    places = frequent.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "term")))["term"].alias("t"))
+    vocabulary = materialize(places.select(F.posexplode("t").alias("position", "term")))
+    counts = materialize(tokens.join(F.broadcast(vocabulary), "term").groupBy(  # ``terms`` rows
+        "product_id", "position", "term").agg(F.count(F.lit(1)).alias("tf")))
     n_products = texts.select("product_id").distinct().agg(F.count(F.lit(1)).alias("n"))
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.select("term", (F.log((1 + n_products.scalar()) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = counts.join(F.broadcast(idf), "term").select(  # at most ``terms`` rows
-        "product_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = weighted.groupBy("product_id").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("m"))
-    size = len(vocabulary.vocabulary)
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(
-        F.try_element_at("m", i), F.lit(0.0)) / F.col("norm"))
+    idf = counts.groupBy("position").agg(F.count(F.lit(1)).alias("df")).select(
+        "position", (F.log((1 + n_products.scalar()) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighted = counts.join(F.broadcast(idf), "position").withColumn("w", F.col("tf") * F.col("idf"))
+    norms = weighted.groupBy("product_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return weighted.join(norms, "product_id").select(
+        "product_id", "position", "term", (F.col("w") / F.col("norm")).alias("weight"))
+
+
+def item_features(texts: DataFrame, stats: DataFrame, terms: int = 1000) -> DataFrame:
+    """(product_id, vector): the ``item_terms`` next to the scaled mean rating and log count.
+
+    The vector is a map from position to weight without zeros; the two scaled
+    values stand at ``terms`` and ``terms`` + 1.
+    """
     numeric = stats.agg(F.struct(
         F.avg("avg_rating").alias("ma"), F.stddev_pop("avg_rating").alias("sa"),
         F.avg(F.log1p("review_count")).alias("mc"), F.stddev_pop(F.log1p("review_count")).alias("sc")).alias("s"))
     def scaled(value, mean: str, std: str):
         return F.when(F.col(f"s.{std}") > 0, (value - F.col(f"s.{mean}")) / F.col(f"s.{std}")).otherwise(F.lit(0.0))
-    extra = stats.withColumn("s", numeric.scalar()).select(
-        "product_id", F.array(scaled(F.col("avg_rating"), "ma", "sa"),
-                              scaled(F.log1p("review_count"), "mc", "sc")).alias("extra"))
-    empty = F.array_repeat(F.lit(0.0), size)
-    return extra.join(norms, "product_id", "left").select(
-        "product_id", F.concat(F.coalesce(dense, empty), "extra").alias("vector"))
+    extra = stats.withColumn("s", numeric.scalar()).select("product_id", F.create_map(
+        F.lit(terms), scaled(F.col("avg_rating"), "ma", "sa"),
+        F.lit(terms + 1), scaled(F.log1p("review_count"), "mc", "sc")).alias("extra"))
+    # at most ``terms`` entries per product
+    sparse = item_terms(texts, terms).groupBy("product_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "weight"))).alias("m"))
+    return extra.join(sparse, "product_id", "left").select("product_id", F.map_filter(
+        F.map_concat(F.coalesce("m", F.create_map().cast("map<int,double>")), "extra"), lambda _, w: w != 0).alias("vector"))
 
 
 # ---- blending --------------------------------------------------------------

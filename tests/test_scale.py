@@ -340,6 +340,25 @@ def test_hot_blocks_that_cannot_reach_a_floor_are_skipped(spark):
     assert M._hot_pairs(placed, floors, "user_id").count() < 0.5 * blocks * (blocks - 1) / 2
 
 
+def test_item_features_are_sparse_and_fixed(spark, small):
+    """Ties at the end of the vocabulary go by the term, whatever the partitioning; maps give what arrays give."""
+    from opinion_spark import adapters
+    from opinion_spark.operators import aggregates as G
+    reviews = adapters.reviews_text(spark, small)
+    texts = reviews.select("product_id", F.col("review_text").alias("combined_text"))
+    one = Counter((r["product_id"], r["position"], r["term"], round(r["weight"], 9)) for r in R.item_terms(texts, 40).collect())
+    two = Counter((r["product_id"], r["position"], r["term"], round(r["weight"], 9))
+                  for r in R.item_terms(texts.repartition(11), 40).collect())
+    assert one == two and {p for _, p, _, _ in one} == set(range(40))
+    stats = G.product_core(reviews).withColumnRenamed("average_rating", "avg_rating")
+    maps = R.item_features(texts, stats, 40)
+    arrays = maps.select("product_id", F.transform(F.sequence(F.lit(0), F.lit(41)), lambda i: F.coalesce(
+        F.try_element_at("vector", i.cast("int")), F.lit(0.0))).alias("vector"))
+    def near(vectors):
+        return Counter(map(tuple, M.dense_neighbours(vectors, "product_id", "vector", 4, per_block=30, per_pivot=25).collect()))
+    assert near(maps) == near(arrays)
+
+
 @pytest.mark.parametrize("n, per_block, per_chunk", [(3, 7, 20), (5, 1024, 2048), (60, 16, 50)])
 def test_best_unseen_is_the_whole_product(spark, n, per_block, per_chunk):
     """Against the full product: many blocks, a user that has seen nearly all, ties, zero and null vectors."""
