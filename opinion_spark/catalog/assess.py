@@ -348,6 +348,60 @@ def q_valid_report(spark, sf):
     return E.validation_report(_model_results(spark, sf))
 
 
+@query("model_insights", A.sql("reviews_text fake_labels", """
+SELECT name AS model_name, round(a, 4) AS accuracy, round(f, 4) AS f1_score, CAST(n AS BIGINT) AS sample_size,
+  one || '; ' || two AS key_insights
+FROM (SELECT 'sentiment_analyzer' AS name, (SELECT avg(CAST(label = prediction AS INT)) FROM predicted) AS a,
+        sum(f1 * support) / sum(support) AS f, sum(support) AS n,
+        (SELECT 'Average confidence: ' || printf('%.3f', avg(confidence)) FROM sentiment) AS one,
+        (SELECT 'Rating correlation: ' || printf('%.3f', corr(CASE overall_sentiment WHEN 'POSITIVE' THEN 4.5
+          WHEN 'NEGATIVE' THEN 1.5 ELSE 3.0 END, rating)) FROM sentiment) AS two FROM report
+      UNION ALL SELECT 'fake_detector', avg(CAST((p > 0.5) = (is_fake = 1) AS INT)),
+        2 * count(*) FILTER (p > 0.5 AND is_fake = 1) / (count(*) FILTER (p > 0.5) + count(*) FILTER (is_fake = 1)), count(*),
+        'AUC Score: ' || printf('%.3f', (SELECT (sum(r) FILTER (is_fake = 1)
+            - count(*) FILTER (is_fake = 1) * (count(*) FILTER (is_fake = 1) + 1) / 2)
+            / (count(*) FILTER (is_fake = 1) * count(*) FILTER (is_fake = 0)) FROM (SELECT is_fake,
+              rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS r FROM scored))),
+        'Detection accuracy: ' || printf('%.3f', avg(CAST((p > 0.5) = (is_fake = 1) AS INT))) FROM scored)""",
+    SENTIMENT_SQL, PREDICTED, CLASSES, FAKE_SQL, SCORED))
+def q_insights(spark, sf):
+    sentiment, scored = sentiment_results(spark, sf), _scored_labels(spark, sf)
+    details = F.create_map(
+        F.lit("avg_confidence"), sentiment.agg(F.avg("confidence").alias("c")).scalar(),
+        F.lit("rating_correlation"), N.rating_correlation(sentiment).scalar(),
+        F.lit("auc_score"), E.roc_auc(scored, "is_fake", "fake_probability").scalar())
+    return E.model_insights(_model_results(spark, sf).withColumn("details", details))
+
+
+@query("validation_sets", A.sql("reviews_text fake_labels", """
+SELECT 'sentiment' AS dataset, review_id, label, row_number() OVER (PARTITION BY label
+    ORDER BY md5(review_id || 'sentiment'), review_id) <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test
+FROM (SELECT review_id, CASE WHEN rating >= 4 THEN 'POSITIVE' WHEN rating <= 2 THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS label
+      FROM reviews_text)
+UNION ALL SELECT 'rating_prediction', review_id, CAST(rating AS VARCHAR),
+  row_number() OVER (ORDER BY md5(review_id || 'rating'), review_id) <= round(0.2 * count(*) OVER ()) FROM reviews_text
+UNION ALL SELECT 'fake_detection', review_id, CAST(is_fake AS VARCHAR), row_number() OVER (PARTITION BY is_fake
+    ORDER BY md5(review_id || 'fake'), review_id) <= round(0.3 * count(*) OVER (PARTITION BY is_fake)) FROM fake_labels"""))
+def q_all_valid_sets(spark, sf):
+    return E.validation_sets(TEXT(spark, sf), A.fake_labels(spark, sf))
+
+
+@query("system_coverage", A.sql("reviews_text", """
+SELECT (SELECT count(*) FROM sentiment) > 0 AS sentiment_analysis,
+  (SELECT count(*) FROM fake WHERE fake_probability > 1) > 0 AS fake_detection, false AS recommendations,
+  CASE WHEN (SELECT count(*) FROM reviews_text) > 0 THEN 'operational' ELSE 'failed' END AS data_pipeline_status""",
+    SENTIMENT_SQL, FAKE_SQL))
+def q_coverage_flags(spark, sf):
+    """One full, one empty and one absent result table next to the reviews."""
+    tables = {"reviews": TEXT(spark, sf), "sentiment_analysis": sentiment_results(spark, sf),
+              "fake_detection": fake_results(spark, sf).where("fake_probability > 1")}
+    counts = None
+    for name, table in tables.items():
+        one = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return E.system_coverage(counts)
+
+
 @query("training_report", A.sql("reviews_text", """
 SELECT count(*) AS steps, count(*) FILTER (n >= 200) AS successful, count(*) FILTER (n >= 200) / count(*) AS success_rate,
   CASE WHEN count(*) FILTER (n >= 200) = count(*) THEN 'success' ELSE 'partial_success' END AS status

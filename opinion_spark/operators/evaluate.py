@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinion_spark.functions import labels as B
 from opinion_spark.functions import text as X
-from opinion_spark.operators.ranking import running_totals
+from opinion_spark.operators.dedup import split_stratified, uniform_sample, union_labelled
+from opinion_spark.operators.ranking import mark_sample, running_totals
 from opinion_spark.session import materialize
 
 
@@ -104,6 +106,61 @@ def validation_report(results: DataFrame) -> DataFrame:
             F.array(F.lit("All models performing well - consider production deployment"))), "; ")).drop("h")
 
 
+INSIGHTS = {  # ---- fixed values: label and measure of each model's insights ----
+    "sentiment_analyzer": [("Average confidence", "avg_confidence"), ("Rating correlation", "rating_correlation")],
+    "fake_detector": [("AUC Score", "auc_score"), ("Detection accuracy", "accuracy")],
+    "recommendation_engine": [("Success rate", "success_rate"), ("Recommendation diversity", "avg_diversity")],
+}
+
+
+def model_insights(results: DataFrame) -> DataFrame:
+    """(model_name, accuracy, f1_score, sample_size, key_insights): two measures of each model as one line.
+
+    ``results``: as for ``validation_report``, with ``details``, a map from measure to
+    value. A measure that is absent counts as 0; other models have no insights.
+    """
+    def told(label: str, measure: str) -> Column:
+        value = F.col("accuracy") if measure == "accuracy" else F.try_element_at("details", F.lit(measure))
+        return F.format_string(f"{label}: %.3f", F.coalesce(value.cast("double"), F.lit(0.0)))
+    lines = F.lit("")
+    for model, measures in INSIGHTS.items():
+        lines = F.when(F.col("model_name") == model, F.concat_ws("; ", *[told(*m) for m in measures])).otherwise(lines)
+    return results.select("model_name", F.round("accuracy", 4).alias("accuracy"), F.round("f1_score", 4).alias("f1_score"),
+                          "sample_size", lines.alias("key_insights"))
+
+
+def validation_sets(reviews: DataFrame, fakes: DataFrame, test_share: float = 0.2, fake_test_share: float = 0.3,
+                    real: int | None = None, fake: int | None = None, id_col: str = "review_id") -> DataFrame:
+    """(dataset, id, label, is_test): the three sets on which models are validated.
+
+    ``sentiment`` is split within the sentiment of the rating, ``rating_prediction``
+    over all reviews, ``fake_detection`` within real and fake rows. ``reviews``:
+    id, rating; ``fakes``: id, is_fake. ``real`` and ``fake`` ask for samples of so
+    many rows; by default every row takes part.
+    """
+    rated = reviews.select(id_col, F.col("rating").cast("string").alias("label"))
+    felt = reviews.select(id_col, B.rating_sentiment(F.col("rating")).alias("label"))
+    asked = {1: fake, 0: real}
+    parts = [fakes.where(F.col("is_fake") == k) if n is None else uniform_sample(
+        fakes.where(F.col("is_fake") == k), n, id_col, f"validation {k}") for k, n in asked.items()]
+    mixed = parts[0].unionByName(parts[1]).select(id_col, F.col("is_fake").cast("string").alias("label"))
+    return union_labelled({
+        "sentiment": split_stratified(felt, test_share, "label", id_col, "sentiment"),
+        "rating_prediction": mark_sample(
+            rated, [], F.round(F.col("n") * test_share), id_col, "rating", "is_test"),
+        "fake_detection": split_stratified(mixed, fake_test_share, "label", id_col, "fake")}, "dataset")
+
+
+def system_coverage(counts: DataFrame) -> DataFrame:
+    """One row over (table_name, rows): which models have results, and whether there are reviews at all."""
+    def some(table: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("table_name") == table, F.col("rows") > 0)), F.lit(False))
+    return counts.agg(
+        some("sentiment_analysis").alias("sentiment_analysis"), some("fake_detection").alias("fake_detection"),
+        some("user_recommendations").alias("recommendations"),
+        F.when(some("reviews"), "operational").otherwise("failed").alias("data_pipeline_status"))
+
+
 def training_report(results: DataFrame) -> DataFrame:
     """Success rate and status over the steps of a training run (step, succeeded)."""
     ok = F.count_if("succeeded")

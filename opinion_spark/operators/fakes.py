@@ -125,6 +125,15 @@ def default_grid(forest: RandomForestClassifier):
         .addGrid(forest.minInstancesPerNode, [1, 2]).build())
 
 
+def _split(features: DataFrame, test_share: float) -> DataFrame:
+    return split_stratified(features, test_share, "label")
+
+
+def held_out(features: DataFrame, test_share: float = 0.2) -> DataFrame:
+    """The rows of a training set that ``train`` does not fit on."""
+    return _split(features, test_share).where("is_test").drop("is_test")
+
+
 def train(
     features: DataFrame, folds: int = 5, parallelism: int = 4, seed: int = 42, grid=None, test_share: float = 0.2
 ) -> tuple[PipelineModel, CrossValidatorModel, DataFrame]:
@@ -133,7 +142,7 @@ def train(
     Returns the best model, the cross-validation and one row of metrics. The
     weighted training rows are the only cached data.
     """
-    split = split_stratified(features, test_share, "label")
+    split = _split(features, test_share)
     fit_rows = class_weights(split.where(~F.col("is_test"))).cache()
     forest = RandomForestClassifier(
         featuresCol="scaled", labelCol="label", weightCol="weight", seed=seed, numTrees=100)

@@ -126,29 +126,42 @@ def run_training(
         one = spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("step"), "rows", (F.col("rows") > 0).alias("succeeded"))
         steps = one if steps is None else steps.unionAll(one)
-    report = E.training_report(steps).withColumn(
-        "fake_metrics", metrics.select(F.struct(*metrics.columns).alias("m")).scalar())
+    held = reviews.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("reviews").alias("table_name"), "rows")
+    coverage = E.system_coverage(steps.select(F.col("step").alias("table_name"), "rows").unionByName(held))
+    report = E.training_report(steps).withColumns({
+        "fake_metrics": metrics.select(F.struct(*metrics.columns).alias("m")).scalar(),
+        "system_evaluation": coverage.select(F.struct(*coverage.columns).alias("c")).scalar()})
     S.write_report(report, f"{out}/training_report")
     return report
 
 
 def run_validation(scored: DataFrame, fakes: DataFrame, requested: DataFrame, recs: DataFrame) -> DataFrame:
-    """Evaluate sentiment rows, fake rows and recommendations; one report row.
+    """Evaluate sentiment rows, fake rows and recommendations; one report row with the insights of each model.
 
-    ``scored``: rating, overall_sentiment; ``fakes``: is_fake, fake_probability.
+    ``scored``: rating, overall_sentiment, confidence; ``fakes``: is_fake,
+    fake_probability, as ``fakes.predict`` gives it on rows the model was not fitted on.
     """
+    scored, fakes = materialize(scored), materialize(fakes)
     cells = materialize(E.confusion(
         scored.select(B.rating_sentiment(F.col("rating")).alias("label"), F.col("overall_sentiment").alias("prediction"))))
+    confidence = scored.agg(F.avg("confidence").alias("c"))
     s = E.weighted_scores(cells).select(
         F.lit("sentiment_analyzer").alias("model_name"), "accuracy", F.col("f1").alias("f1_score"),
-        F.col("samples").alias("sample_size"))
+        F.col("samples").alias("sample_size"), F.create_map(
+            F.lit("avg_confidence"), confidence.scalar(),
+            F.lit("rating_correlation"), N.rating_correlation(scored).scalar()).alias("details"))
     f = E.binary_scores(fakes, "is_fake", "fake_probability").select(
         F.lit("fake_detector").alias("model_name"), "accuracy", F.col("f1").alias("f1_score"),
-        (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("sample_size"))
+        (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("sample_size"),
+        F.create_map(F.lit("auc_score"), E.roc_auc(fakes, "is_fake", "fake_probability").scalar()).alias("details"))
     r = E.recommender_scores(requested, recs).select(
         F.lit("recommendation_engine").alias("model_name"), F.col("success_rate").alias("accuracy"),
-        F.col("pseudo_f1").alias("f1_score"), F.col("users").alias("sample_size"))
-    return E.validation_report(s.unionByName(f).unionByName(r))
+        F.col("pseudo_f1").alias("f1_score"), F.col("users").alias("sample_size"), F.create_map(
+            F.lit("success_rate"), F.col("success_rate"), F.lit("avg_diversity"), F.col("avg_diversity")).alias("details"))
+    results = materialize(s.unionByName(f).unionByName(r))  # one row per model
+    insights = E.model_insights(results)
+    models = insights.agg(F.array_sort(F.collect_list(F.struct(*insights.columns))).alias("m"))
+    return E.validation_report(results).withColumn("model_results", models.scalar())
 
 
 def replace_recommendations(stored: DataFrame, fresh: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import subprocess
 import sys
+from collections import Counter
 
 import pytest
 from pyspark.ml.tuning import ParamGridBuilder
@@ -15,6 +16,7 @@ from opinion_spark import adapters
 from opinion_spark import schemas
 from opinion_spark.operators import alerts as A
 from opinion_spark.operators import cleaning as C
+from opinion_spark.operators import evaluate as E
 from opinion_spark.operators import fakes as M
 from opinion_spark.operators import sentiment as N
 from opinion_spark.plans import jobs as J
@@ -287,3 +289,41 @@ def test_checkpoint_folder_of_the_session_wins(tmp_path):
         cwd="/", capture_output=True, text=True, timeout=300)
     assert "ab it is" in done.stdout and done.stdout.strip().endswith("4"), done.stderr[-2000:]
     assert any((tmp_path / "ck").rglob("*.parquet"))
+
+
+def test_validation_run_tells_insights_of_all_models(spark):
+    scored = spark.createDataFrame(
+        [(5, "POSITIVE", 0.9), (1, "NEGATIVE", 0.7), (3, "POSITIVE", 0.5), (4, "POSITIVE", 0.9)],
+        "rating int, overall_sentiment string, confidence double")
+    fakes = spark.createDataFrame([(1.0, 0.9), (1.0, 0.4), (0.0, 0.2), (0.0, 0.6)], "is_fake double, fake_probability double")
+    wanted = spark.createDataFrame([(1,), (2,)], "user_id int")
+    recs = spark.createDataFrame([(1, 7, 4.0, 0.5), (1, 8, 3.0, 0.7)],
+                                 "user_id int, product_id int, predicted_rating double, confidence double")
+    row = J.run_validation(scored, fakes, wanted, recs).first()
+    told = {m["model_name"]: m["key_insights"] for m in row["model_results"]}
+    assert told == {
+        "sentiment_analyzer": "Average confidence: 0.750; Rating correlation: 0.878",
+        "fake_detector": "AUC Score: 0.750; Detection accuracy: 0.500",
+        "recommendation_engine": "Success rate: 0.500; Recommendation diversity: 1.000"}
+    assert row["models"] == 3 and "fake_detector: Consider retraining" in row["recommendations"]
+
+
+def test_held_out_rows_are_those_the_model_was_not_fitted_on(spark):
+    rows = [(i, float(i % 2)) for i in range(200)]
+    data = spark.createDataFrame(rows, "review_id long, label double")
+    out = M.held_out(data)
+    assert out.count() == 40 and out.columns == data.columns
+    fitted = M._split(data, 0.2).where("NOT is_test")
+    assert out.join(fitted, "review_id").count() == 0 and fitted.count() == 160
+
+
+def test_validation_sets_sample_on_request(spark):
+    reviews = spark.createDataFrame([(i, i % 5 + 1) for i in range(100)], "review_id long, rating int")
+    fakes = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)], "review_id long, is_fake int")
+    out = Counter((r["dataset"], r["label"], r["is_test"]) for r in E.validation_sets(
+        reviews, fakes, real=50, fake=20).collect() if r["dataset"] != "rating_prediction")
+    assert out == {("sentiment", "POSITIVE", True): 8, ("sentiment", "POSITIVE", False): 32,
+                   ("sentiment", "NEGATIVE", True): 8, ("sentiment", "NEGATIVE", False): 32,
+                   ("sentiment", "NEUTRAL", True): 4, ("sentiment", "NEUTRAL", False): 16,
+                   ("fake_detection", "0", True): 15, ("fake_detection", "0", False): 35,
+                   ("fake_detection", "1", True): 6, ("fake_detection", "1", False): 14}
