@@ -30,6 +30,16 @@ def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*
         .option("maxFilesPerTrigger", files).parquet(folder))
 
 
+def read_table(spark: SparkSession, folder: str, table: str, files: int = 1000) -> DataFrame:
+    """``table``.parquet of a folder as a stream, be it one file or a folder of files.
+
+    A stream can start at a folder or at a pattern only; the brackets make a pattern of the name.
+    """
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(
+        f"{folder}/[{table[0]}]{table[1:]}.parquet")
+
+
 def windowed_metrics(stream: DataFrame, size: str = "1 hour", slide: str | None = None, delay: str = DELAY) -> DataFrame:
     """Per window and metric: count, mean, extremes; a window is final once the watermark passes it."""
     return A.recent_metrics(stream.withWatermark("ts", delay), size, slide)
@@ -78,37 +88,50 @@ def cooled_alerts(alerts: DataFrame, delay: str = DELAY) -> DataFrame:
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def escalations(events: DataFrame, delay: str = DELAY) -> DataFrame:
+def escalations(events: DataFrame, delay: str = DELAY, buckets: int = 1024) -> DataFrame:
     """Alerts still open when the watermark passes their escalation time.
 
-    ``events``: alert_id, alert_type, ts, kind ('raised' or 'resolved'). The
-    state of an alert ends when it is resolved or escalated.
+    ``events``: alert_id, alert_type, ts, kind ('raised' or 'resolved'). An alert leaves the
+    state when it is resolved or escalated. One state holds the open alerts of a bucket of ids,
+    so that Python runs once per bucket and batch and not once per alert; ``buckets`` is fixed
+    for the life of a checkpoint.
     """
+    columns = ["alert_id", "raised", "resolved", "wait"]
+    empty = pd.DataFrame({"alert_id": pd.Series([], dtype=object), **{c: pd.Series([], dtype="Int64") for c in columns[1:]}})
+
     def track(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        raised, resolved, wait = state.get if state.exists else (None, None, 0)
+        parts = [empty]
+        if state.exists:
+            ids, *times = state.get
+            parts.append(pd.DataFrame({"alert_id": pd.Series(list(ids), dtype=object), **{
+                c: pd.Series([None if x is None else int(x) for x in t], dtype="Int64") for c, t in zip(columns[1:], times)}}))
         if not state.hasTimedOut:
             for pdf in frames:
-                wait = int(pdf["wait"].iloc[0])
-                for t, kind in zip(pdf["t"].tolist(), pdf["kind"]):
-                    if kind == "resolved":
-                        resolved = t if resolved is None else min(resolved, t)
-                    else:
-                        raised = t if raised is None else min(raised, t)
+                t, resolves = pdf["t"].astype("Int64"), (pdf["kind"] == "resolved").to_numpy(bool)
+                parts.append(pd.DataFrame({
+                    "alert_id": pdf["alert_id"].astype(object), "raised": t.mask(resolves), "resolved": t.mask(~resolves),
+                    "wait": pdf["wait"].astype("Int64")}))
+        alerts = pd.concat(parts, ignore_index=True).groupby("alert_id", sort=False, dropna=False).agg(
+            {"raised": "min", "resolved": "min", "wait": "last"}).reset_index()
         mark = state.getCurrentWatermarkMs() * 1000
-        due = (resolved if raised is None else raised) + wait
-        if due >= mark:
-            state.update((raised, resolved, wait))
-            state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-            return
-        if state.exists:
+        due = alerts["raised"].fillna(alerts["resolved"]) + alerts["wait"]
+        open_still = (due >= mark).to_numpy(bool)
+        late = ~open_still & (alerts["raised"].notna() & ~(alerts["resolved"] <= due).fillna(False)).to_numpy(bool)
+        if open_still.any():
+            kept = alerts[open_still]
+            state.update((kept["alert_id"].tolist(), *(
+                [None if x is pd.NA else int(x) for x in kept[c]] for c in columns[1:])))
+            state.setTimeoutTimestamp(max(int(due[open_still].min()) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
             state.remove()
-        if raised is not None and (resolved is None or resolved > due):
-            yield pd.DataFrame({"alert_id": [key[0]], "raised": [raised]})
+        yield alerts.loc[late, ["alert_id", "raised"]].astype({"raised": "int64"})
 
     ready = with_rule(events).withColumns({
         "t": F.unix_micros("ts"), "wait": F.col("escalation_minutes").cast("long") * A.MINUTE})
-    return _marked(ready, delay).groupBy("alert_id").applyInPandasWithState(
-        track, "alert_id string, raised long", "raised long, resolved long, wait long", "append",
+    return _marked(ready, delay).withColumn("bucket", F.pmod(F.xxhash64("alert_id"), F.lit(buckets))).groupBy(
+        "bucket").applyInPandasWithState(
+        track, "alert_id string, raised long",
+        "ids array<string>, raised array<long>, resolved array<long>, waits array<long>", "append",
         GroupStateTimeout.EventTimeTimeout)
 
 

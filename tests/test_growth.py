@@ -16,3 +16,22 @@ def test_numbers_beyond_64_bits(spark):
     df = spark.createDataFrame([(1, "909955422195631423488 and 2.5, 3.5"), (2, "123456789012"), (3, None)], "id int, t string")
     got = df.orderBy("id").select(F.transform(X.numbers_in(F.col("t")), X.whole_number).alias("n")).collect()
     assert [r["n"] for r in got] == [["909955422195631400000", "2", "4"], ["123456789012"], None]
+
+
+def test_escalations_hold_buckets_of_alerts(spark, tmp_path):
+    """Many alerts, few states; resolved, resolved too late, and never raised."""
+    t0 = dt.datetime(2024, 1, 1)
+    first = [(f"a{i}", "system_threshold", t0 + dt.timedelta(seconds=i), "raised") for i in range(300)]
+    first += [(f"a{i}", "system_threshold", t0 + dt.timedelta(minutes=30 if i % 2 else 90), "resolved") for i in range(100)]
+    first += [("stray", "system_threshold", t0, "resolved")]
+    schema = "alert_id string, alert_type string, ts timestamp, kind string"
+    spark.createDataFrame(first, schema).write.parquet(str(tmp_path / "in"))
+    stream = W.read_stream(spark, str(tmp_path / "in"), schema)
+    query = W.write_available(W.escalations(stream, buckets=3), str(tmp_path / "half"), str(tmp_path / "halfstate"))
+    query.awaitTermination()
+    states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert max(states) <= 3
+    W.write_all(lambda s: W.escalations(s, buckets=3), stream, *(str(tmp_path / n) for n in ("out", "state", "marks")))
+    got = {r["alert_id"]: r["raised"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    start = spark.sql("SELECT unix_micros(timestamp'2024-01-01 00:00:00')").first()[0]
+    assert got == {f"a{i}": start + i * 1_000_000 for i in range(300) if i >= 100 or i % 2 == 0}
