@@ -195,9 +195,7 @@ def q_urls(spark, sf):
 
 # ---- streams ---------------------------------------------------------------
 def _events_stream(spark, sf) -> DataFrame:
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema.simpleString()[7:-1].replace(":", " ")
-    raw = W.read_stream(spark, sf, schema, pattern="events.parquet")
-    return A.metric_rows(raw)
+    return A.metric_rows(W.read_table(spark, sf, "events"))
 
 
 def _run(spark, stream: DataFrame, build, name: str) -> DataFrame:
@@ -235,8 +233,7 @@ def q_stream_escalations(spark, sf):
 @query("stream_score_reviews", A.sql("reviews_text", """
 SELECT review_id, overall_sentiment, confidence FROM sentiment""", SENTIMENT_SQL))
 def q_stream_score(spark, sf):
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema.simpleString()[7:-1].replace(":", " ")
-    raw = W.read_stream(spark, sf, schema, pattern="documents.parquet")
+    raw = W.read_table(spark, sf, "documents")
     base = f"{checkpoint_dir(spark)}/stream-score-{uuid.uuid4().hex}"
     W.score_live_reviews(A.text_rows(raw), N.analyze, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("review_id", "overall_sentiment", "confidence")

@@ -18,6 +18,19 @@ def test_numbers_beyond_64_bits(spark):
     assert [r["n"] for r in got] == [["909955422195631400000", "2", "4"], ["123456789012"], None]
 
 
+def test_a_table_streams_as_a_file_and_as_a_folder(spark, tmp_path):
+    rows = spark.range(40).withColumn("text", F.lit("a"))
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "part"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "part").glob("*.parquet")).rename(tmp_path / "one" / "documents.parquet")
+    for layout in ("many", "one"):
+        stream = W.read_table(spark, str(tmp_path / layout), "documents")
+        W.write_available(stream, str(tmp_path / layout / "out"), str(tmp_path / layout / "state")).awaitTermination()
+        got = spark.read.parquet(str(tmp_path / layout / "out"))
+        assert sorted(r["id"] for r in got.collect()) == list(range(40))
+
+
 def test_escalations_hold_buckets_of_alerts(spark, tmp_path):
     """Many alerts, few states; resolved, resolved too late, and never raised."""
     t0 = dt.datetime(2024, 1, 1)
