@@ -118,13 +118,15 @@ def row_index(df: DataFrame, keys: list[str], order_col: str, id_col: str, name:
 
 
 def _hash_parts(df: DataFrame, id_col: str, seed: str) -> DataFrame:
-    return df.withColumn("__hash", hash_order(id_col, seed)).withColumn("__part", F.substring("__hash", 1, 3))
+    return df.withColumn("__hash", hash_order(id_col, seed)).withColumn(
+        "__part", F.coalesce(F.substring("__hash", 1, 3), F.lit("")))  # rows without an id come first and are never drawn
 
 
 def _cut_parts(parts: DataFrame, strata: list[str], quota: Column) -> DataFrame:
-    """Per stratum the hash bucket in which the sample ends and the rows it still
-    takes from it. ``quota`` is a column over ``n`` (rows of the stratum) and
-    ``total`` (rows of all strata). A stratum has at most 4096 buckets."""
+    """Per stratum and hash bucket, up to the one in which the sample ends, the rows that the sample takes
+    from it: all of them (null) or, from the last bucket, the first ``__left``. ``quota`` is a column over ``n``
+    (rows of the stratum) and ``total`` (rows of all strata). A stratum has at most 4096 buckets, so rows that
+    are joined to these by stratum and bucket never meet in one task by stratum."""
     counts = materialize(parts.groupBy(*strata, "__part").agg(F.count(F.lit(1)).alias("c")))
     sizes = counts.groupBy(*strata).agg(F.sum("c").alias("n"))
     total = counts.agg(F.sum("c").alias("total"))
@@ -132,25 +134,24 @@ def _cut_parts(parts: DataFrame, strata: list[str], quota: Column) -> DataFrame:
         *strata, F.least("n", quota.cast("long")).alias("__quota"))
     upto = Window.partitionBy(*strata).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
     start = F.col("__upto") - F.col("c")
-    return (
-        counts.withColumn("__upto", F.sum("c").over(upto)).join(quotas, strata)
-        .where((F.col("__upto") >= F.col("__quota")) & (start < F.col("__quota")))
-        .select(*strata, F.col("__part").alias("__cut"), (F.col("__quota") - start).alias("__left")))
+    return materialize(
+        counts.withColumn("__upto", F.sum("c").over(upto)).join(quotas, strata).where(start < F.col("__quota"))
+        .select(*strata, "__part", F.when(F.col("__upto") >= F.col("__quota"), F.col("__quota") - start).alias("__left")))
 
 
 def sample_exact(df: DataFrame, strata: list[str], quota: Column, id_col: str, seed: str = "") -> DataFrame:
     """Exactly the quota of rows of each stratum, the first by hash of id and seed.
 
     One pass counts hash buckets, one pass keeps the rows up to the last bucket;
-    only these rows, no more than the sample and one bucket, are shuffled.
+    only these rows, no more than the sample and one bucket, are ranked.
     """
     keyed, keys = _with_keys(df, strata)
     parts = _hash_parts(keyed, id_col, seed)
-    near = parts.join(_cut_parts(parts, keys, quota), keys).where(F.col("__part") <= F.col("__cut"))
+    near = parts.join(_cut_parts(parts, keys, quota), [*keys, "__part"]).where("__hash IS NOT NULL")
     place = Window.partitionBy(*keys, "__part").orderBy("__hash", id_col)
     return (
         near.withColumn("__place", F.row_number().over(place))
-        .where((F.col("__part") < F.col("__cut")) | (F.col("__place") <= F.col("__left")))
+        .where(F.col("__left").isNull() | (F.col("__place") <= F.col("__left")))
         .select(*df.columns))
 
 
@@ -161,10 +162,13 @@ def mark_sample(
     keyed, keys = _with_keys(df, strata)
     parts = _hash_parts(keyed, id_col, seed)
     cuts = _cut_parts(parts, keys, quota)
-    edge = parts.select(*keys, id_col, "__hash", "__part").join(cuts, keys).where(F.col("__part") == F.col("__cut"))
-    place = Window.partitionBy(*keys).orderBy("__hash", id_col)
-    last = edge.withColumn("__place", F.row_number().over(place)).where(F.col("__place") == F.col("__left")).select(
-        *keys, F.struct(F.col("__hash").alias("h"), F.col(id_col).alias("i")).alias("__last"))
+    edge = parts.select(*keys, id_col, "__hash", "__part").join(
+        cuts.where("__left IS NOT NULL"), [*keys, "__part"]).where("__hash IS NOT NULL")
+    place = Window.partitionBy(*keys, "__part").orderBy("__hash", id_col)
     here = F.struct(F.col("__hash").alias("h"), F.col(id_col).alias("i"))
-    return parts.join(last, keys, "left").withColumn(
-        name, F.coalesce(here <= F.col("__last"), F.lit(False))).select(*df.columns, name)
+    last = edge.withColumn("__place", F.row_number().over(place)).where(F.col("__place") == F.col("__left")).select(
+        *keys, "__part", here.alias("__last"))
+    marks = materialize(cuts.join(last, [*keys, "__part"], "left").select(
+        *keys, "__part", F.col("__left").isNull().alias("__whole"), "__last"))
+    return parts.join(marks, [*keys, "__part"], "left").withColumn(
+        name, F.coalesce(F.col("__whole") | (here <= F.col("__last")), F.lit(False))).select(*df.columns, name)

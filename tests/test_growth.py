@@ -48,3 +48,19 @@ def test_escalations_hold_buckets_of_alerts(spark, tmp_path):
     got = {r["alert_id"]: r["raised"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     start = spark.sql("SELECT unix_micros(timestamp'2024-01-01 00:00:00')").first()[0]
     assert got == {f"a{i}": start + i * 1_000_000 for i in range(300) if i >= 100 or i % 2 == 0}
+
+
+def test_samples_do_not_shuffle_rows_by_their_stratum(spark):
+    """One stratum holds nearly all rows; they meet the cuts by stratum and hash bucket."""
+    rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 100 == 0, 1).otherwise(2).alias("k"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (K.sample_exact(rows, ["k"], F.floor(F.col("n") / 2), "id"),
+                    K.mark_sample(rows, ["k"], F.floor(F.col("n") / 2), "id").where("sampled")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+            assert keys and all("__part" in k for k in keys)
+            assert {r["k"]: r["n"] for r in out.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 25, 2: 2475}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
