@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from opinion_spark.functions import text as X
 from opinion_spark.operators import ranking as K
+from opinion_spark.operators import similarity as M
 from opinion_spark.streaming import metrics as W
 
 
@@ -64,3 +66,18 @@ def test_samples_do_not_shuffle_rows_by_their_stratum(spark):
             assert {r["k"]: r["n"] for r in out.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 25, 2: 2475}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_blocks_of_dense_vectors_meet_by_part(spark, monkeypatch):
+    """Vectors without structure: every pair of blocks is compared, but tasks take parts of many blocks."""
+    v = np.random.default_rng(3).normal(size=(500, 16))
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    sims = np.round(unit @ unit.T, 9)
+    want = {(i, int(j)) for i in range(500) for j in np.lexsort((np.arange(500), -sims[i]))[:5]}
+    data = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "product_id long, vector array<double>")
+    numbers, plain = [], M._cogrouped
+    monkeypatch.setattr(M, "_cogrouped", lambda x, y, pairs: numbers.append(pairs) or plain(x, y, pairs))
+    got = [(r["product_id"], r["other"]) for r in M.dense_neighbours(
+        data, "product_id", "vector", 5, keep_self=True, per_block=15, per_pivot=30).collect()]
+    assert len(got) == 2500 and set(got) == want
+    assert numbers and max(numbers) <= 36
