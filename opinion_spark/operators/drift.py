@@ -45,21 +45,23 @@ def select_sides(
 def drift_features(df: DataFrame, date: str = "date") -> DataFrame:
     """The features compared between the sides."""
     t = F.col("review_text")
-    low = F.lower(t)
-    means = df.groupBy("side").agg(F.avg("rating").alias("__mean"))
-    out = df.join(F.broadcast(means), "side")  # two rows: one per side
+    hits = X.words_and_hits(F.lower(t), {"positive_food_words": L.DRIFT_POSITIVE, "negative_food_words": L.DRIFT_NEGATIVE})
+    rows = materialize(df.select(  # the texts are read once, for the means as well
+        "review_id", "side", date, "rating", "helpful_votes", "total_votes", F.length(t).alias("text_length"),
+        X.marks(t).alias("__marks"), hits.alias("__hits")).select("*", "__hits.*"))
+    means = rows.groupBy("side").agg(F.avg("rating").alias("__mean"))
+    out = rows.join(F.broadcast(means), "side")  # two rows: one per side
+    m, length = F.col("__marks"), F.col("text_length")
     return out.select(
-        "review_id", "side", date, "rating", "helpful_votes", "total_votes",
-        F.length(t).alias("text_length"), X.word_count(t).alias("word_count"),
-        X.sentence_dots(t).alias("sentence_count"), X.matches(t, "!").alias("exclamation_count"),
-        X.matches(t, r"\?").alias("question_count"), X.caps_ratio(t).alias("caps_ratio"),
+        "review_id", "side", date, "rating", "helpful_votes", "total_votes", "text_length", "word_count",
+        (X.of_marks(m, ".") + 1).alias("sentence_count"), X.of_marks(m, "!").alias("exclamation_count"),
+        X.of_marks(m, "?").alias("question_count"), (X.capitals_of_marks(m) / F.greatest(length, F.lit(1))).alias("caps_ratio"),
         B.helpful_plus_one(F.col("helpful_votes"), F.col("total_votes")).alias("helpful_ratio"),
         F.abs(F.col("rating") - F.col("__mean")).alias("rating_deviation"),
-        X.phrase_hits(low, L.DRIFT_POSITIVE).alias("positive_food_words"),
-        X.phrase_hits(low, L.DRIFT_NEGATIVE).alias("negative_food_words"),
+        "positive_food_words", "negative_food_words",
         F.year(date).alias("year"), F.month(date).alias("month"), F.weekday(date).alias("day_of_week"),
         B.rating_category(F.col("rating")).alias("rating_category"),
-        B.length_category(F.length(t)).alias("text_length_category"))
+        B.length_category(length).alias("text_length_category"))
 
 
 # ---- numeric features: Kolmogorov-Smirnov --------------------------------
