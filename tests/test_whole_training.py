@@ -48,3 +48,7 @@ def test_queries_that_train_fit_on_all_labelled_rows(spark, fitted_on, monkeypat
     assert found.value.args[0] == {0.0: 2400, 1.0: 200}
 
 
+def test_training_job_fits_on_all_labelled_rows(spark, fitted_on, tmp_path):
+    with pytest.raises(Fitted) as found:
+        J.run_training(reviews(spark, 2600), labels(spark, 2600), str(tmp_path))
+    assert found.value.args[0] == {0.0: 2400, 1.0: 200}
