@@ -1,6 +1,9 @@
 """Training reads every labelled review; a sample is drawn on request only."""
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from opinion_spark.catalog import jobs as Q
@@ -52,3 +55,14 @@ def test_training_job_fits_on_all_labelled_rows(spark, fitted_on, tmp_path):
     with pytest.raises(Fitted) as found:
         J.run_training(reviews(spark, 2600), labels(spark, 2600), str(tmp_path))
     assert found.value.args[0] == {0.0: 2400, 1.0: 200}
+
+
+def test_forests_of_the_grid_are_let_go(spark):
+    rows = spark.range(60).select(
+        F.col("id").cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("label")).coalesce(1).cache()
+    forest = RandomForestClassifier(featuresCol="raw", labelCol="label", seed=3, numTrees=2)
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, [1, 25, 30]).addGrid(forest.minInstancesPerNode, [1, 2]).build()
+    points = M.ForestPipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="raw"), forest]).fitMultiple(rows, grid)
+    assert sorted(i for i, _ in points) == list(range(len(grid)))
+    assert len(points.deepest) == 2 and not any(points.deepest.values())
+    rows.unpersist()
